@@ -1,0 +1 @@
+"""Left empty: every job here is a batch job (see README, "Not built")."""
