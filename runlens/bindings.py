@@ -219,9 +219,9 @@ def tims_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_features(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
     """Embeddings as one run per vector with a column per dimension."""
-    return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("string").alias("run_id"),
-        *[F.get(F.col("embedding"), F.lit(i)).cast("double").alias(f"f{i + 1}") for i in range(width)])
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "CAST(vec_id AS STRING) AS run_id",
+        *[f"CAST(get(embedding, {i}) AS DOUBLE) AS f{i + 1}" for i in range(width)])
 
 
 def packed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -401,8 +401,8 @@ def decode_trace(spark, d):
         F.count("time").alias("n_times"), F.count("value").alias("n_values"),
         F.max("time").cast("string").alias("max_time"), F.min("time").cast("string").alias("min_time"),
         F.sum(F.col("time").cast("decimal(38,0)")).cast("string").alias("sum_times"),
-        F.sum(F.col("value").cast("bigint")).alias("sum_values"),
-        F.sum(F.col("value").cast("bigint") * (F.col("pos") % 97)).alias("weighted_values"))
+        F.sum("value").alias("sum_values"),
+        F.sum(F.col("value") * (F.col("pos") % 97)).alias("weighted_values"))
 
 
 # ---- metric records and comparison of runs -----------------------------------
@@ -599,7 +599,7 @@ def _scaled(spark, d):
 
 @query
 def standardise_features(spark, d):
-    return crossrun.melt_metrics(_scaled(spark, d), EMBEDDING_COLUMNS)
+    return crossrun.features_long(_scaled(spark, d), EMBEDDING_COLUMNS)
 
 
 @query

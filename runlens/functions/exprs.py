@@ -48,20 +48,18 @@ def plain_sequence(proforma: Column) -> Column:
     return F.regexp_replace(bare, r"[^A-Za-z]", "")
 
 
-def unsigned_le(chunk: Column) -> Column:
-    """Unsigned little-endian integer of up to 8 bytes, as DECIMAL(20,0)."""
-    text = F.hex(chunk)
-    reversed_hex = F.concat(*[F.substring(text, i, 2) for i in range(15, 0, -2)])
-    return F.conv(reversed_hex, 16, 10).cast("decimal(20,0)")
-
-
-def byte_chunks(data: Column, width: int) -> Column:
-    """Array of consecutive pieces of ``width`` bytes; the tail may be shorter."""
-    pieces = F.ceil(F.octet_length(data) / F.lit(width)).cast("int")
-    chunks = F.transform(
-        F.sequence(F.lit(1), F.greatest(pieces, F.lit(1))),
-        lambda i: F.substring(data, (i - 1) * width + 1, F.lit(width)))
-    return F.when(pieces > 0, chunks).otherwise(F.array().cast("array<binary>"))
+def hex_chunks(data: Column, width: int) -> Column:
+    """Array of consecutive pieces of ``width`` bytes as hex; the tail may be shorter."""
+    return F.regexp_extract_all(F.hex(data), F.lit(f"(.{{1,{2 * width}}})"), 1)
+
+
+def unsigned_le(piece: Column, width: int) -> Column:
+    """Unsigned little-endian integer of a hex piece of at most ``width`` bytes.
+
+    BIGINT up to 7 bytes, DECIMAL(20,0) for 8.
+    """
+    big_endian = F.concat(*[F.substring(piece, i, 2) for i in range(2 * width - 1, 0, -2)])
+    return F.conv(big_endian, 16, 10).cast("bigint" if width < 8 else "decimal(20,0)")
 
 
 def utc_text_to_epoch(text: Column, pattern: str) -> Column:

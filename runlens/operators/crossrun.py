@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -301,10 +302,11 @@ def calibrant_series(observed: DataFrame, unit: str = "sec") -> DataFrame:
 
 def scale_timestamps(runs: DataFrame, column: str = "start_time") -> DataFrame:
     """Start times as a percentage between the first and the last; 1 if equal."""
-    ends = runs.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
-    span = ends["high"] - ends["low"]
-    scaled = ratio(F.col(column) - ends["low"], span) * 100
-    return runs.select("run_id", F.when(span == 0, 1.0).otherwise(scaled).alias("t_scaled"))
+    ends = runs.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e"))
+    low, high = F.col("_ends.low"), F.col("_ends.high")
+    scaled = ratio(F.col(column) - low, high - low) * 100
+    return runs.withColumn("_ends", ends.scalar()).select(
+        "run_id", F.when(high == low, 1.0).otherwise(scaled).alias("t_scaled"))
 
 
 def assign_groups(runs: DataFrame, run_groups: DataFrame) -> DataFrame:
@@ -314,19 +316,28 @@ def assign_groups(runs: DataFrame, run_groups: DataFrame) -> DataFrame:
 def standardise_features(wide: DataFrame, columns: Sequence[str], fill: float = 0.0) -> DataFrame:
     """Missing values filled, then z-scores with the population deviation.
 
-    A constant column becomes 0.  The moments of all columns are one row.
+    A constant column becomes 0.  Output: run_id, features (vector in the order
+    of ``columns``).
     """
-    filled = wide.select("run_id", *[
-        F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(fill)).alias(c)
+    filled = wide.selectExpr("run_id", *[
+        f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {fill!r}D) AS `{c}`"
         for c in columns])
-    moments = filled.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
-                                    for c in columns]).alias("s")).scalar()
+    assembled = VectorAssembler(inputCols=list(columns), outputCol="raw").transform(filled)
+    rows = write_table(assembled.select("run_id", "raw"), "features")
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="sample").fit(rows)
+    # The scaler divides by the sample deviation.
+    n = rows.count()
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 0.0
+    to_population = ElementwiseProduct(
+        scalingVec=Vectors.dense([factor] * len(columns)), inputCol="sample", outputCol="features")
+    return to_population.transform(scaler.transform(rows)).select("run_id", "features")
 
-    def z(c: str) -> Column:
-        mean, deviation = moments[c]["m"], moments[c]["s"]
-        return F.when(deviation == 0, 0.0).otherwise(ratio(F.col(c) - mean, deviation))
 
-    return filled.select("run_id", *[z(c).alias(c) for c in columns])
+def features_long(scaled: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Standardised features as (run_id, variable, value)."""
+    names = F.array(*map(F.lit, columns))
+    values = scaled.select("run_id", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return values.select("run_id", F.get(names, F.col("i")).alias("variable"), "value")
 
 
 class Components:
@@ -338,10 +349,8 @@ class Components:
 
     def __init__(self, scaled: DataFrame, columns: Sequence[str], k: int = 2):
         self.columns = list(columns)
-        self._rows = write_table(scaled.select("run_id", *columns), "scaled")
-        self._assembler = VectorAssembler(inputCols=self.columns, outputCol="features")
-        self.model: PCAModel = PCA(k=k, inputCol="features", outputCol="pca").fit(
-            self._assembler.transform(self._rows))
+        self.rows = write_table(scaled, "scaled")
+        self.model: PCAModel = PCA(k=k, inputCol="features", outputCol="pca").fit(self.rows)
         loadings = self.model.pc.toArray()
         self.loadings = []
         self.signs = []
@@ -354,9 +363,9 @@ class Components:
 
 def pca_scores(components: Components, start_times: DataFrame | None = None) -> DataFrame:
     """``pca1``, ``pca2``, … of every run and, if given, its scaled start time."""
-    values = vector_to_array("pca")
-    scores = components.model.transform(components._assembler.transform(components._rows)).select(
-        "run_id", *[(values[j] * s).alias(f"pca{j + 1}") for j, s in enumerate(components.signs)])
+    values = components.model.transform(components.rows).select("run_id", vector_to_array("pca").alias("v"))
+    scores = values.select(
+        "run_id", *[(F.col("v")[j] * s).alias(f"pca{j + 1}") for j, s in enumerate(components.signs)])
     if start_times is None:
         return scores
     return scores.join(scale_timestamps(start_times), "run_id", "left")
@@ -364,7 +373,7 @@ def pca_scores(components: Components, start_times: DataFrame | None = None) ->
 
 def pca_explained_variance(components: Components) -> DataFrame:
     """Share of each component and the percentage shown on an axis."""
-    spark = components._rows.sparkSession
+    spark = components.rows.sparkSession
     shares = [float(x) for x in components.model.explainedVariance]
     return spark.createDataFrame(
         [(j + 1, x) for j, x in enumerate(shares)], "component int, ratio double"
@@ -373,7 +382,7 @@ def pca_explained_variance(components: Components) -> DataFrame:
 
 def pca_loadings(components: Components) -> DataFrame:
     """Loadings of every variable on the first two components, longest first."""
-    spark = components._rows.sparkSession
+    spark = components.rows.sparkSession
     pc1, pc2 = components.loadings[:2]
     rows = [(c, math.hypot(x, y), x, y) for c, x, y in zip(components.columns, pc1, pc2)]
     return spark.createDataFrame(rows, "variable string, length double, PC1 double, PC2 double").orderBy(

@@ -51,7 +51,7 @@ def count_accessions(
     """
     members = F.array("ambiguity_members")
     if split_members:
-        members = F.transform(F.split("ambiguity_members", ","), F.trim)
+        members = F.transform(F.split("ambiguity_members", ","), lambda m: F.trim(m))
     both = F.concat(F.array("accession"), F.coalesce(members, F.array().cast("array<string>")))
     names = proteins.select("run_id", F.explode(both).alias("name")).where(F.col("name").isNotNull())
     counted = names.groupBy("run_id").agg(F.count_distinct("name").alias("nr_accessions"))

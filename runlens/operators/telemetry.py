@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.functions.exprs import byte_chunks, unsigned_le
+from runlens.functions.exprs import hex_chunks, unsigned_le
 from runlens.plans.ordered import asof_backward
 from runlens.plans.tables import attach
 
@@ -153,11 +153,11 @@ def decode_packed_trace(
     Both hold unsigned little-endian integers; a short tail is read as a
     shorter one.  ``pos`` counts within the chunk.
     """
-    pairs = F.arrays_zip(byte_chunks(F.col("times"), time_width).alias("t"),
-                         byte_chunks(F.col("intensities"), value_width).alias("v"))
+    pairs = F.arrays_zip(hex_chunks(F.col("times"), time_width).alias("t"),
+                         hex_chunks(F.col("intensities"), value_width).alias("v"))
     rows = chunks.select(*keys, F.posexplode(pairs).alias("pos", "pair"))
-    return rows.select(*keys, "pos", unsigned_le(F.col("pair.t")).alias("time"),
-                       unsigned_le(F.col("pair.v")).alias("value"))
+    return rows.select(*keys, "pos", unsigned_le(F.col("pair.t"), time_width).alias("time"),
+                       unsigned_le(F.col("pair.v"), value_width).alias("value"))
 
 
 def pivot_properties(
