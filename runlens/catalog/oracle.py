@@ -380,8 +380,9 @@ def _decoded(width: int) -> str:
 
 
 ORACLE["decode_trace"] = f"""WITH bytes AS (SELECT doc_id, hex(encode(text)) AS h FROM documents),
-t AS (SELECT doc_id, count(*) AS n_times, CAST(max(v) AS VARCHAR) AS max_time, CAST(min(v) AS VARCHAR) AS min_time,
-        CAST(sum(CAST(v AS HUGEINT)) AS VARCHAR) AS sum_times FROM {_decoded(8)} GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_times, max(CAST(v AS DOUBLE)) AS max_time, min(CAST(v AS DOUBLE)) AS min_time,
+        {big("sum(CAST(floor(CAST(v AS DOUBLE) / 4294967296) AS HUGEINT))")} AS sum_high_times
+      FROM {_decoded(8)} GROUP BY doc_id),
 v AS (SELECT doc_id, count(*) AS n_values, {big('sum(v)')} AS sum_values,
         {big('sum(CAST(v AS HUGEINT) * (pos % 97))')} AS weighted_values FROM {_decoded(4)} GROUP BY doc_id)
 SELECT * FROM t JOIN v USING (doc_id)"""

@@ -283,17 +283,19 @@ def _matches(spark, d):
     return targeted.match_target_psms(psms, _queries(spark, d))
 
 
-def _recentered(spark, d):
-    return targeted.recenter_windows(_queries(spark, d), _matches(spark, d))
+def _found(spark, d):
+    return write_table(targeted.found_targets(_matches(spark, d)), "found")
 
 
-def _xic(spark, d):
-    return targeted.extract_xic(b.spectra(spark, d), b.peaks(spark, d), _recentered(spark, d))
+def _xic(spark, d, found=None):
+    windows = targeted.recenter_windows(_queries(spark, d), _found(spark, d) if found is None else found)
+    return targeted.extract_xic(b.spectra(spark, d), b.peaks(spark, d), windows)
 
 
 def _spikein_metrics(spark, d):
-    return targeted.spikein_metrics(b.spikeins(spark, d), targeted.xic_apex(_xic(spark, d)),
-                                    targeted.ident_counts(_matches(spark, d)))
+    found = _found(spark, d)
+    return targeted.spikein_metrics(b.spikeins(spark, d), targeted.xic_apex(_xic(spark, d, found)),
+                                    targeted.ident_counts(found))
 
 
 @query
@@ -313,12 +315,12 @@ def target_psm_matches(spark, d):
 
 @query
 def recenter_windows(spark, d):
-    return _recentered(spark, d)
+    return targeted.recenter_windows(_queries(spark, d), targeted.found_targets(_matches(spark, d)))
 
 
 @query
 def ident_counts(spark, d):
-    return targeted.ident_counts(_matches(spark, d))
+    return targeted.ident_counts(targeted.found_targets(_matches(spark, d)))
 
 
 @query
@@ -397,26 +399,26 @@ def calibrant_series(spark, d):
 @query
 def decode_trace(spark, d):
     points = telemetry.decode_packed_trace(b.packed_texts(spark, d), ["doc_id"])
+    whole = F.col("value").cast("bigint")
     return points.groupBy("doc_id").agg(
         F.count("time").alias("n_times"), F.count("value").alias("n_values"),
-        F.max("time").cast("string").alias("max_time"), F.min("time").cast("string").alias("min_time"),
-        F.sum(F.col("time").cast("decimal(38,0)")).cast("string").alias("sum_times"),
-        F.sum("value").alias("sum_values"),
-        F.sum(F.col("value") * (F.col("pos") % 97)).alias("weighted_values"))
+        F.max("time").alias("max_time"), F.min("time").alias("min_time"),
+        F.sum(F.floor(F.col("time") / 2.0 ** 32)).alias("sum_high_times"),
+        F.sum(whole).alias("sum_values"), F.sum(whole * (F.col("pos") % 97)).alias("weighted_values"))
 
 
 # ---- metric records and comparison of runs -----------------------------------
 
-def _run_values(spark, d):
-    overview = spectra.run_overview(_summary(spark, d))
+def _run_values(spark, d, summary=None):
+    overview = spectra.run_overview(_summary(spark, d) if summary is None else summary)
     return overview.select(
         "run_id", "nr_ms1", "nr_ms2", "accumulated_ms1_tic", "accumulated_ms2_tic", "base_peak_max",
         "tic_max", F.array("rt_first", "rt_last").alias("rt_range"),
         (F.col("rt_first") * 86400 + EPOCH_OF_FIRST_DAY).alias("start_time"))
 
 
-def _metrics(spark, d):
-    return records.metric_records(_run_values(spark, d), {
+def _metrics(spark, d, summary=None):
+    return records.metric_records(_run_values(spark, d, summary), {
         "start_time": "startTime", "rt_range": "RT_range", "nr_ms1": "nr_MS1", "nr_ms2": "nr_MS2",
         "accumulated_ms1_tic": "accumulated_MS1_TIC", "accumulated_ms2_tic": "accumulated_MS2_TIC",
         "base_peak_max": "base_peak_intensity_max", "tic_max": "total_ion_current_max"})
@@ -434,8 +436,8 @@ def _charge_table(spark, d):
         records.TableColumn("fraction", "UO:0000191", "fraction")], row_no="charge")
 
 
-def _maxima_table(spark, d):
-    maxima = spectra.run_maxima_up_to(_summary(spark, d), MINUTES).withColumn("row_no", F.lit(0))
+def _maxima_table(summary):
+    maxima = spectra.run_maxima_up_to(summary, MINUTES).withColumn("row_no", F.lit(0))
     return records.metric_table(maxima, "base_peak_intensity_maxima_per_time_range", [
         records.TableColumn("base_peak_max", "MS:1000505", "base peak intensity"),
         records.TableColumn("start", "UO:0000010", "second"),
@@ -506,8 +508,9 @@ def spikeins_wide(spark, d):
 
 @query
 def summary_table(spark, d):
+    summary = _stored_summary(spark, d)
     cells = crossrun.summary_cells(
-        _metrics(spark, d), _charge_table(spark, d).unionByName(_maxima_table(spark, d)), unit="min")
+        _metrics(spark, d, summary), _charge_table(spark, d).unionByName(_maxima_table(summary)), unit="min")
     columns = ["startTime", "RT_range_min", "RT_range_max", *SUMMARY_SCALARS,
                "base_peak_intensity_maxima_per_time_range", *CHARGE_COLUMNS, "nr_peptides"]
     return crossrun.summary_table(cells, b.nation_runs(spark, d), columns)

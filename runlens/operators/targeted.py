@@ -50,25 +50,26 @@ def match_target_psms(psms: DataFrame, queries: DataFrame, score_max: float | No
 def found_targets(matches: DataFrame) -> DataFrame:
     """Distinct RTs of every matched target: their number and mean.
 
-    Equal RTs of one target are collapsed before anything is moved on.
+    Equal RTs of one target are collapsed before anything is moved on.  Store
+    the result (one row per target) when windows and counts are both wanted.
     """
     rts = matches.select("run_id", "sequence", "retention_time").distinct()
     return rts.groupBy("run_id", "sequence").agg(
         F.count("retention_time").alias("count"), F.avg("retention_time").alias("mean_rt"))
 
 
-def ident_counts(matches: DataFrame) -> DataFrame:
+def ident_counts(found: DataFrame) -> DataFrame:
     """Number of distinct RTs per matched target; unmatched ones are absent."""
-    return found_targets(matches).select("run_id", "sequence", "count")
+    return found.select("run_id", "sequence", "count")
 
 
-def recenter_windows(queries: DataFrame, matches: DataFrame) -> DataFrame:
+def recenter_windows(queries: DataFrame, found: DataFrame) -> DataFrame:
     """Move windows to the mean RT found, keep their width; no start below 0."""
-    found = found_targets(matches).select(
-        "run_id", F.col("sequence").alias("plain_sequence"), (F.col("mean_rt") / 60.0).alias("centre"))
+    centres = found.select("run_id", F.col("sequence").alias("plain_sequence"),
+                           (F.col("mean_rt") / 60.0).alias("centre"))
     half = (F.col("rt_end") - F.col("rt_start")) / 2
     start = F.coalesce(F.col("centre") - half, "rt_start")
-    return queries.join(found, ["run_id", "plain_sequence"], "left").select(
+    return queries.join(centres, ["run_id", "plain_sequence"], "left").select(
         *[c for c in queries.columns if c not in ("rt_start", "rt_end")],
         F.greatest(F.lit(0.0), start).alias("rt_start"),
         F.coalesce(F.col("centre") + half, "rt_end").alias("rt_end"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.functions.exprs import hex_chunks, unsigned_le
+from runlens.functions.exprs import unsigned_le
 from runlens.plans.ordered import asof_backward
 from runlens.plans.tables import attach
 
@@ -150,14 +150,12 @@ def decode_packed_trace(
 ) -> DataFrame:
     """Unpack ``times`` and ``intensities`` of every chunk to one row per point.
 
-    Both hold unsigned little-endian integers; a short tail is read as a
-    shorter one.  ``pos`` counts within the chunk.
+    Both hold unsigned little-endian integers, read as doubles; a short tail is
+    a shorter integer.  ``pos`` counts within the chunk.
     """
-    pairs = F.arrays_zip(hex_chunks(F.col("times"), time_width).alias("t"),
-                         hex_chunks(F.col("intensities"), value_width).alias("v"))
-    rows = chunks.select(*keys, F.posexplode(pairs).alias("pos", "pair"))
-    return rows.select(*keys, "pos", unsigned_le(F.col("pair.t"), time_width).alias("time"),
-                       unsigned_le(F.col("pair.v"), value_width).alias("value"))
+    pairs = F.arrays_zip(unsigned_le(F.col("times"), time_width).alias("time"),
+                         unsigned_le(F.col("intensities"), value_width).alias("value"))
+    return chunks.select(*keys, F.posexplode(pairs).alias("pos", "pair")).select(*keys, "pos", "pair.*")
 
 
 def pivot_properties(
