@@ -71,7 +71,8 @@ def lookup_join(
     on = list(on)
     if broadcast:
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)))
+    hashable = [F.col(f"`{f.name}`") for f in big.schema if "map<" not in f.dataType.simpleString()]
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     copies = copies.withColumn("_salt", F.col("_salt").cast("bigint"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

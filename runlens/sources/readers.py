@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from runlens.plans.tables import attach
 
@@ -35,10 +34,11 @@ PSM_TYPES = {
     "exp_mz": "double", "calc_mz": "double", "is_decoy": "int",
 }
 
-XIC_SCHEMA = T.StructType.fromDDL(
+XIC_SCHEMA = (
     "Content array<struct<Meta: struct<MzStart: double, MzEnd: double, RtStart: double,"
     " RtEnd: double, Comment: string>, RetentionTimes: array<double>, Intensities: array<double>>>")
-QUERY_SCHEMA = T.StructType.fromDDL(
+QUERY_COLUMNS = ("comment", "mz", "tolerance", "tolerance_unit", "rt_start", "rt_end")
+QUERY_SCHEMA = (
     "comment string, mz double, tolerance double, tolerance_unit string, rt_start double, rt_end double")
 
 
@@ -172,4 +172,4 @@ def read_xic_results(spark: SparkSession, paths: Paths) -> DataFrame:
 def read_xic_queries(spark: SparkSession, paths: Paths) -> DataFrame:
     """Queries from a JSON array or from JSON lines."""
     rows = spark.read.json(paths, schema=QUERY_SCHEMA, multiLine=True)
-    return rows.select(_run_id().alias("run_id"), *QUERY_SCHEMA.fieldNames())
+    return rows.select(_run_id().alias("run_id"), *QUERY_COLUMNS)

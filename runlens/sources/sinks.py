@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.operators.records import mzqc_lines
-
-QUERY_COLUMNS = ("comment", "mz", "tolerance", "tolerance_unit", "rt_start", "rt_end")
+from runlens.sources.readers import QUERY_COLUMNS
 
 
 def write_xic_queries(queries: DataFrame, path: str) -> None:
