@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from runlens import bindings as b
 from runlens.functions.exprs import epoch_to_utc, plain_sequence
-from runlens.operators import crossrun, features, identifications, records, spectra, targeted, telemetry
+from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
 from runlens.plans.tables import write_table
 from runlens.schemas import BRUKER_KEY, THERMO_KEY
 
@@ -122,9 +122,7 @@ def precursor_violations(spark, d):
 
 @query
 def rt_quantile_fractions(spark, d):
-    s = b.spectra(spark, d)
-    return spectra.rt_quantile_fractions(s, 1).withColumn("ms_level", F.lit(1)).unionByName(
-        spectra.rt_quantile_fractions(s, 2).withColumn("ms_level", F.lit(2)))
+    return spectra.rt_quantile_fractions(b.spectra(spark, d))
 
 
 @query
@@ -464,6 +462,32 @@ def metric_table_long(spark, d):
         records.TableColumn("rt", "UO:0000010", "second")], order=["scan_no"])
 
 
+def _report_cells(report):
+    """Metric values and two leading table columns as (run, metric, row, value) rows."""
+    values = F.coalesce("value_arr", F.array("value_num"))
+    cells = report.metrics.select("run_id", "short_name", F.posexplode(values).alias("i", "value"))
+    table = report.tables.where(F.col("column_no") == 1).select(
+        "run_id", "short_name", F.col("row_no").cast("int").alias("i"), F.col("value_num").alias("value"))
+    return cells.unionByName(table)
+
+
+@query
+def spectrum_report(spark, d):
+    return _report_cells(reports.spectrum_report(
+        b.spectra(spark, d), b.peaks(spark, d), MINUTES, NOISE, MAX_CHARGE))
+
+
+@query
+def identification_report(spark, d):
+    return _report_cells(reports.identification_report(
+        b.psms(spark, d), b.peptides(spark, d), b.proteins(spark, d), b.nation_runs(spark, d)))
+
+
+@query
+def feature_report(spark, d):
+    return _report_cells(reports.feature_report(_features(spark, d)))
+
+
 @query
 def mzqc_metrics(spark, d):
     return _flat(records.exported_metrics(_metrics(spark, d)))

@@ -113,6 +113,14 @@ def empty_runs(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     return runs.join(metrics.select("run_id"), "run_id", "left_anti")
 
 
+def require_metrics(runs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Runs having metrics; an error if none has."""
+    kept = exclude_empty_runs(runs, metrics)
+    if kept.isEmpty():
+        raise ValueError("no run has any metric")
+    return kept
+
+
 # ---- wide tables ---------------------------------------------------------
 
 def scalars_wide(metrics: DataFrame, names: Sequence[str]) -> DataFrame:

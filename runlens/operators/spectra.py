@@ -151,15 +151,18 @@ def _duration(spectra: DataFrame) -> DataFrame:
     return rt_range(spectra).select("run_id", (F.col("rt_last") - F.col("rt_first")).alias("d"))
 
 
-def rt_quantile_fractions(spectra: DataFrame, level: int) -> DataFrame:
-    """Spans between the RT quartiles of a level, relative to the run's duration.
+def rt_quantile_fractions(spectra: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
+    """Spans between the RT quartiles of each level, relative to the run's duration.
 
-    The first and the last span are measured from 0 and to the duration.
+    The first and the last span are measured from 0 and to the duration; a run
+    without the level has NULL.
     """
-    quartiles = exact_quantiles(spectra.where(F.col("ms_level") == level), ["run_id"], "rt")
-    joined = _duration(spectra).join(quartiles, "run_id", "left")
+    keys = ["run_id", "ms_level"]
+    quartiles = exact_quantiles(spectra.where(F.col("ms_level").isin(*levels)), keys, "rt")
+    wanted = _duration(spectra).withColumn("ms_level", F.explode(F.array(*map(F.lit, levels))))
+    joined = wanted.join(quartiles, keys, "left")
     q25, q50, q75, d = (F.col(c) for c in ("q25", "q50", "q75", "d"))
-    return joined.select("run_id", ratio(q25, d).alias("q1"), ratio(q50 - q25, d).alias("q2"),
+    return joined.select(*keys, ratio(q25, d).alias("q1"), ratio(q50 - q25, d).alias("q2"),
                          ratio(q75 - q50, d).alias("q3"), ratio(d - q75, d).alias("q4"))
 
 

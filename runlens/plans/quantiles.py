@@ -37,11 +37,18 @@ def exact_quantiles(
     """Per key: ``n``, ``min``, ``max`` and each quantile, linearly interpolated.
 
     NULL values are skipped; a key with none left is absent.  ``df`` is read
-    two or three times, so hand in a stored table or a cheap plan.
+    two to four times, so hand in a stored table or a cheap plan.
     """
     keys = list(keys)
     rows = (df.select(*keys, F.col(value).cast("double").alias("v"))
             .where(F.col("v").isNotNull()))
+    longest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if longest <= group_rows:
+        wanted = F.percentile("v", F.array(*map(F.lit, probs.values())))
+        return rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), wanted.alias("q"),
+        ).select(*keys, "n", "min", "max", *[F.col("q")[i].alias(q) for i, q in enumerate(probs)])
+
     edges = sorted({min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-BRACKET, BRACKET)})
     bounds = write_table(rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -49,11 +56,6 @@ def exact_quantiles(
         F.max("v").alias("max"),
         F.percentile_approx("v", edges, ACCURACY).alias("edges"),
     ), "bounds")
-    if bounds.where(F.col("n") > group_rows).isEmpty():
-        picked = rows.groupBy(*keys).agg(
-            F.percentile("v", F.array(*map(F.lit, probs.values()))).alias("q"))
-        return bounds.drop("edges").join(picked, keys).select(
-            *keys, "n", "min", "max", *[F.col("q")[i].alias(q) for i, q in enumerate(probs)])
     small = fits_broadcast(bounds, rows_per_row=2 * len(probs))
 
     placed = lookup_join(rows, bounds.select(*keys, "n", "edges"), keys, broadcast=small)

@@ -75,9 +75,13 @@ METRICS = {
         "MS:4000208", "identified quantification data points charges fractions"),
     "spike_in_metrics": Metric("MS:4000213", "characteristics of spike in and reference peptide"),
     "pump_pressure": Metric("MS:4000210", "vacuum pump pressure"),
+    "bruker_calibrants": Metric("BRUKE_calibrants", "Bruker calibrant information"),
+    "Extracted_Log_Headers": Metric("THERMO_LOG", "The selected extracted Thermo log headers."),
 }
 
-# Key of the header tables of the two vendors.
+# The header tables of the two vendors share a short name.
+THERMO_HEADERS = {"Extracted_Headers": Metric("THERMO", "The selected extracted Thermo headers.")}
+BRUKER_HEADERS = {"Extracted_Headers": Metric("BRUKER", "The selected extracted Bruker headers.")}
 THERMO_KEY = ("THERMO", "Extracted_Headers")
 BRUKER_KEY = ("BRUKER", "Extracted_Headers")
 

@@ -104,7 +104,8 @@ def test_windows_equal_brute_force(spark, seed):
     changes = {r["run_id"]: [r["q2"], r["q3"], r["q4"]] for r in s.tic_change_ratios(df).collect()}
     ratios = {r["run_id"]: [r["q2"], r["q3"], r["q4"]] for r in s.tic_quantile_ratios(df).collect()}
     density = {(r["run_id"], r["ms_level"]): [r["q25"], r["q50"], r["q75"]] for r in s.density_quantiles(df).collect()}
-    spans = {r["run_id"]: [r["q1"], r["q2"], r["q3"], r["q4"]] for r in s.rt_quantile_fractions(df, 2).collect()}
+    spans = {r["run_id"]: [r["q1"], r["q2"], r["q3"], r["q4"]]
+             for r in s.rt_quantile_fractions(df).where("ms_level = 2").collect()}
 
     def log_ratios(values):
         a, b, c = np.quantile(values, [.25, .5, .75])
