@@ -72,7 +72,9 @@ def lookup_join(
     if broadcast:
         return big.join(F.broadcast(small), on, how)
     hashable = [F.col(f"`{f.name}`") for f in big.schema if "map<" not in f.dataType.simpleString()]
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)))
+    # Equal rows are told apart by the partition they come from.
+    share = F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(SALTS))
+    salted = big.withColumn("_salt", share)
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     copies = copies.withColumn("_salt", F.col("_salt").cast("bigint"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

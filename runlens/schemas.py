@@ -79,6 +79,52 @@ METRICS = {
     "Extracted_Log_Headers": Metric("THERMO_LOG", "The selected extracted Thermo log headers."),
 }
 
+# What each metric tells, in our own words.
+_DESCRIPTIONS = {
+    "startTime": "Start of the acquisition in epoch seconds (UTC), -1 if unknown.",
+    "accumulated_MS1_TIC": "Sum of the ion current of all MS1 spectra.",
+    "accumulated_MS2_TIC": "Sum of the ion current of all MS2 spectra.",
+    "nr_MS1": "How many MS1 spectra the run has.",
+    "nr_MS2": "How many MS2 spectra the run has.",
+    "MS2_prec_charge_fraction": "Share of MS2 spectra per precursor charge; 0 is unknown, the highest row includes all above.",
+    "RT_range": "Retention times of the first and the last spectrum.",
+    "base_peak_intensity_max": "Highest base peak of any spectrum.",
+    "total_ion_current_max": "Highest ion current of any spectrum.",
+    "base_peak_intensity_maxima_per_time_range": "Highest base peak from the start up to a time limit.",
+    "total_ion_current_maxima_per_time_ranges": "Highest ion current from the start up to a time limit.",
+    "MS1_TIC": "Ion current and retention time of every MS1 spectrum.",
+    "MS1_map": "MS1 peaks above the noise limit.",
+    "MS2_TIC": "Ion current and retention time of every MS2 spectrum.",
+    "RT_MS1_quantiles": "Relative time spans between the quartiles of MS1 retention times.",
+    "RT_MS2_quantiles": "Relative time spans between the quartiles of MS2 retention times.",
+    "RT_TIC_quantiles": "Relative time spans in which each quarter of the ion current is acquired.",
+    "MS1_freq_max": "Highest MS1 rate in any 60 seconds.",
+    "MS2_freq_max": "Highest MS2 rate in any 60 seconds.",
+    "MS1_density_quantiles": "Quartiles of the number of peaks per MS1 spectrum.",
+    "MS2_density_quantiles": "Quartiles of the number of peaks per MS2 spectrum.",
+    "MS1_TIC_change_quantiles": "log2 ratios of successive quartiles of the MS1 ion-current changes.",
+    "MS1_TIC_quantiles": "log2 ratios of successive quartiles of the MS1 ion current.",
+    "nr_peptides": "Identified peptidoforms.",
+    "nr_protein_groups": "Identified protein groups.",
+    "nr_accessions": "Distinct accessions in the identified protein groups.",
+    "nr_PSMs": "Peptide-spectrum matches within the score limit.",
+    "PSM_charge_fractions": "Share of accepted matches per charge; the highest row includes all above.",
+    "PSM_missed_cleavages_fractions": "Share of accepted matches per number of missed cleavages; the highest row includes all above.",
+    "filtered_psms_ppm_error_quartiles": "Quartiles of the mass error of accepted matches.",
+    "filtered_psms_ppm_error_mean": "Mean mass error of accepted matches.",
+    "filtered_psms_ppm_error_sigma": "Standard deviation of the mass error of accepted matches.",
+    "identified_psms_table": "All target matches before the score limit.",
+    "nr_features": "Quantification features found.",
+    "nr_ident_features": "Quantification features with an identification.",
+    "features_charges": "Share of features per charge; the highest row includes all above.",
+    "ident_features_charge": "Share of identified features per charge; the highest row includes all above.",
+    "spike_in_metrics": "Observed and expected values of the spike-in peptides.",
+    "pump_pressure": "Pump pressure over time.",
+    "bruker_calibrants": "Most intense peak near each calibrant over time.",
+    "Extracted_Log_Headers": "Selected tune values of the run.",
+}
+METRICS = {short: m._replace(description=_DESCRIPTIONS[short]) for short, m in METRICS.items()}
+
 # The header tables of the two vendors share a short name.
 THERMO_HEADERS = {"Extracted_Headers": Metric("THERMO", "The selected extracted Thermo headers.")}
 BRUKER_HEADERS = {"Extracted_Headers": Metric("BRUKER", "The selected extracted Bruker headers.")}
