@@ -471,7 +471,7 @@ ORACLE["relabel_buckets"] = f"""WITH {CHARGE_FRACTIONS}
 SELECT run_id, CASE charge WHEN 4 THEN 'more' WHEN 0 THEN 'Unknown' ELSE CAST(charge AS VARCHAR) END AS charge,
   {r('fraction')} AS fraction FROM charges"""
 ORACLE["overlay_series"] = f"""WITH {SUMMARY}
-SELECT run_id, scan_no, {r('rt / 60')} AS rt, tic FROM summary WHERE ms_level = 1"""
+SELECT run_id, ms_level, scan_no, {r('rt / 60')} AS rt, tic FROM summary WHERE ms_level = 1"""
 ORACLE["scale_timestamps"] = f"""WITH {OVERVIEW},
 t AS (SELECT run_id, rt_first * 86400 + 788918400 AS t FROM overview)
 SELECT run_id, CASE WHEN (SELECT min(t) = max(t) FROM t) THEN 1.0::DOUBLE

@@ -69,8 +69,7 @@ def spectrum_summary(spark, d):
 
 @query
 def accumulated_tic(spark, d):
-    s = _summary(spark, d)
-    return spectra.accumulated_tic(s, 1, "ms1_tic").join(spectra.accumulated_tic(s, 2, "ms2_tic"), "run_id")
+    return spectra.accumulated_tic(_summary(spark, d))
 
 
 @query
@@ -100,9 +99,7 @@ def run_maxima_up_to(spark, d):
 
 @query
 def tic_series(spark, d):
-    s = _summary(spark, d)
-    return spectra.tic_series(s, 1).withColumn("ms_level", F.lit(1)).unionByName(
-        spectra.tic_series(s, 2).withColumn("ms_level", F.lit(2)))
+    return spectra.tic_series(_summary(spark, d))
 
 
 @query
@@ -456,7 +453,7 @@ def metric_records(spark, d):
 
 @query
 def metric_table_long(spark, d):
-    tic = spectra.tic_series(_summary(spark, d), 1)
+    tic = spectra.tic_series(_summary(spark, d), [1])
     return records.metric_table(tic, "MS1_TIC", [
         records.TableColumn("tic", "MS:1000285", "total ion current"),
         records.TableColumn("rt", "UO:0000010", "second")], order=["scan_no"])
@@ -591,7 +588,7 @@ def normalise_within_run(spark, d):
 
 @query
 def overlay_series(spark, d):
-    return crossrun.overlay_series(spectra.tic_series(_summary(spark, d), 1), unit="min")
+    return crossrun.overlay_series(spectra.tic_series(_summary(spark, d), [1]), unit="min")
 
 
 @query

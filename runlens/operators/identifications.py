@@ -68,14 +68,15 @@ def group_psm_accessions(psms: DataFrame) -> DataFrame:
     drop the duplicates this leaves.
 
     Rows are reduced to distinct ones before they get the joined text, so the
-    text is stored once per distinct row.
+    text is stored once per distinct row.  Every row finds its PSM; as a left
+    join Spark can leave it out where the text is not used.
     """
     keys = ["run_id", "psm_id"]
     listed = F.array_sort(F.collect_list(F.struct("position", "accession")))
     joined = psms.groupBy(*keys).agg(
         F.array_join(F.transform(listed, lambda x: x["accession"]), ",").alias("accession"))
     rest = psms.drop("accession", "position").distinct()
-    return rest.join(joined, keys).select("run_id", *PSM_COLUMNS)
+    return rest.join(joined, keys, "left").select("run_id", *PSM_COLUMNS)
 
 
 def filter_fdr(psms: DataFrame, maximum: float = 0.01) -> DataFrame:

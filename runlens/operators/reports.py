@@ -91,9 +91,9 @@ def spectrum_report(
         metric_table(maxima, "total_ion_current_maxima_per_time_ranges",
                      [TableColumn("tic_max", "MS:1000285", "total ion current"), *RANGE_COLUMNS],
                      row_no="row_no"),
-        metric_table(sp.tic_series(summary, 1), "MS1_TIC", TIC_COLUMNS, order=["scan_no"]),
-        metric_table(sp.tic_series(summary, 2), "MS2_TIC", TIC_COLUMNS, order=["scan_no"]),
-        metric_table(sp.ion_map(spectra, peaks, threshold), "MS1_map", MAP_COLUMNS,
+        metric_table(sp.tic_series(summary, [1]), "MS1_TIC", TIC_COLUMNS, order=["scan_no"]),
+        metric_table(sp.tic_series(summary, [2]), "MS2_TIC", TIC_COLUMNS, order=["scan_no"]),
+        metric_table(sp.ion_map(spectra, peaks, threshold, summary), "MS1_map", MAP_COLUMNS,
                      order=["scan_no", "mz", "intensity"]),
     ]
     return Report(_union(records), _union(tables))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.functions.exprs import bucket_counts, bucket_rows, log2_ratio, ratio, utc_text_to_epoch
@@ -48,10 +48,13 @@ def spectrum_summary_nested(spectra: DataFrame) -> DataFrame:
         F.coalesce(F.array_size("peaks"), F.lit(0)).cast("bigint").alias("n_peaks"))
 
 
-def accumulated_tic(summary: DataFrame, level: int, name: str = "accumulated_tic") -> DataFrame:
-    """Total ion current of one MS level; 0 for a run without it."""
-    tic = F.when(F.col("ms_level") == level, F.col("tic")).otherwise(0.0)
-    return summary.groupBy("run_id").agg(F.sum(tic).alias(name))
+def _tic_of(level: int) -> Column:
+    return F.sum(F.when(F.col("ms_level") == level, F.col("tic")).otherwise(0.0))
+
+
+def accumulated_tic(summary: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
+    """Total ion current of each MS level; 0 for a run without it."""
+    return summary.groupBy("run_id").agg(*[_tic_of(level).alias(f"ms{level}_tic") for level in levels])
 
 
 def spectrum_counts(spectra: DataFrame) -> DataFrame:
@@ -100,32 +103,34 @@ def run_maxima_up_to(summary: DataFrame, minutes: float) -> DataFrame:
 
 def run_overview(summary: DataFrame) -> DataFrame:
     """Counts, TIC totals, RT range and maxima of every run in one pass."""
-    def tic_of(level: int):
-        return F.sum(F.when(F.col("ms_level") == level, F.col("tic")).otherwise(0.0))
     return summary.groupBy("run_id").agg(
         F.count_if(F.col("ms_level") == 1).alias("nr_ms1"),
         F.count_if(F.col("ms_level") == 2).alias("nr_ms2"),
-        tic_of(1).alias("accumulated_ms1_tic"),
-        tic_of(2).alias("accumulated_ms2_tic"),
+        _tic_of(1).alias("accumulated_ms1_tic"),
+        _tic_of(2).alias("accumulated_ms2_tic"),
         F.min_by("rt", "scan_no").alias("rt_first"),
         F.max_by("rt", "scan_no").alias("rt_last"),
         F.max("base_peak").alias("base_peak_max"),
         F.max("tic").alias("tic_max"))
 
 
-def tic_series(summary: DataFrame, level: int) -> DataFrame:
-    """(rt, TIC) of every spectrum of a level; order by ``scan_no`` on output."""
-    return summary.where(F.col("ms_level") == level).select("run_id", "scan_no", "rt", "tic")
+def tic_series(summary: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
+    """(rt, TIC) of every spectrum of the levels; order by ``scan_no`` on output."""
+    return summary.where(F.col("ms_level").isin(*levels)).select(
+        "run_id", "ms_level", "scan_no", "rt", "tic")
 
 
-def ion_map(spectra: DataFrame, peaks: DataFrame, threshold: float = 0.0) -> DataFrame:
+def ion_map(
+    spectra: DataFrame, peaks: DataFrame, threshold: float = 0.0, summary: DataFrame | None = None
+) -> DataFrame:
     """MS1 peaks of at least ``threshold`` times the run's highest intensity.
 
-    The highest intensity is that of the whole run, all MS levels.
+    The highest intensity is that of the whole run, all MS levels; a stored
+    ``summary`` saves the pass over the peaks that finds it.
     """
-    highest = spectra.select("spectrum_id", "run_id").join(
-        peaks.groupBy("spectrum_id").agg(F.max("intensity").alias("intensity")), "spectrum_id"
-    ).groupBy("run_id").agg((F.max("intensity") * threshold).alias("noise"))
+    if summary is None:
+        summary = spectrum_summary(spectra, peaks)
+    highest = summary.groupBy("run_id").agg((F.max("base_peak") * threshold).alias("noise"))
     ms1 = attach(spectra.where(F.col("ms_level") == 1)
                  .select("run_id", "spectrum_id", "scan_no", "rt"), highest, ["run_id"])
     # The big table is shuffled once, on the spectrum.

@@ -32,14 +32,14 @@ def test_summary_and_totals(small, rows):
     summary = s.spectrum_summary(*small)
     assert ("a", 4, 2, 30.0, 0.0, 0.0, 0) in rows(summary)
     assert ("a", 1, 1, 0.0, 12.0, 7.0, 2) in rows(summary)
-    assert rows(s.accumulated_tic(summary, 2)) == [("a", 20.0), ("b", 0.0)]
+    assert rows(s.accumulated_tic(summary)) == [("a", 12.0, 20.0), ("b", 0.0, 0.0)]
     assert rows(s.spectrum_counts(small[0])) == [("a", 1, 5), ("b", 1, 0)]
     assert rows(s.rt_range(small[0])) == [("a", 0.0, 5.0), ("b", 60.0, 60.0)]
     assert rows(s.run_maxima(summary)) == [("a", 50.0, 51.0), ("b", 0.0, 0.0)]
     # exactly at the limit counts; not positive means the whole run
     assert rows(s.run_maxima_up_to(summary, 10 / 60)) == [("a", 50.0, 51.0, 0.0, 10.0), ("b", None, None, 0.0, 10.0)]
     assert rows(s.run_maxima_up_to(summary, 0), "run_id", "tic_max") == [("a", 51.0), ("b", 0.0)]
-    assert rows(s.tic_series(summary, 1)) == [("a", 1, 0.0, 12.0), ("b", 1, 60.0, 0.0)]
+    assert rows(s.tic_series(summary, [1])) == [("a", 1, 1, 0.0, 12.0), ("b", 1, 1, 60.0, 0.0)]
 
 
 def test_nested_peaks_give_the_same_summary(spark, small, rows):
