@@ -101,9 +101,12 @@ def spectrum_report(
 
 def identification_report(
     psms: DataFrame, peptides: DataFrame, proteins: DataFrame, runs: DataFrame,
-    max_fdr: float = 0.01, split_members: bool = False,
+    max_fdr: float = 0.01, split_members: bool = False, store_psms: bool = False,
 ) -> Report:
-    """Everything computed from identifications, for every run of ``runs``."""
+    """Everything computed from identifications, for every run of ``runs``.
+
+    ``store_psms`` adds the table of all target PSMs before the score limit.
+    """
     grouped = ids.group_psm_accessions(ids.filter_target_psms(psms))
     good = write_table(ids.filter_fdr(grouped, max_fdr), "psms")
     ppm = ids.ppm_summary(good, runs)
@@ -122,6 +125,8 @@ def identification_report(
         metric_table(ids.missed_cleavage_fractions(good, runs), "PSM_missed_cleavages_fractions",
                      CLEAVAGE_COLUMNS, row_no="missed_cleavages"),
     ]
+    if store_psms:
+        tables.append(psm_table(ids.psm_full_table(grouped)))
     return Report(_union(records), _union(tables))
 
 
@@ -137,6 +142,12 @@ def feature_report(features: DataFrame, max_charge: int = 5) -> Report:
     return Report(counts, _union(tables))
 
 
+def psm_table(psms: DataFrame) -> DataFrame:
+    columns = [TableColumn(c, "", c) for c in psms.columns if c != "run_id"]
+    order = [c.source for c in columns]
+    return metric_table(psms, "identified_psms_table", columns, order=order)
+
+
 def spikein_table(spikeins: DataFrame) -> DataFrame:
     return metric_table(spikeins, "spike_in_metrics", SPIKEIN_COLUMNS, order=["position"])
 

@@ -46,11 +46,14 @@ def _run_id() -> Column:
     return F.substring_index(F.element_at(F.split("_metadata.file_path", "/"), -1), ".", 1)
 
 
+def _position() -> Column:
+    """Grows through each file, also if it is read in several pieces."""
+    return F.struct(F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row")).alias("position")
+
+
 def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Lines with their run and a position that grows through each file."""
-    position = F.struct(F.col("_metadata.file_block_start").alias("block"),
-                        F.monotonically_increasing_id().alias("row"))
-    return spark.read.text(paths).select(_run_id().alias("run_id"), position.alias("position"), "value")
+    return spark.read.text(paths).select(_run_id().alias("run_id"), _position(), "value")
 
 
 def read_mztab_cells(spark: SparkSession, paths: Paths, section: str) -> DataFrame:
@@ -144,17 +147,16 @@ def read_peptide_export(spark: SparkSession, paths: Paths) -> DataFrame:
 def read_spikeins(spark: SparkSession, paths: Paths) -> DataFrame:
     """Spike-in list; columns are found by name in any order."""
     rows = spark.read.csv(paths, header=True)
-    position = F.monotonically_increasing_id().alias("position")
     return rows.select(
         _run_id().alias("run_id"), "name", "sequence", F.col("mz").cast("double").alias("mz"),
         F.col("RT").cast("double").alias("rt"), F.col("`mz-tol`").alias("mz_tol"),
-        F.col("`rt-tol`").cast("double").alias("rt_tol"), position)
+        F.col("`rt-tol`").cast("double").alias("rt_tol"), _position())
 
 
 def read_ident_counts(spark: SparkSession, paths: Paths) -> DataFrame:
     """Headerless ``sequence,count``; the last of equal sequences wins."""
     rows = spark.read.csv(paths, schema="sequence string, count bigint").select(
-        _run_id().alias("run_id"), "sequence", "count", F.monotonically_increasing_id().alias("position"))
+        _run_id().alias("run_id"), "sequence", "count", _position())
     return rows.groupBy("run_id", "sequence").agg(F.max_by("count", "position").alias("count"))
 
 

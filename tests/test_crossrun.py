@@ -211,3 +211,38 @@ def test_mzqc_documents(spark, metrics, tables, tmp_path):
 def test_registry_is_complete():
     assert len({m.accession for m in METRICS.values()}) == len(METRICS)
     assert all(isinstance(m, Metric) and m.name for m in METRICS.values())
+
+
+def test_reports_of_tables(spark, rows):
+    from runlens.operators import reports
+    spikeins = spark.createDataFrame([("a", "PEP", 5.0, 60.0, 2, 61.0, 7)],
+                                     "run_id string, sequence string, maximum_intensity double, rt_at_maximum double,"
+                                     " nr_identifications bigint, expected_rt double, position bigint")
+    got = rows(reports.spikein_table(spikeins), "row_no", "column_no", "column_accession", "value_num", "value_str")
+    assert got[0] == (0, 0, "MS:1003169", None, "PEP") and got[4] == (0, 4, "MS:1000897", 61.0, None)
+    wide = spark.createDataFrame([("a", 2.0, 7.0), ("a", 1.0, 6.0)], "run_id string, Time double, Pressure double")
+    table = reports.header_table(wide, "bruker", ["Time"])
+    assert rows(table, "accession", "row_no", "column_name", "value_num") == [
+        ("BRUKER", 0, "Pressure", 6.0), ("BRUKER", 0, "Time", 1.0), ("BRUKER", 1, "Pressure", 7.0), ("BRUKER", 1, "Time", 2.0)]
+    observed = spark.createDataFrame([("a", 1, 50.0, 0.5, 3.0, 49.0, 0.4)],
+                                     "run_id string, calibrant_no int, calibrant_mz double, calibrant_mobility double,"
+                                     " observed_rt double, observed_mz double, observed_mobility double")
+    assert reports.calibrant_table(observed).count() == 5
+    pressure = spark.createDataFrame([("a", None, None)], "run_id string, x double, y double")
+    assert rows(reports.pressure_table(pressure), "column_no", "value_num") == [(0, None), (1, None)]
+    assert c.require_metrics(wide, wide).count() == 2
+    with pytest.raises(ValueError, match="no run"):
+        c.require_metrics(wide, wide.where("false"))
+
+
+def test_identification_report_with_psms(spark):
+    from runlens.operators import reports
+    from test_identifications import PSM, psm
+    psms = spark.createDataFrame([psm("a", "1", "P1"), psm("a", "2", "P2", decoy=1)], PSM)
+    peptides = spark.createDataFrame([("a",)], "run_id string")
+    proteins = spark.createDataFrame([("a", "P1", None)], "run_id string, accession string, ambiguity_members string")
+    report = reports.identification_report(psms, peptides, proteins, peptides, store_psms=True)
+    stored = report.tables.where("short_name = 'identified_psms_table'")
+    assert stored.select("row_no").distinct().count() == 1
+    assert stored.where("column_name = 'psm_level_fdrscore'").first()["value_num"] == 0.001
+    assert report.metrics.where("short_name = 'nr_PSMs'").first()["value_num"] == 1
