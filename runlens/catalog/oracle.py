@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from runlens.schemas import METRICS, THERMO_KEY, BRUKER_KEY
+from runlens.schemas import METRICS
 
 ORACLE: dict[str, str] = {}
 
@@ -448,7 +448,6 @@ SELECT run_id, make_timestamp(CAST((rt_first * 86400 + 788918400) * 1000000 AS B
   {r('rt_first / 60')} AS "RT_range_min", {r('rt_last / 60')} AS "RT_range_max", {SCALARS},
   base_peak_intensity_maxima_per_time_range, c.* EXCLUDE (run_id), CAST(NULL AS DOUBLE) AS nr_peptides
 FROM runs10 LEFT JOIN overview USING (run_id) LEFT JOIN c USING (run_id) LEFT JOIN l USING (run_id)"""
-CATALOGUE = [(s, METRICS[s]) for s in ["RT_range", *[s for s, _ in METRIC_ROWS], *[s for s, _ in FEATURE_ROWS]]]
 ORACLE["metric_catalogue"] = f"""WITH {OVERVIEW}, {RUN_METRICS}, {FEATURE_METRICS},
 a AS (SELECT * FROM metrics UNION ALL SELECT * FROM fmetrics)
 SELECT DISTINCT accession || ' ! ' || short_name AS key, description, name, short_name, unit_accession, unit_name

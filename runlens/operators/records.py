@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +36,10 @@ VOCABULARY = {
 }
 
 
+# Sorts behind every row of a column.
+LAST_ROW = 2 ** 62
+
+
 class TableColumn(NamedTuple):
     source: str
     accession: str
@@ -145,6 +150,41 @@ def _number(value: Column) -> Column:
         valid, value.cast("string")).otherwise("null")
 
 
+def _line(df: DataFrame, section: int, line: Column, metric: Column | str = "",
+          column_no: Column | int = -1, row_no: Column | int = -1) -> DataFrame:
+    """One line of text with its place in the document of its run."""
+    def column(value):
+        return value if isinstance(value, Column) else F.lit(value)
+    return df.select(
+        "run_id", F.lit(section).alias("section"), column(metric).alias("metric"),
+        column(column_no).cast("int").alias("column_no"), column(row_no).cast("bigint").alias("row_no"),
+        line.alias("line"))
+
+
+def _comma_unless(first: Column) -> Column:
+    return F.when(first, "").otherwise(",")
+
+
+def _frame_lines(metrics: DataFrame, metric_tables: DataFrame, created: str) -> list[DataFrame]:
+    """First and last line of each run's document."""
+    starts = metrics.where(F.col("short_name") == "startTime").groupBy("run_id").agg(
+        F.max("value_num").alias("start"))
+    runs = metrics.select("run_id").unionByName(metric_tables.select("run_id")).distinct()
+    started = F.date_format(epoch_to_utc(F.col("start")), "yyyy-MM-dd HH:mm:ss")
+    start_property = F.when(F.col("start") > 0, F.to_json(F.struct(
+        *[F.lit(v).alias(k) for k, v in START_TIME_PROPERTY.items()], started.alias("value"))))
+    header = F.concat(
+        F.lit('{"mzQC":{"version":"' + DOCUMENT_VERSION + '","creationDate":'), _text("created"),
+        F.lit(',"runQualities":[{"metadata":{"inputFiles":[{"name":'), _text("run_id"),
+        F.lit(',"location":null,"fileFormat":'), _json(FILE_FORMAT),
+        F.lit(',"fileProperties":['), F.coalesce(start_property, F.lit("")),
+        F.lit(']}],"analysisSoftware":['), _json(SOFTWARE), F.lit(']},"qualityMetrics":['))
+    footer = F.concat(F.lit(']}],"setQualities":[],"controlledVocabularies":['),
+                      _json(VOCABULARY), F.lit("]}}"))
+    documents = runs.join(starts, "run_id", "left").withColumn("created", F.lit(created))
+    return [_line(documents, 0, header), _line(documents, 2, footer)]
+
+
 def mzqc_lines(
     metrics: DataFrame, metric_tables: DataFrame, created: str, registry: Mapping[str, Metric] = METRICS
 ) -> DataFrame:
@@ -152,78 +192,48 @@ def mzqc_lines(
 
     A series of a run can be long, so a document is never built as one value:
     every table cell is a line of its own, and lines are put in order on
-    writing (``sources.sinks.write_mzqc``).  Output: run_id, section, metric,
-    column_no, row_no, line.
+    writing (``sources.sinks.write_mzqc``).  A table is written only if all its
+    columns carry an accession, else its value is null.  Output: run_id,
+    section, metric, column_no, row_no, line.
     """
-    def lines(df, section, metric, column_no, row_no, line):
-        return df.select("run_id", F.lit(section).alias("section"), metric.alias("metric"),
-                         F.lit(column_no).cast("int").alias("column_no") if isinstance(column_no, int)
-                         else column_no.cast("int").alias("column_no"),
-                         F.lit(row_no).cast("bigint").alias("row_no") if isinstance(row_no, int)
-                         else row_no.cast("bigint").alias("row_no"), line.alias("line"))
-
-    exported = exported_metrics(metrics).withColumn("metric", F.concat_ws(" ! ", "accession", "short_name"))
-    names = {short: m.name for short, m in registry.items()}
-    table_name = F.coalesce(F.element_at(
-        F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("short_name")), "short_name")
-    cells = exported_metrics(metric_tables).withColumn(
-        "metric", F.concat_ws(" ! ", "accession", "short_name")).withColumn("name", table_name)
-
-    # Per table: its columns and whether all of them carry an accession.
+    key = F.concat_ws(" ! ", "accession", "short_name")
+    names = F.create_map(*[F.lit(x) for short, m in registry.items() for x in (short, m.name)])
+    single = exported_metrics(metrics).withColumn("metric", key)
+    cells = exported_metrics(metric_tables).withColumns({
+        "metric": key, "name": F.coalesce(F.element_at(names, F.col("short_name")), "short_name")})
+
     columns = cells.groupBy("run_id", "metric", "accession", "name", "column_no").agg(
         F.max("column_accession").alias("column_accession"))
+    has_accession = F.coalesce(F.col("column_accession").rlike(COLUMN_ACCESSION), F.lit(False))
     tables = columns.groupBy("run_id", "metric", "accession", "name").agg(
-        F.bool_and(F.coalesce(F.col("column_accession").rlike(COLUMN_ACCESSION), F.lit(False))).alias("named"),
-        F.max("column_no").alias("last_column"))
-
-    everything = exported.select("run_id", "metric").unionByName(tables.select("run_id", "metric"))
-    first = everything.groupBy("run_id").agg(F.min("metric").alias("first_metric"))
-
-    def comma(df):
-        joined = df.join(first, "run_id")
-        return joined.withColumn("comma", F.when(F.col("metric") == F.col("first_metric"), "").otherwise(","))
+        F.bool_and(has_accession).alias("named"), F.max("column_no").alias("last_column"))
 
+    first = single.select("run_id", "metric").unionByName(tables.select("run_id", "metric")).groupBy(
+        "run_id").agg(F.min("metric").alias("first_metric"))
+    head = F.concat(_comma_unless(F.col("metric") == F.col("first_metric")), F.lit('{"accession":'),
+                    _text("accession"), F.lit(',"name":'), _text("name"), F.lit(',"value":'))
     unit = F.when(F.length("unit_accession") > 0, F.concat(
         F.lit(',"unit":'), F.to_json(F.struct("unit_accession", "unit_name")))).otherwise("")
     array = F.concat(F.lit("["), F.array_join(F.transform("value_arr", _number), ","), F.lit("]"))
-    value = F.when(F.col("value_arr").isNull(), F.coalesce(_text("value_str"), _number(F.col("value_num"))))
-    value = value.when(F.size("value_arr") == 1, _number(F.get(F.col("value_arr"), F.lit(0)))).otherwise(array)
-    head = F.concat(F.col("comma"), F.lit('{"accession":'), _text("accession"),
-                    F.lit(',"name":'), _text("name"), F.lit(',"value":'))
-    single = lines(comma(exported), 1, F.col("metric"), -1, -1,
-                   F.concat(head, value, unit, F.lit("}")))
-    opened = lines(comma(tables), 1, F.col("metric"), -1, -1,
-                   F.concat(head, F.when(F.col("named"), "{").otherwise("null}")))
-    closed = lines(tables.where("named"), 1, F.col("metric"), F.col("last_column") + 1, 0, F.lit("}}"))
-
-    named = columns.join(tables.where("named").select("run_id", "metric"), ["run_id", "metric"])
-    column_open = lines(named, 1, F.col("metric"), F.col("column_no"), -1, F.concat(
-        F.when(F.col("column_no") > 0, ",").otherwise(""), _text("column_accession"), F.lit(":[")))
-    column_close = lines(named, 1, F.col("metric"), F.col("column_no"), 2 ** 62, F.lit("]"))
+    value = F.when(
+        F.col("value_arr").isNull(), F.coalesce(_text("value_str"), _number(F.col("value_num")))
+    ).when(F.size("value_arr") == 1, _number(F.get(F.col("value_arr"), F.lit(0)))).otherwise(array)
+
+    metric, number = F.col("metric"), F.col("column_no")
+    named_columns = columns.join(tables.where("named").select("run_id", "metric"), ["run_id", "metric"])
     unnamed = tables.where(~F.col("named")).select("run_id", "metric")
     shown = attach(cells, unnamed, ["run_id", "metric"], "left_anti")
-    cell = lines(shown, 1, F.col("metric"), F.col("column_no"), F.col("row_no"), F.concat(
-        F.when(F.col("row_no") > 0, ",").otherwise(""),
-        F.coalesce(_text("value_str"), _number(F.col("value_num")))))
-
-    starts = metrics.where(F.col("short_name") == "startTime").groupBy("run_id").agg(
-        F.max("value_num").alias("start"))
-    runs = metrics.select("run_id").unionByName(metric_tables.select("run_id")).distinct()
-    started = F.date_format(epoch_to_utc(F.col("start")), "yyyy-MM-dd HH:mm:ss")
-    prop = F.when(F.col("start") > 0, F.to_json(F.struct(
-        *[F.lit(v).alias(k) for k, v in START_TIME_PROPERTY.items()], started.alias("value"))))
-    header = F.concat(
-        F.lit('{"mzQC":{"version":"' + DOCUMENT_VERSION + '","creationDate":'), _text("created"),
-        F.lit(',"runQualities":[{"metadata":{"inputFiles":[{"name":'), _text("run_id"),
-        F.lit(',"location":null,"fileFormat":'), _json(FILE_FORMAT),
-        F.lit(',"fileProperties":['), F.coalesce(prop, F.lit("")),
-        F.lit(']}],"analysisSoftware":['), _json(SOFTWARE), F.lit(']},"qualityMetrics":['))
-    footer = F.concat(F.lit(']}],"setQualities":[],"controlledVocabularies":['), _json(VOCABULARY), F.lit("]}}"))
-    documents = runs.join(starts, "run_id", "left").withColumn("created", F.lit(created))
-    begin = lines(documents, 0, F.lit(""), -1, -1, header)
-    end = lines(documents, 2, F.lit(""), -1, -1, footer)
-
-    result = begin
-    for part in (single, opened, column_open, cell, column_close, closed, end):
-        result = result.unionByName(part)
-    return result
+    parts = [
+        *_frame_lines(metrics, metric_tables, created),
+        _line(single.join(first, "run_id"), 1, F.concat(head, value, unit, F.lit("}")), metric),
+        _line(tables.join(first, "run_id"), 1,
+              F.concat(head, F.when(F.col("named"), "{").otherwise("null}")), metric),
+        _line(named_columns, 1, F.concat(
+            _comma_unless(number == 0), _text("column_accession"), F.lit(":[")), metric, number),
+        _line(shown, 1, F.concat(
+            _comma_unless(F.col("row_no") == 0), F.coalesce(_text("value_str"), _number(F.col("value_num")))),
+            metric, number, F.col("row_no")),
+        _line(named_columns, 1, F.lit("]"), metric, number, LAST_ROW),
+        _line(tables.where("named"), 1, F.lit("}}"), metric, F.col("last_column") + 1),
+    ]
+    return reduce(DataFrame.unionByName, parts)

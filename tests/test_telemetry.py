@@ -1,7 +1,6 @@
 import struct
 
 import pytest
-from pyspark.sql import functions as F
 
 from runlens.operators import telemetry as t
 from runlens.operators.crossrun import headers_long
