@@ -10,9 +10,9 @@ median of all texts; a text outside a band of its group is rejected.
 from __future__ import annotations
 
 import base64
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from runlens.plans.tables import write_table
 
 TOKENIZERS = "/opt/tokenizers"
 # Words with known counts kept by a worker; it starts anew when they are more.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -73,13 +73,13 @@ class _Encoder:
             model = sentencepiece.SentencePieceProcessor(model_file=vocabulary.path)
             self.size = model.get_piece_size()
             self.is_byte = np.array([model.is_byte(i) or model.is_unknown(i) for i in range(self.size)])
-            self._encode = lambda words: model.encode(words, num_threads=1)
+            self.encode = lambda words: model.encode(words, num_threads=1)
         else:
             import tiktoken
             from public_tokenizers import PATTERN
             with open(vocabulary.path, "rb") as lines:
                 ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
-            encoding = tiktoken.Encoding(vocabulary.name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            core = tiktoken.Encoding(vocabulary.name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
             self.size = max(ranks.values()) + 1
             self.is_byte = np.zeros(self.size, bool)
             for token, rank in ranks.items():
@@ -87,33 +87,56 @@ class _Encoder:
                     token.decode()
                 except UnicodeDecodeError:
                     self.is_byte[rank] = True
-            self._encode = lambda words: [encoding.encode_ordinary(" " + w) for w in words]
+            self.encode = lambda words: [core.encode_ordinary(" " + w) for w in words]
+
+
+class _WordTokens:
+    """Token ids of the words seen by a worker, by word hash."""
+
+    def __init__(self, vocabularies: Sequence[Vocabulary]):
+        self.encoders = {v.name: _Encoder(v) for v in vocabularies}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.first, self.ids = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
-        self._flat = None
-
-    def learn(self, hashes: list[int], words: list[str]) -> None:
-        for h in hashes:
-            self.known[h] = len(self.known)
-        encoded = self._encode(words)
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.first.append(self.first[-1][-1] + np.cumsum(lengths))
-        self.ids.append(np.fromiter((i for e in encoded for i in e), np.int32, int(lengths.sum())))
-        self._flat = None
-
-    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.first = {n: np.zeros(1, np.int64) for n in self.encoders}
+        self.ids = {n: np.empty(0, np.int32) for n in self.encoders}
+
+    def find(self, block: Block) -> np.ndarray:
+        """Numbers of the block's words; encodes those not seen yet."""
+        starts, ends = block.spans
+        unique, where, inverse = np.unique(block.word_hash, return_index=True, return_inverse=True)
+        if len(self.hashes) > CACHE_WORDS:
+            self.forget()
+        at = np.searchsorted(self.hashes, unique)
+        new = np.append(self.hashes, np.uint64(0))[at] != unique
+        new[at == len(self.hashes)] = True
+        if new.any():
+            raw = block.data.tobytes()
+            words = [raw[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
+            for n, encoder in self.encoders.items():
+                encoded = encoder.encode(words)
+                lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+                ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
+                self.first[n] = np.append(self.first[n], self.first[n][-1] + np.cumsum(lengths))
+                self.ids[n] = np.append(self.ids[n], ids)
+            numbers = len(self.hashes) + np.arange(len(words))
+            self.hashes = np.insert(self.hashes, at[new], unique[new])
+            self.numbers = np.insert(self.numbers, at[new], numbers)
+            at = np.searchsorted(self.hashes, unique)
+        return self.numbers[at][inverse]
+
+    def tokens(self, name: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token counts and token ids, on end, of words given by their number."""
-        if self._flat is None:
-            self.first, self.ids = [np.concatenate(self.first)], [np.concatenate(self.ids)]
-            self._flat = True
-        first, ids = self.first[0], self.ids[0]
+        first = self.first[name]
         counts = first[numbers + 1] - first[numbers]
         ends = np.cumsum(counts)
         at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[numbers] - ends + counts, counts)
-        return counts, ids[at]
+        return counts, self.ids[name][at]
+
+
+# One per worker and set of vocabularies: workers serve one task after the other.
+_seen: dict[tuple[Vocabulary, ...], _WordTokens] = {}
 
 
 _SYMBOL = np.zeros(256, bool)
@@ -163,28 +186,16 @@ def _entropy(text: np.ndarray, ids: np.ndarray, size: int, counts: np.ndarray) -
     return np.maximum(np.log2(n) - mass / n, 0.0)
 
 
-def fertility_counts(block: Block, encoders: dict[str, _Encoder]) -> dict[str, np.ndarray]:
+def fertility_counts(block: Block, words: _WordTokens) -> dict[str, np.ndarray]:
     """Tokens, byte tokens and entropy of every text of a block, by vocabulary."""
-    starts, ends = block.spans
-    unique, where, inverse = np.unique(block.word_hash, return_index=True, return_inverse=True)
-    hashes, out = unique.tolist(), {}
-    raw = block.data.tobytes()
-    for name, encoder in encoders.items():
-        if len(encoder.known) > CACHE_WORDS:
-            encoder.forget()
-        new = [k for k, h in enumerate(hashes) if h not in encoder.known]
-        if new:
-            encoder.learn([hashes[k] for k in new],
-                          [raw[starts[w]:ends[w]].decode() for w in where[new]])
-        known = encoder.known
-        numbers = np.fromiter((known[h] for h in hashes), np.int64, len(hashes))[inverse]
-        per_word, ids = encoder.tokens(numbers)
+    numbers, out, n = words.find(block), {}, block.n_texts
+    for name, encoder in words.encoders.items():
+        per_word, ids = words.tokens(name, numbers)
         text = np.repeat(block.text_of_word, per_word)
-        counts = np.bincount(text, minlength=block.n_texts)
+        counts = np.bincount(text, minlength=n)
         out[f"{name}_tokens"] = counts.astype(np.int64)
-        out[f"{name}_byte_tokens"] = np.bincount(text, weights=encoder.is_byte[ids],
-                                                 minlength=block.n_texts).astype(np.int64)
-        out[f"{name}_entropy"] = _entropy(text.astype(np.int64), ids, encoder.size, counts)
+        out[f"{name}_byte_tokens"] = np.bincount(text[encoder.is_byte[ids]], minlength=n).astype(np.int64)
+        out[f"{name}_entropy"] = _entropy(text, ids, encoder.size, counts)
     return out
 
 
@@ -196,11 +207,12 @@ def measure(docs: DataFrame, vocabularies: Sequence[Vocabulary] = VOCABULARIES)
         columns += [(f"{v.name}_tokens", "bigint"), (f"{v.name}_byte_tokens", "bigint"), (f"{v.name}_entropy", "double")]
 
     def run(batches):
-        encoders = {v.name: _Encoder(v) for v in vocabularies}
+        words = _seen.setdefault(tuple(vocabularies), None) or _WordTokens(vocabularies)
+        _seen[tuple(vocabularies)] = words
         for batch in batches:
             for block in blocks(batch.column("text")):
                 rows = batch.slice(block.first_row, block.n_texts)
-                found = base_counts(block) | fertility_counts(block, encoders)
+                found = base_counts(block) | fertility_counts(block, words)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("band_group"), *[pa.array(found[c]) for c, _ in columns]],
                     ["doc_id", "band_group", *[c for c, _ in columns]])
