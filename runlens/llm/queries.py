@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from runlens.llm.byteconv import identify_language
 from runlens.llm.fertility import tokenizer_fertility
+from runlens.llm.site_quality import classify
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +28,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_tokenizer_fertility(spark, sf_dir):
     return tokenizer_fertility(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_site_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = classify(docs, _table(spark, sf_dir, "labels"), F.col("source"),
+                     F.concat_ws("/", "source", "lang"), ["doc_id"])
+    return found.select("row.doc_id", F.col("host").alias("source"), "path", "n_host", "n_path", "p_text",
+                        "p_host", "p_path", "score", "kept")
+
+
+@query
+def op4_byte_convnet(spark, sf_dir):
+    return identify_language(_table(spark, sf_dir, "documents"))
