@@ -158,7 +158,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ByteConvNet | None:
               .where(F.col("_rank") <= sample_docs).select("doc_id", "lang").distinct())
     pieces = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)), lambda k: F.substring(
         F.col("text"), (F.floor(k * F.greatest(F.length("text") - WIDTH, F.lit(0)) / max(SAMPLE_WINDOWS - 1, 1)) + 1).cast("int"), WIDTH))
-    texts = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", F.array_distinct(pieces).alias("pieces"))
+    # The side is bounded by the sample of each language.
+    texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", F.array_distinct(pieces).alias("pieces"))
     rows = texts.orderBy("lang", "doc_id").collect()
     labels = sorted({r.lang for r in rows})
     if not labels:

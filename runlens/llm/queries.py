@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm.byteconv import identify_language
 from runlens.llm.fertility import tokenizer_fertility
+from runlens.llm.main_text import main_text
 from runlens.llm.site_quality import classify
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,8 @@ def op3_site_quality(spark, sf_dir):
 @query
 def op4_byte_convnet(spark, sf_dir):
     return identify_language(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_main_text(spark, sf_dir):
+    return main_text(_table(spark, sf_dir, "pages"))
