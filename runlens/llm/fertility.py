@@ -12,14 +12,13 @@ from __future__ import annotations
 import base64
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.textblocks import Block, blocks, repeated, within_text
+from runlens.llm.textblocks import Block, Ragged, SpanNumbers, blocks, repeated, within_text
 from runlens.plans.tables import write_table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -91,48 +90,26 @@ class _Encoder:
 
 
 class _WordTokens:
-    """Token ids of the words seen by a worker, by word hash."""
+    """Token ids of the words seen by a worker."""
 
     def __init__(self, vocabularies: Sequence[Vocabulary]):
         self.encoders = {v.name: _Encoder(v) for v in vocabularies}
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.first = {n: np.zeros(1, np.int64) for n in self.encoders}
-        self.ids = {n: np.empty(0, np.int32) for n in self.encoders}
+        self.seen = SpanNumbers(CACHE_WORDS)
+        self.ids = {n: Ragged() for n in self.encoders}
 
     def find(self, block: Block) -> np.ndarray:
         """Numbers of the block's words; encodes those not seen yet."""
         starts, ends = block.spans
-        unique, where, inverse = np.unique(block.word_hash, return_index=True, return_inverse=True)
-        if len(self.hashes) > CACHE_WORDS:
-            self.forget()
-        at = np.searchsorted(self.hashes, unique)
-        new = np.append(self.hashes, np.uint64(0))[at] != unique
-        new[at == len(self.hashes)] = True
-        if new.any():
+        if self.seen.full:
+            self.seen.forget()
+            self.ids = {n: Ragged() for n in self.encoders}
+        numbers, new = self.seen.number(block.word_hash)
+        if len(new):
             raw = block.data.tobytes()
-            words = [raw[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
+            words = [raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())]
             for n, encoder in self.encoders.items():
-                encoded = encoder.encode(words)
-                lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-                ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
-                self.first[n] = np.append(self.first[n], self.first[n][-1] + np.cumsum(lengths))
-                self.ids[n] = np.append(self.ids[n], ids)
-            numbers = len(self.hashes) + np.arange(len(words))
-            self.hashes = np.insert(self.hashes, at[new], unique[new])
-            self.numbers = np.insert(self.numbers, at[new], numbers)
-            at = np.searchsorted(self.hashes, unique)
-        return self.numbers[at][inverse]
-
-    def tokens(self, name: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token counts and token ids, on end, of words given by their number."""
-        first = self.first[name]
-        counts = first[numbers + 1] - first[numbers]
-        ends = np.cumsum(counts)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[numbers] - ends + counts, counts)
-        return counts, self.ids[name][at]
+                self.ids[n].extend(encoder.encode(words))
+        return numbers
 
 
 # One per worker and set of vocabularies: workers serve one task after the other.
@@ -190,7 +167,7 @@ def fertility_counts(block: Block, words: _WordTokens) -> dict[str, np.ndarray]:
     """Tokens, byte tokens and entropy of every text of a block, by vocabulary."""
     numbers, out, n = words.find(block), {}, block.n_texts
     for name, encoder in words.encoders.items():
-        per_word, ids = words.tokens(name, numbers)
+        per_word, ids = words.ids[name].take(numbers)
         text = np.repeat(block.text_of_word, per_word)
         counts = np.bincount(text, minlength=n)
         out[f"{name}_tokens"] = counts.astype(np.int64)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.llm import pieces
 from runlens.llm.byteconv import identify_language
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.main_text import main_text
@@ -48,3 +49,12 @@ def op4_byte_convnet(spark, sf_dir):
 @query
 def op6_main_text(spark, sf_dir):
     return main_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_stream_viterbi(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    encoded = pieces.encode(docs, ["doc_id", "text"])
+    decoded = pieces.decode(encoded, ["row", "n_pieces", "n_byte_pieces", "ids"])
+    return decoded.select("row.row.doc_id", "row.n_pieces", "row.n_byte_pieces", F.xxhash64("row.ids").alias("ids_hash"),
+                          F.col("row.row.text").eqNullSafe(F.col("text")).alias("round_trip"))

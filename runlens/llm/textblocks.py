@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -146,3 +147,53 @@ def repeated(keys: np.ndarray) -> np.ndarray:
 def within_text(hashes: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Hashes made different between texts, so that equal ones are of one text."""
     return mix(hashes ^ mix(texts.astype(np.uint64) + np.uint64(1)))
+
+
+class SpanNumbers:
+    """Numbers the distinct spans a worker has met, by hash; starts anew beyond ``limit``."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self._hashes, self._numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self._hashes)
+
+    @property
+    def full(self) -> bool:
+        return len(self._hashes) > self.limit
+
+    def number(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of every hash, and where the new ones first stand, in the order of their numbers."""
+        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self._hashes, unique)
+        new = np.append(self._hashes, np.uint64(0))[at] != unique
+        new[at == len(self._hashes)] = True
+        if new.any():
+            numbers = len(self._hashes) + np.arange(int(new.sum()))
+            self._hashes = np.insert(self._hashes, at[new], unique[new])
+            self._numbers = np.insert(self._numbers, at[new], numbers)
+            at = np.searchsorted(self._hashes, unique)
+        return self._numbers[at][inverse], where[new]
+
+
+class Ragged:
+    """Lists of numbers on end; ``take`` puts chosen lists on end."""
+
+    def __init__(self):
+        self.first, self.values = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def extend(self, lists: list) -> None:
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.first = np.append(self.first, self.first[-1] + np.cumsum(lengths))
+        self.values = np.append(self.values, np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())))
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths of the chosen lists and their values."""
+        counts = self.first[numbers + 1] - self.first[numbers]
+        ends = np.cumsum(counts)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.first[numbers] - ends + counts, counts)
+        return counts, self.values[at]
