@@ -12,6 +12,7 @@ from runlens.llm.byteconv import identify_language
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.main_text import main_text
 from runlens.llm.site_quality import classify
+from runlens.llm.weighted_minhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +59,8 @@ def op9_stream_viterbi(spark, sf_dir):
     decoded = pieces.decode(encoded, ["row", "n_pieces", "n_byte_pieces", "ids"])
     return decoded.select("row.row.doc_id", "row.n_pieces", "row.n_byte_pieces", F.xxhash64("row.ids").alias("ids_hash"),
                           F.col("row.row.text").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query
+def op7_weighted_minhash(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
