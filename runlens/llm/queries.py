@@ -11,9 +11,15 @@ from runlens.llm import pieces
 from runlens.llm.byteconv import identify_language
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.main_text import main_text
+from runlens.llm.mixing import Target, mix, positions
 from runlens.llm.site_quality import classify
 from runlens.llm.weighted_minhash import near_duplicates
 
+# Passes over the smallest source for one over the largest; blocks of the mixture.
+MIX_REPETITION = 2.0
+MIX_TARGET = Target(max_repetition=MIX_REPETITION)
+MIX_BLOCKS = 64
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -47,6 +53,49 @@ def op4_byte_convnet(spark, sf_dir):
     return identify_language(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_temperature_mixing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = positions(mix(docs, MIX_TARGET, n_blocks=MIX_BLOCKS))
+    return mixed.select("doc_id", "source", "plan.pass_no", "plan.block", "position", "plan.tokens",
+                        F.round("plan.weight", 6).alias("weight"), F.round("plan.passes", 6).alias("passes"))
+
+
+ORACLE["op5_temperature_mixing"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) + 1 AS tokens
+  FROM documents),
+totals AS (SELECT source, count(*) AS n_docs, sum(tokens)::BIGINT AS n_tokens FROM docs GROUP BY source),
+ends AS (SELECT min(n_tokens)::DOUBLE AS least, max(n_tokens)::DOUBLE AS most FROM totals),
+-- Passes over the smallest source against the largest fall as the exponent grows.
+bisect(step, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1,
+         CASE WHEN pow(least / most, (low + high) / 2 - 1) <= {MIX_REPETITION} THEN low ELSE (low + high) / 2 END,
+         CASE WHEN pow(least / most, (low + high) / 2 - 1) <= {MIX_REPETITION} THEN (low + high) / 2 ELSE high END
+  FROM bisect, ends WHERE step < 42),
+alpha AS (SELECT CASE WHEN pow(least / most, -1.0) <= {MIX_REPETITION} THEN 0.0 ELSE high END AS alpha
+          FROM bisect, ends WHERE step = 42),
+powered AS (SELECT totals.*, pow(n_tokens / most, alpha) AS w FROM totals, ends, alpha),
+scales AS (SELECT sum(w) AS z, max(n_tokens / w) AS scale FROM powered),
+weights AS (SELECT powered.*, w / z AS weight, greatest(round(w * scale), 1)::BIGINT AS quota FROM powered, scales),
+copies AS (
+  SELECT d.*, pass_no, quota, n_tokens, weight, md5('17:' || pass_no || ':' || coalesce(doc_id::VARCHAR, '')) AS ord
+  FROM docs d JOIN weights w ON d.source IS NOT DISTINCT FROM w.source,
+       LATERAL (SELECT unnest(range(0, ceil(quota / n_tokens)::BIGINT)) AS pass_no)),
+placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY pass_no, ord, tokens
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS beginning FROM copies),
+used AS (SELECT *, floor(beginning * {MIX_BLOCKS} / quota)::INTEGER AS block FROM placed WHERE beginning < quota)
+SELECT doc_id, source, pass_no::INTEGER AS pass_no, block,
+       row_number() OVER (PARTITION BY block ORDER BY ord, doc_id, source) - 1 AS position, tokens,
+       round(weight, 6) AS weight, round(quota / n_tokens, 6) AS passes
+FROM used
+"""
+
+
 @query
 def op6_main_text(spark, sf_dir):
     return main_text(_table(spark, sf_dir, "pages"))
