@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm import pieces
 from runlens.llm.byteconv import identify_language
+from runlens.llm.compact_windows import repeated_passages
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.main_text import main_text
 from runlens.llm.mixing import Target, mix, positions
@@ -113,3 +114,8 @@ def op9_stream_viterbi(spark, sf_dir):
 @query
 def op7_weighted_minhash(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_compact_windows(spark, sf_dir):
+    return repeated_passages(_table(spark, sf_dir, "documents"))

@@ -244,6 +244,22 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return write_table(first.unionByName(second), "links")
 
 
+def duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id``, ``node``, ``class_id``, ``n_texts`` and ``keeper`` of every row of ``docs``.
+
+    ``keeper`` (doc_id, node) names the document of the class with the smallest doc_id.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_node(F.col("text")).alias("node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    nodes = rows.groupBy("node").agg(first.alias("first"))
+    parts = components(near_links(docs, threshold))
+    nodes = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = nodes.groupBy("component").agg(F.min("first").alias("keeper"), F.count(F.lit(1)).alias("n_texts"))
+    by_node = nodes.join(classes, "component").select("node", "keeper", "n_texts")
+    return rows.join(by_node, "node").select("doc_id", "node", F.col("keeper.doc_id").alias("class_id"), "n_texts",
+                                             F.struct("keeper.doc_id", "keeper.node").alias("keeper"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id``, ``class_id`` and ``n_texts``.
 
@@ -253,10 +269,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     a word are equal to their own copies only.  A class of rows with no doc_id at all
     has a NULL class_id.  Other columns are ignored; an empty table gives no row.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_node(F.col("text")).alias("node"))
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("low"))
-    parts = components(near_links(docs, threshold))
-    nodes = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = nodes.groupBy("component").agg(F.min("low").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
-    by_node = nodes.join(classes, "component").select("node", "class_id", "n_texts")
-    return rows.join(by_node, "node").select("doc_id", "class_id", "n_texts")
+    return duplicate_classes(docs, threshold).select("doc_id", "class_id", "n_texts")
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each class, the one of smallest doc_id; repeated rows of it become one."""
+    keepers = duplicate_classes(docs, threshold).select(F.col("keeper.doc_id").alias("_id"), F.col("keeper.node").alias("_node")).distinct()
+    rows = docs.withColumn("_own", text_node(F.col("text")))
+    kept = rows.join(keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_node")))
+    return kept.dropDuplicates(["doc_id", "_own"]).select(*[F.col(f"`{c}`") for c in docs.columns])
