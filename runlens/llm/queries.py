@@ -13,6 +13,7 @@ from runlens.llm.compact_windows import repeated_passages
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.main_text import main_text
 from runlens.llm.mixing import Target, mix, positions
+from runlens.llm.rp_forest import nearest
 from runlens.llm.site_quality import classify
 from runlens.llm.weighted_minhash import near_duplicates
 
@@ -40,6 +41,11 @@ def op1_tokenizer_fertility(spark, sf_dir):
     return tokenizer_fertility(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_rp_forest(spark, sf_dir):
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_site_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
