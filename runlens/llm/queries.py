@@ -11,6 +11,8 @@ from runlens.llm import pieces
 from runlens.llm.byteconv import identify_language
 from runlens.llm.compact_windows import repeated_passages
 from runlens.llm.fertility import tokenizer_fertility
+from runlens.llm.license_scan import TEMPLATES, scan
+from runlens.llm.license_scan import THRESHOLD as SCAN_THRESHOLD
 from runlens.llm.main_text import main_text
 from runlens.llm.mixing import Target, mix, positions
 from runlens.llm.rp_forest import nearest
@@ -125,3 +127,24 @@ def op7_weighted_minhash(spark, sf_dir):
 @query
 def op8_compact_windows(spark, sf_dir):
     return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    found = scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license", F.round("containment", 6).alias("containment"), "first_word")
+
+
+_LICENSES = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
+ORACLE["op10_license_scan"] = rf"""
+WITH templates AS (
+  SELECT name, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s
+  FROM (SELECT name, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM (VALUES {_LICENSES}) AS t(name, text))),
+docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+shingles AS (
+  SELECT doc_id, unnest(range(0, len(w) - 2)) AS place, unnest(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS shingle FROM docs WHERE len(w) >= 3)
+SELECT doc_id, name AS license, round(count(DISTINCT x.shingle) / any_value(len(t.s)), 6) AS containment, min(place) AS first_word
+FROM shingles x JOIN (SELECT *, unnest(s) AS shingle FROM templates) t USING (shingle)
+GROUP BY doc_id, name HAVING count(DISTINCT x.shingle) / any_value(len(t.s)) >= {SCAN_THRESHOLD}
+"""
