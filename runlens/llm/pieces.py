@@ -47,6 +47,14 @@ class PieceModel:
         self.scores = {p: round(scale(s) * UNITS) for p, s in pieces if p}
         self.longest = max(map(len, self.ids), default=1)
         self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        # The pieces by their characters: (longer pieces, score and id of the piece that ends here).
+        self.tree: dict = {}
+        for p in self.ids:
+            branch, node = self.tree, []
+            for c in p:
+                node = branch.setdefault(c, [{}, None])
+                branch = node[0]
+            node[1] = (self.scores[p], self.ids[p])
         self.unknown = min(self.scores.values(), default=0) - round(UNKNOWN * UNITS)
         self.byte_ids = byte_ids
         self.bytes_of = [p.encode() for p, _ in pieces]
@@ -143,8 +151,43 @@ class PieceModel:
             ids += [known] if known is not None else [self.byte_ids[b] for b in piece.encode()]
         return ids
 
+    def _in_one_window(self, part: str) -> list[int]:
+        """Ids of a text as short as the window: nothing is committed before its end."""
+        n = len(part)
+        best, back, ids_to = [0] + [None] * n, [0] * (n + 1), [-1] * (n + 1)
+        for i in range(n):
+            here, branch = best[i], self.tree
+            if here is None:
+                continue
+            single = False
+            for j in range(i, n):
+                node = branch.get(part[j])
+                if node is None:
+                    break
+                branch, end = node
+                if end is not None:
+                    single = single or j == i
+                    total = here + end[0]
+                    if best[j + 1] is None or total > best[j + 1]:
+                        best[j + 1], back[j + 1], ids_to[j + 1] = total, i, end[1]
+            if not single:
+                total = here + self.unknown
+                if best[i + 1] is None or total > best[i + 1]:
+                    best[i + 1], back[i + 1], ids_to[i + 1] = total, i, -1
+        out: list[int] = []
+        while n:
+            start = back[n]
+            if ids_to[n] >= 0:
+                out.append(ids_to[n])
+            else:
+                out += [self.byte_ids[b] for b in reversed(part[start:n].encode())]
+            n = start
+        return out[::-1]
+
     def encode_part(self, part: str, step: int = 4096) -> list[int]:
         """Ids of a text, without a space before it."""
+        if len(part) <= 2 * self.longest:
+            return self._in_one_window(part)
         return [i for ids in self.stream(part[k:k + step] for k in range(0, len(part), step)) for i in ids]
 
 

@@ -16,7 +16,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+
+# Memory of batches goes back to the system when they are done.
+pa.set_memory_pool(pa.system_memory_pool())
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

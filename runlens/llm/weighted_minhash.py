@@ -39,7 +39,7 @@ FINE_ESTIMATE = 0.725
 # Places of the table of document frequencies.
 PLACES = 1 << 17
 # Distinct random variates of each sample.
-VARIATES = 1 << 14
+VARIATES = 1 << 12
 
 
 def text_shingles(block: Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,7 +118,7 @@ class Sampler:
         out = np.empty((len(starts), self.n), np.uint64)
         for k in range(self.n):
             own = hashes * self.odd[k]
-            at = (own >> np.uint64(50)).astype(np.int64)
+            at = (own >> np.uint64(52)).astype(np.int64)
             r, beta = self.r[k].take(at), self.beta[k].take(at)
             low = self.c[k].take(at) - r * (np.floor(log_s / r + beta) - beta + 1)
             bits = low.view(np.uint32)
