@@ -17,7 +17,6 @@ from runlens.plans.tables import attach, write_table
 from runlens.schemas import BRUKER_KEY, TABLE_KEYS, THERMO_KEY, summary_columns
 
 # Rows kept of long series, and metadata of a combined file.
-MAP_POINTS = 1_000_000
 TRACE_POINTS = 10_000
 COMBINED_METADATA = {
     "mzQC_format_version": "1.2",

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.plans.tables import attach
 
@@ -42,8 +43,29 @@ QUERY_SCHEMA = (
     "comment string, mz double, tolerance double, tolerance_unit string, rt_start double, rt_end double")
 
 
-def _run_id() -> Column:
-    return F.substring_index(F.element_at(F.split("_metadata.file_path", "/"), -1), ".", 1)
+def _run_id(file: Column | None = None) -> Column:
+    """The ``run_id=`` folder of a file's path, else the file's name up to its first dot."""
+    file = F.col("_metadata.file_path") if file is None else file
+    folder = F.regexp_extract(file, r"/run_id=([^/]+)/", 1)
+    # The path is escaped once as a folder name and once as an address.
+    for _ in range(2):
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return F.when(folder != "", folder).otherwise(F.substring_index(F.element_at(F.split(file, "/"), -1), ".", 1))
+
+
+def _json_objects(spark: SparkSession, paths: Paths, schema: str) -> DataFrame:
+    """``file`` and the fields of every object of JSON documents and of JSON lines.
+
+    A file whose lines are all whole objects is one of JSON lines.
+    """
+    fields = T.StructType.fromDDL(schema).fieldNames()
+    file = F.col("_metadata.file_path").alias("file")
+    text = spark.read.text(paths).select(file, F.trim("value").alias("value")).where(F.col("value") != "")
+    whole_line = F.col("value").startswith("{") & F.col("value").endswith("}")
+    in_lines = text.groupBy("file").agg(F.min(whole_line).alias("lines")).where("lines").select("file")
+    by_line = text.join(in_lines, "file", "left_semi").select("file", F.from_json("value", schema).alias("o"))
+    documents = spark.read.json(paths, schema=schema, multiLine=True).select(file, *fields)
+    return documents.join(in_lines, "file", "left_anti").unionByName(by_line.select("file", *[f"o.{f}" for f in fields]))
 
 
 def _position() -> Column:
@@ -162,8 +184,8 @@ def read_ident_counts(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def read_xic_results(spark: SparkSession, paths: Paths) -> DataFrame:
     """One row per extracted ion chromatogram; its arrays may be NULL."""
-    files = spark.read.json(paths, schema=XIC_SCHEMA, multiLine=True)
-    rows = files.select(_run_id().alias("run_id"), F.posexplode("Content").alias("position", "x"))
+    files = _json_objects(spark, paths, XIC_SCHEMA)
+    rows = files.select(_run_id(F.col("file")).alias("run_id"), F.posexplode("Content").alias("position", "x"))
     return rows.select(
         "run_id", "position", F.col("x.Meta.Comment").alias("comment"),
         F.col("x.Meta.MzStart").alias("mz_start"), F.col("x.Meta.MzEnd").alias("mz_end"),
@@ -173,5 +195,5 @@ def read_xic_results(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def read_xic_queries(spark: SparkSession, paths: Paths) -> DataFrame:
     """Queries from a JSON array or from JSON lines."""
-    rows = spark.read.json(paths, schema=QUERY_SCHEMA, multiLine=True)
-    return rows.select(_run_id().alias("run_id"), *QUERY_COLUMNS)
+    rows = _json_objects(spark, paths, QUERY_SCHEMA)
+    return rows.select(_run_id(F.col("file")).alias("run_id"), *QUERY_COLUMNS)
