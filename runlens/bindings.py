@@ -113,19 +113,18 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_idents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_custkey").alias("feature_id"))
+    """Orders as identifications of their customer's feature."""
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("feature_id"))
 
 
 def spikeins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of one run and price as one target; prices repeat, so the list
-    stays short however many parts there are."""
-    targets = table(spark, sf_dir, "part").groupBy(
-        _run("p_partkey").alias("run_id"), F.col("p_retailprice").alias("mz")).agg(
-        F.min("p_type").alias("kind"), F.min("p_partkey").alias("position"))
+    """Every part as a target; parts of one type and price share a plain sequence."""
+    targets = table(spark, sf_dir, "part").select(
+        _run("p_partkey").alias("run_id"), F.col("p_retailprice").alias("mz"),
+        F.col("p_type").alias("kind"), F.col("p_partkey").alias("position"))
     letters = _letters(F.col("mz"))
     return targets.select(
-        "run_id", F.concat(F.lit("SP"), letters).alias("name"),
+        "run_id", F.concat(F.lit("SP"), letters, F.lit("-"), F.col("position").cast("string")).alias("name"),
         F.concat(F.lit("[Acetyl]-"), F.substring("kind", 1, 3), F.lit("[Oxidation]"),
                  F.substring("kind", 4, 100), letters, F.lit("/2")).alias("sequence"),
         "mz", F.round((F.col("mz") - 900) * 24, 1).alias("rt"),

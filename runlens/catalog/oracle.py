@@ -222,7 +222,7 @@ FROM psms"""
 FEATURES = """
 features AS (
   SELECT CAST(c_custkey % 8 AS VARCHAR) AS run_id, c_custkey AS feature_id, c_nationkey % 8 AS charge,
-    (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS n_idents
+    (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_idents
   FROM customer)"""
 ORACLE["feature_counts"] = f"""WITH {FEATURES}
 SELECT run_id, count(*) AS nr_features, count(*) FILTER (n_idents > 0) AS nr_ident_features
@@ -244,15 +244,16 @@ ORACLE["ident_feature_charge_fractions"] = _feature_charges("n_idents > 0")
 # ---- targeted extraction ---------------------------------------------------
 
 SPIKEINS = f"""
-kinds AS (SELECT CAST(p_partkey % 8 AS VARCHAR) AS run_id, p_retailprice AS mz, min(p_type) AS kind
-          FROM part GROUP BY 1, 2),
+kinds AS (SELECT CAST(p_partkey % 8 AS VARCHAR) AS run_id, p_retailprice AS mz, p_type AS kind, p_partkey AS position
+          FROM part),
 spikeins AS (
-  SELECT run_id, mz, 'SP' || {LETTERS.format('mz')} AS name, kind || {LETTERS.format('mz')} AS plain,
+  SELECT run_id, mz, position, 'SP' || {LETTERS.format('mz')} || '-' || CAST(position AS VARCHAR) AS name, kind || {LETTERS.format('mz')} AS plain,
     '[Acetyl]-' || substr(kind, 1, 3) || '[Oxidation]' || substr(kind, 4) || {LETTERS.format('mz')} || '/2' AS sequence,
     round((mz - 900) * 24, 1) AS rt FROM kinds),
 queries AS (SELECT run_id, plain AS plain_sequence, name AS comment, mz, 200.0::DOUBLE AS tolerance,
     'ppm' AS tolerance_unit, rt / 60.0::DOUBLE - 10.0::DOUBLE AS rt_start,
-    rt / 60.0::DOUBLE + 10.0::DOUBLE AS rt_end FROM spikeins)"""
+    rt / 60.0::DOUBLE + 10.0::DOUBLE AS rt_end FROM spikeins
+  QUALIFY row_number() OVER (PARTITION BY run_id, plain ORDER BY position DESC) = 1)"""
 MATCHES = f"""{PSMS}, {SPIKEINS},
 matches AS (SELECT p.run_id, p.sequence, retention_time, psm_id, accession, fdr_score AS score
   FROM psms p JOIN queries q ON q.run_id = p.run_id AND q.plain_sequence = p.sequence
@@ -395,19 +396,19 @@ METRIC_ROWS = [("startTime", "rt_first * 86400 + 788918400"), ("nr_MS1", "nr_ms1
 FEATURE_ROWS = [("nr_features", "nr_features"), ("nr_ident_features", "nr_ident_features")]
 
 
-def _metric_row(short: str, source: str, value: str | None, first: str = "NULL", last: str = "NULL") -> str:
+def _metric_row(short: str, source: str, value: str | None, element_no: str = "NULL", element: str = "NULL") -> str:
     m = METRICS[short]
     text = ", ".join(f"'{x}' AS {n}" for n, x in (
         ("accession", m.accession), ("short_name", short), ("name", m.name), ("description", m.description),
         ("unit_accession", m.unit_accession), ("unit_name", m.unit_name)))
     kind = "array" if value is None else "scalar"
     return f"""SELECT run_id, {text}, '{kind}' AS kind, {r(value or 'NULL')} AS value_num,
-  CAST(NULL AS VARCHAR) AS value_str, {r(first)} AS value_first, {r(last)} AS value_last FROM {source}"""
+  CAST(NULL AS VARCHAR) AS value_str, CAST({element_no} AS INTEGER) AS element_no, {r(element)} AS element FROM {source}"""
 
 
 RUN_METRICS = "metrics AS (" + " UNION ALL ".join(
     [_metric_row(s, "overview", v) for s, v in METRIC_ROWS]
-    + [_metric_row("RT_range", "overview", None, "rt_first", "rt_last")]) + ")"
+    + [_metric_row("RT_range", "overview", None, str(i), c) for i, c in enumerate(("rt_first", "rt_last"))]) + ")"
 FEATURE_METRICS = f"""{FEATURES}, fcounts AS (
   SELECT run_id, count(*) AS nr_features, count(*) FILTER (n_idents > 0) AS nr_ident_features
   FROM features GROUP BY run_id),
@@ -458,8 +459,7 @@ SELECT count(*) FILTER (c_mktsegment = 'MACHINERY') AS n_thermo,
   count(*) FILTER (c_mktsegment = 'MACHINERY') > 0 AND count(*) FILTER (c_mktsegment = 'BUILDING') > 0 AS mixed
 FROM customer"""
 ORACLE["exclude_empty_runs"] = """
-SELECT CAST(n_nationkey AS VARCHAR) AS run_id FROM nation
-WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)"""
+SELECT CAST(c_custkey AS VARCHAR) AS run_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)"""
 ORACLE["melt_metrics"] = f"""WITH {OVERVIEW}
 SELECT run_id, 'nr_ms1' AS variable, nr_ms1 AS value FROM overview
 UNION ALL SELECT run_id, 'nr_ms2', nr_ms2 FROM overview"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.exprs import epoch_to_utc, in_unit, ratio
 from runlens.plans.ordered import with_position
-from runlens.plans.tables import attach, write_table
+from runlens.plans.tables import write_table
 from runlens.schemas import BRUKER_KEY, TABLE_KEYS, THERMO_KEY, summary_columns
 
 # Rows kept of long series, and metadata of a combined file.
@@ -237,14 +237,14 @@ def relabel_buckets(buckets: DataFrame, key: str, unknown: bool = True) -> DataF
     label = F.when(F.col(key) == F.col("_top"), "more")
     if unknown:
         label = label.when(F.col(key) == 0, "Unknown")
-    joined = attach(buckets, tops, ["run_id"])
+    joined = buckets.join(tops, ["run_id"])
     return joined.withColumn(key, label.otherwise(F.col(key).cast("string"))).drop("_top")
 
 
 def normalise_within_run(df: DataFrame, value: str) -> DataFrame:
     """Share of each row in its run's total."""
     totals = df.groupBy("run_id").agg(F.sum(value).alias("_total"))
-    return attach(df, totals, ["run_id"]).withColumn(
+    return df.join(totals, ["run_id"]).withColumn(
         value, ratio(F.col(value), F.col("_total"))).drop("_total")
 
 
@@ -317,7 +317,7 @@ def scale_timestamps(runs: DataFrame, column: str = "start_time") -> DataFrame:
 
 
 def assign_groups(runs: DataFrame, run_groups: DataFrame) -> DataFrame:
-    return attach(runs, run_groups.select("run_id", "group"), ["run_id"], "left")
+    return runs.join(run_groups.select("run_id", "group"), ["run_id"], "left")
 
 
 def standardise_features(wide: DataFrame, columns: Sequence[str], fill: float = 0.0) -> DataFrame:
