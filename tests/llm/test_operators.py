@@ -230,6 +230,25 @@ def test_repeated_passages(spark, odd, empty):
     assert (5, 6) in pairs and compact_windows.repeated_passages(empty).count() == 0
 
 
+def shingles_of(text):
+    (block,) = blocks(pa.array([text]))
+    return block.shingles(compact_windows.SHINGLE)[0]
+
+
+def test_passages_with_repeated_phrases():
+    for n in (50, 60, 80, 90, 120, 150):
+        for size in range(5, 11):
+            passage, before = prose(n, n).split(), prose(n + 1, 60).split()
+            twice = passage[:4] + passage[n // 2:n // 2 + size] + passage[4 + size:]
+            for text, earlier in ((twice, before), (passage, before[:30] + passage[9:9 + size] + before[30:]),
+                                  (passage, before[:30] + passage[:size] + before[30:] + passage[-size:])):
+                a, b = (shingles_of(" ".join(x + text + y)) for x, y in ((earlier, prose(7, 30).split()), (prose(8, 50).split(), prose(9, 40).split())))
+                found = compact_windows.matching_passages(a, b, np.ones(len(a), bool), np.ones(len(b), bool), 46, 0.8)
+                assert [(b0, b1) for b0, b1, _, _ in found] == [(50, 50 + n - 5)]
+    a, b = shingles_of("w " * 90), shingles_of("x y z " + "w " * 70)
+    assert [f[:2] for f in compact_windows.matching_passages(a, b, np.ones(len(a), bool), np.ones(len(b), bool), 46, 0.8)] == [(3, 68)]
+
+
 def test_streaming_viterbi_and_round_trip(spark, odd, empty):
     model = pieces.PieceModel.load()
     for text in [" " + t for _, t in ODD if t and len(t) < 2000] + [" " + "x" * 500]:
