@@ -230,6 +230,22 @@ def test_repeated_passages(spark, odd, empty):
     assert (5, 6) in pairs and compact_windows.repeated_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("change", ["substituted", "inserted", "deleted"])
+def test_candidates_of_changed_passages(spark, change):
+    rows = []
+    for k in range(90):
+        n = (55, 60, 70)[k % 3]
+        words = prose(1000 + k, n).split()
+        other = words[:n // 2] + ([] if change == "deleted" else ["new"]) + words[n // 2 + (change != "inserted"):]
+        rows += [(2 * k, prose(2000 + k, 70) + " " + " ".join(words) + " " + prose(3000 + k, 50)),
+                 (2 * k + 1, prose(4000 + k, 40) + " " + " ".join(other) + " " + prose(5000 + k, 80))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs = {(r.a, r.b) for r in compact_windows.candidate_pairs(compact_windows.signature_groups(compact_windows.windows(docs))).collect()}
+    for size in range(3):
+        assert sum((2 * k, 2 * k + 1) in pairs for k in range(size, 90, 3)) >= 28
+    assert len({r.doc_id for r in compact_windows.repeated_passages(docs).collect()}) >= 84
+
+
 def shingles_of(text):
     (block,) = blocks(pa.array([text]))
     return block.shingles(compact_windows.SHINGLE)[0]
