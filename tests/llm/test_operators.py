@@ -246,6 +246,21 @@ def test_candidates_of_changed_passages(spark, change):
     assert len({r.doc_id for r in compact_windows.repeated_passages(docs).collect()}) >= 84
 
 
+def test_exact_passages_round_a_common_core(spark):
+    rows, want = [], set()
+    for group in range(8):
+        core, outer = prose(9000 + group, 49), prose(9100 + group, 11).split()
+        for k in range(60):
+            inside = " ".join(outer[:6] + [core] + outer[6:]) if k in (31, 47) else f"u{group}x{k} {core} v{group}x{k}"
+            rows.append((100 * group + k, prose(10_000 + 100 * group + k, 20) + " " + inside + " " + prose(20_000 + 100 * group + k, 20)))
+        want.add((100 * group + 31, 100 * group + 47, 20, 80))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    exact = compact_windows.exact_passages(docs, compact_windows.signature_groups(compact_windows.windows(docs)))
+    assert {(r.first_doc_id, r.doc_id, r.start_word, r.end_word) for r in exact.collect()} == want
+    spans = [(r.doc_id, r.start_word, r.end_word) for r in compact_windows.repeated_passages(docs).collect()]
+    assert all(any(d == doc and low <= start and high >= end for d, low, high in spans) for _, doc, start, end in want)
+
+
 def shingles_of(text):
     (block,) = blocks(pa.array([text]))
     return block.shingles(compact_windows.SHINGLE)[0]
