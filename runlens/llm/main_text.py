@@ -37,7 +37,6 @@ ASIDE_WORDS = frozenset((
     "ad ads adv advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus "
     "footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted "
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget").split())
-ASIDE_WEIGHT = -4.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -94,7 +93,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...], bool]]:
                         break
             if name not in VOID and not (found[3] or "").rstrip().endswith("/"):
                 own = [name]
-                for a in _ATTRIBUTE.finditer(found[3] or ""):
+                # Words of the whole page say nothing of its parts.
+                for a in _ATTRIBUTE.finditer(found[3] or "") if name not in PLAIN else ():
                     own += ["." + w for w in _PART.split((a[2] or a[3] or a[4] or "").lower()) if w]
                 stack.append((name, tuple(own)))
         keys = tuple(dict.fromkeys(k for _, own in stack for k in own))
@@ -143,11 +143,12 @@ def weights_of(inner: Counter, outer: Counter) -> Weights:
 
 
 def score(kind: str, value: str, keys: tuple[str, ...], weights: Weights) -> float:
+    # What stands aside is cut out of the span, so it neither ends nor lengthens it.
+    if aside(keys):
+        return 0.0
     if kind == "tag":
         return weights.tags.get(value, weights.tag)
     n = len(value.split())
-    if aside(keys):
-        return n * ASIDE_WEIGHT
     known = weights.word + sum(weights.words.get(k, 0.0) for k in keys) / 4
     return n * max(0.5 if marked(keys) else -3.0, min(3.0, known))
 

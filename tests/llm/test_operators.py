@@ -158,6 +158,17 @@ def test_main_text(spark):
     assert {r.page_id: r.n_chars for r in got if r.page_id in (2, 3, 5, 6)} == {2: 0, 3: 0, 5: 0, 6: 99_999}
 
 
+def test_main_text_round_a_box():
+    for box in ('<div class="ad">{}</div>', "<aside>{}</aside>", '<form><p>{}</p></form>', '<div class="newsletter"><ul><li>{}</ul></div>'):
+        page = f"<nav>Home</nav><article><p>{prose(1, 30)}</p>{box.format(prose(2, 200))}<p>{prose(3, 60)}</p></article><footer>End</footer>"
+        assert main_text.extract(page, main_text.Weights()) == f"{prose(1, 30)} {prose(3, 60)}"
+
+
+def test_main_text_with_a_classed_body():
+    page = f'<html class="no-comments"><body class="has-sidebar"><article><p>{prose(1, 30)}</p></article></body></html>'
+    assert main_text.extract(page, main_text.Weights()) == prose(1, 30)
+
+
 def test_best_span_by_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(200):
