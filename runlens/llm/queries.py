@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runlens.llm import pieces
 from runlens.llm.byteconv import identify_language
 from runlens.llm.compact_windows import repeated_passages
+from runlens.llm.exact_dedup import exact_groups
 from runlens.llm.fertility import tokenizer_fertility
 from runlens.llm.license_scan import TEMPLATES, scan
 from runlens.llm.license_scan import THRESHOLD as SCAN_THRESHOLD
@@ -148,3 +149,15 @@ SELECT doc_id, name AS license, round(count(DISTINCT x.shingle) / any_value(len(
 FROM shingles x JOIN (SELECT *, unnest(s) AS shingle FROM templates) t USING (shingle)
 GROUP BY doc_id, name HAVING count(DISTINCT x.shingle) / any_value(len(t.s)) >= {SCAN_THRESHOLD}
 """
+
+
+@query
+def op11_exact_dedup(spark, sf_dir):
+    return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
