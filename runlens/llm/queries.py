@@ -12,10 +12,12 @@ from runlens.llm.byteconv import identify_language
 from runlens.llm.compact_windows import repeated_passages
 from runlens.llm.exact_dedup import exact_groups
 from runlens.llm.fertility import tokenizer_fertility
+from runlens.llm.hard_negatives import hard_negatives
 from runlens.llm.license_scan import TEMPLATES, scan
 from runlens.llm.license_scan import THRESHOLD as SCAN_THRESHOLD
 from runlens.llm.main_text import main_text
 from runlens.llm.mixing import Target, mix, positions
+from runlens.llm.prefix_trie import prefix_trie
 from runlens.llm.rp_forest import nearest
 from runlens.llm.site_quality import classify
 from runlens.llm.weighted_minhash import near_duplicates
@@ -161,3 +163,73 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+ANCHOR_STEP = 50
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % ANCHOR_STEP == 0, label)
+
+
+ORACLE["op13_hard_negatives"] = f"""
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % {ANCHOR_STEP} = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 of the decimal id, bit by bit.
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_transform(string_split({}, ''), lambda c: ord(c)::UBIGINT),
+         lambda crc, byte: list_reduce(list_transform(range(8), lambda k: k::UBIGINT),
+           lambda s, k: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384::UBIGINT) ELSE s >> 1 END, xor(crc, byte)),
+         4294967295::UBIGINT))"""
+ORACLE["op12_prefix_trie"] = f"""
+WITH items AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, {_CRC32.format("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM items)),
+turns AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN items i ON i.conv_id = c.conv_id - c.conv_id % 100 AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN items i ON i.conv_id = c.conv_id AND pos >= h),
+paths AS (SELECT conv_id, list({{'r': role, 't': text}} ORDER BY part, pos) AS p FROM turns GROUP BY conv_id),
+lists AS (SELECT conv_id, coalesce(p, []) AS p FROM convs LEFT JOIN paths USING (conv_id)),
+members AS (
+  SELECT conv_id, d, sha256(to_json(list_slice(p, 1, d))) AS node, d = len(p) AS at_end,
+         CASE WHEN d = 0 THEN 0 ELSE length(list_extract(p, d).t) END AS chars
+  FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM lists)),
+nodes AS (
+  SELECT node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (at_end), '')) AS ends_sha256
+  FROM members GROUP BY node, d),
+linked AS (
+  SELECT n.*, m.node AS parent FROM nodes n LEFT JOIN members m ON m.conv_id = n.conv_id AND m.d = n.depth - 1),
+counted AS (
+  SELECT l.*, (SELECT count(*) FROM linked c WHERE c.parent = l.node) AS n_children FROM linked l),
+subtrees AS (
+  SELECT m.node, count(*) FILTER (c.n_children = 0) AS n_leaves, sum((c.n_convs - 1) * c.chars)::BIGINT AS saved_tokens
+  FROM counted c JOIN members m ON m.conv_id = c.conv_id AND m.d <= c.depth GROUP BY m.node)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees USING (node) LEFT JOIN nodes p ON p.node = c.parent
+"""
