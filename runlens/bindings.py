@@ -223,8 +223,23 @@ def embedding_features(spark: SparkSession, sf_dir: str, width: int = 64) -> Dat
         *[f"CAST(get(embedding, {i}) AS DOUBLE) AS f{i + 1}" for i in range(width)])
 
 
-def packed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bytes of every text as a packed trace."""
+def _trace_id() -> Column:
+    return F.floor(F.col("doc_id") / 2)
+
+
+def trace_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two documents a trace; a third of the traces are described as the pump's."""
+    trace = _trace_id()
+    description = F.when(trace % 3 == 1, "NC_Pump_Pressure").when(trace % 3 == 2, "Other_Trace").otherwise("Pump_Pressure bar")
+    return table(spark, sf_dir, "documents").select(
+        (trace % RUNS).cast("string").alias("run_id"), trace.alias("id"), description.alias("description")).distinct()
+
+
+def trace_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of a text as intensities and times; in every second trace the
+    times have them twice, so that there are as many times as values."""
     data = F.encode("text", "UTF-8")
     return table(spark, sf_dir, "documents").select(
-        "doc_id", data.alias("times"), data.alias("intensities"))
+        (_trace_id() % RUNS).cast("string").alias("run_id"), _trace_id().alias("trace_id"),
+        (F.col("doc_id") % 2).alias("chunk_no"),
+        F.when(_trace_id() % 2 == 1, F.concat(data, data)).otherwise(data).alias("times"), data.alias("intensities"))

@@ -372,21 +372,37 @@ SELECT run_id, no, cmz AS calibrant_mz, cmob AS calibrant_mobility, {r('rt / 100
   {r('mz')} AS observed_mz, {r('mobility')} AS observed_mobility FROM hit WHERE o = 1"""
 
 
-def _decoded(width: int) -> str:
+def _decoded(name: str, width: int, source: str) -> str:
     digits = 2 * width
     pairs = " || ".join(f"substr(p, {i}, 2)" for i in range(digits - 1, 0, -2))
-    return f"""(SELECT doc_id, pos, CAST('0x' || {pairs} AS UBIGINT) AS v FROM (
-  SELECT doc_id, unnest(regexp_extract_all(h, '.{{1,{digits}}}')) AS p,
-         generate_subscripts(regexp_extract_all(h, '.{{1,{digits}}}'), 1) - 1 AS pos FROM bytes))"""
-
-
-ORACLE["decode_trace"] = f"""WITH bytes AS (SELECT doc_id, hex(encode(text)) AS h FROM documents),
-t AS (SELECT doc_id, count(*) AS n_times, max(CAST(v AS DOUBLE)) AS max_time, min(CAST(v AS DOUBLE)) AS min_time,
-        {big("sum(CAST(floor(CAST(v AS DOUBLE) / 4294967296) AS HUGEINT))")} AS sum_high_times
-      FROM {_decoded(8)} GROUP BY doc_id),
-v AS (SELECT doc_id, count(*) AS n_values, {big('sum(v)')} AS sum_values,
-        {big('sum(CAST(v AS HUGEINT) * (pos % 97))')} AS weighted_values FROM {_decoded(4)} GROUP BY doc_id)
-SELECT * FROM t JOIN v USING (doc_id)"""
+    return f"""
+{name}_parts AS (
+  SELECT run_id, trace_id, chunk_no, unnest(regexp_extract_all({source}, '.{{1,{digits}}}')) AS p,
+         generate_subscripts(regexp_extract_all({source}, '.{{1,{digits}}}'), 1) AS i FROM chunks),
+{name} AS (
+  SELECT run_id, trace_id, row_number() OVER (PARTITION BY trace_id ORDER BY chunk_no, i) - 1 AS pos,
+         CAST('0x' || {pairs} AS UBIGINT) AS v FROM {name}_parts)"""
+
+
+CHUNKS = f"""
+chunks AS (
+  SELECT CAST(doc_id // 2 % 8 AS VARCHAR) AS run_id, doc_id // 2 AS trace_id, doc_id % 2 AS chunk_no,
+         CASE WHEN doc_id // 2 % 2 = 1 THEN hex(encode(text)) || hex(encode(text)) ELSE hex(encode(text)) END AS times,
+         hex(encode(text)) AS intensities FROM documents),{_decoded("t", 8, "times")},{_decoded("v", 4, "intensities")},
+points AS (
+  SELECT coalesce(t.run_id, v.run_id) AS run_id, coalesce(t.trace_id, v.trace_id) AS trace_id, coalesce(t.pos, v.pos) AS pos,
+         CAST(t.v AS DOUBLE) AS time, v.v::BIGINT AS value, CAST(floor(CAST(t.v AS DOUBLE) / 4294967296) AS BIGINT) AS high
+  FROM t FULL JOIN v ON t.trace_id = v.trace_id AND t.pos = v.pos)"""
+ORACLE["decode_trace"] = f"""WITH {CHUNKS}
+SELECT run_id, trace_id, count(*) AS n_points, count(time) AS n_times, count(value) AS n_values,
+  max(time) AS max_time, min(time) AS min_time, {big('sum(high * (pos % 89))')} AS weighted_times,
+  {big('sum(value * (pos % 97))')} AS weighted_values, {big('sum((high % 1009) * (value % 997))')} AS paired
+FROM points GROUP BY run_id, trace_id"""
+ORACLE["packed_pump_pressure"] = f"""WITH {CHUNKS}, {RUNS10},
+chosen AS (SELECT CAST(doc_id // 2 % 8 AS VARCHAR) AS run_id, min(doc_id // 2) AS trace_id FROM documents
+           WHERE doc_id // 2 % 3 = 1 GROUP BY 1),
+found AS (SELECT run_id, pos, time, CAST(value AS DOUBLE) AS value FROM points JOIN chosen USING (run_id, trace_id))
+SELECT run_id, pos, time AS x, value AS y FROM runs10 LEFT JOIN found USING (run_id)"""
 
 # ---- metric records and comparison of runs -----------------------------------
 

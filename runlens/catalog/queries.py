@@ -393,13 +393,18 @@ def calibrant_series(spark, d):
 
 @query
 def decode_trace(spark, d):
-    points = telemetry.decode_packed_trace(b.packed_texts(spark, d), ["doc_id"])
-    whole = F.col("value").cast("bigint")
-    return points.groupBy("doc_id").agg(
-        F.count("time").alias("n_times"), F.count("value").alias("n_values"),
+    points = telemetry.decode_packed_trace(b.trace_chunks(spark, d), ["run_id", "trace_id"])
+    value, high = F.col("value").cast("bigint"), F.floor(F.col("time") / 2.0 ** 32)
+    return points.groupBy("run_id", "trace_id").agg(
+        F.count(F.lit(1)).alias("n_points"), F.count("time").alias("n_times"), F.count("value").alias("n_values"),
         F.max("time").alias("max_time"), F.min("time").alias("min_time"),
-        F.sum(F.floor(F.col("time") / 2.0 ** 32)).alias("sum_high_times"),
-        F.sum(whole).alias("sum_values"), F.sum(whole * (F.col("pos") % 97)).alias("weighted_values"))
+        F.sum(high * (F.col("pos") % 89)).alias("weighted_times"), F.sum(value * (F.col("pos") % 97)).alias("weighted_values"),
+        F.sum((high % 1009) * (value % 997)).alias("paired"))
+
+
+@query
+def packed_pump_pressure(spark, d):
+    return telemetry.packed_pump_pressure(b.trace_sources(spark, d), b.trace_chunks(spark, d), b.nation_runs(spark, d))
 
 
 # ---- metric records and comparison of runs -----------------------------------

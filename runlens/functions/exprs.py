@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,20 +54,28 @@ def unsigned_le(data: Column, width: int) -> Column:
     """Unsigned little-endian integers of ``width`` (4 or 8) bytes as an array
     of doubles; a short tail is a shorter integer.
 
-    Spark has no cast from bytes to numbers, and going through hex texts is an
-    order of magnitude slower than letting numpy read each value's buffer.
+    Spark has no cast from bytes to numbers; a whole Arrow batch of values is
+    read at once.
     """
-    @F.pandas_udf("array<double>")
-    def unpack(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else _unpack(v, width))
-    return unpack(data)
-
-
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    whole = len(data) // width
-    numbers = np.frombuffer(data, f"<u{width}", whole).astype("float64")
-    tail = data[whole * width:]
-    return np.append(numbers, float(int.from_bytes(tail, "little"))) if tail else numbers
+    return F.arrow_udf(lambda values: unpack_le(values, width), "array<double>")(data)
+
+
+def unpack_le(values: pa.Array, width: int) -> pa.Array:
+    """The same for an Arrow array of bytes."""
+    values = values.cast(pa.large_binary())
+    _, offsets, buffer = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(buffer, np.uint8)[ends[0]:ends[-1]] if buffer is not None else np.empty(0, np.uint8)
+    ends = ends - ends[0]
+    lengths = np.diff(ends)
+    counts = -(-lengths // width)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    # Every value starts at a whole number; what a tail lacks is zero.
+    padded = np.zeros(first[-1] * width, np.uint8)
+    padded[np.arange(len(data)) + np.repeat(first[:-1] * width - ends[:-1], lengths)] = data
+    numbers = padded.view(f"<u{width}").astype(np.float64)
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(numbers),
+                                    mask=values.is_null() if values.null_count else None)
 
 
 def utc_text_to_epoch(text: Column, pattern: str) -> Column:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.functions.exprs import unsigned_le
-from runlens.plans.ordered import asof_backward
-from runlens.plans.tables import attach
+from runlens.plans.ordered import asof_backward, in_slice, slice_by_order, with_carry
+from runlens.plans.tables import attach, write_table
+
+# Positions of a trace that meet in one group when its chunks do not pair up.
+TRACE_CELL = 16_384
 
 # Labels of the pump-pressure trace, the header labels read by
 # default, and the default calibrants as "MZ:Mobility".
@@ -145,17 +148,97 @@ def pump_pressure(
     return points.unionByName(missing)
 
 
+def place_chunks(
+    chunks: DataFrame, keys: Sequence[str], order: str = "chunk_no", time_width: int = 8, value_width: int = 4
+) -> DataFrame:
+    """Chunks with the number of their times and values (``n_times``, ``n_values``)
+    and the position of the first of each in the whole trace (``first_time``,
+    ``first_value``).
+
+    Only counts are put in order, so a trace may have any number of chunks.
+    """
+    counts = chunks.select(*keys, order, *[
+        F.coalesce(F.ceil(F.octet_length(c) / F.lit(float(w))), F.lit(0)).cast("bigint").alias(n)
+        for n, c, w in (("n_times", "times", time_width), ("n_values", "intensities", value_width))])
+    rows = with_carry(slice_by_order(counts, keys, [order]), keys,
+                      sums={"t": F.sum("n_times"), "v": F.sum("n_values")})
+    earlier = in_slice(keys, [order]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.select(*keys, order, "n_times", "n_values", *[
+        (F.col(f"{s}_before") + F.coalesce(F.sum(n).over(earlier), F.lit(0))).cast("bigint").alias(first)
+        for s, n, first in (("t", "n_times", "first_time"), ("v", "n_values", "first_value"))])
+    # One row a chunk on both sides.
+    return chunks.join(write_table(starts, "starts"), [*keys, order])
+
+
+def _cell_pieces(chunks: DataFrame, keys: Sequence[str], numbers: Column, first: str, kind: str) -> DataFrame:
+    """A chunk's numbers cut at the borders of the position cells."""
+    rows = chunks.select(*keys, F.col(first).alias("first"), numbers.alias("all")).where(F.size("all") > 0)
+    last = F.col("first") + F.size("all") - 1
+    cells = F.sequence(F.floor(F.col("first") / F.lit(TRACE_CELL)), F.floor(last / F.lit(TRACE_CELL)))
+    rows = rows.withColumn("cell", F.explode(cells))
+    start = F.greatest(F.col("first"), F.col("cell") * TRACE_CELL)
+    part = F.slice("all", (start - F.col("first") + 1).cast("int"),
+                   (F.least(last, F.col("cell") * TRACE_CELL + TRACE_CELL - 1) - start + 1).cast("int"))
+    return rows.select(*keys, "cell", F.struct(start.alias("first"), part.alias("part")).alias(kind))
+
+
 def decode_packed_trace(
-    chunks: DataFrame, keys: Sequence[str], time_width: int = 8, value_width: int = 4
+    chunks: DataFrame, keys: Sequence[str], time_width: int = 8, value_width: int = 4, order: str = "chunk_no"
 ) -> DataFrame:
-    """Unpack ``times`` and ``intensities`` of every chunk to one row per point.
+    """Points of every trace: ``keys``, ``pos``, ``time``, ``value``.
 
-    Both hold unsigned little-endian integers, read as doubles; a short tail is
-    a shorter integer.  ``pos`` counts within the chunk.
+    ``times`` and ``intensities`` of the chunks of a trace, put on end in
+    ``order`` (unique in a trace), are two sequences of unsigned little-endian
+    integers, read as doubles; a short tail of a chunk is a shorter integer.
+    Their points of one position in the whole trace belong together; beyond the
+    end of the shorter sequence the other side is NULL.  NULL bytes are no point.
+
+    A chunk with as many times as values that begin at one position needs no
+    other.  The numbers of the rest meet in cells of ``TRACE_CELL`` positions,
+    moved as arrays, so a long trace is spread over many tasks.
     """
-    pairs = F.arrays_zip(unsigned_le(F.col("times"), time_width).alias("time"),
-                         unsigned_le(F.col("intensities"), value_width).alias("value"))
-    return chunks.select(*keys, F.posexplode(pairs).alias("pos", "pair")).select(*keys, "pos", "pair.*")
+    placed = place_chunks(chunks, keys, order, time_width, value_width)
+    times, values = unsigned_le(F.col("times"), time_width), unsigned_le(F.col("intensities"), value_width)
+    alone = (F.col("first_time") == F.col("first_value")) & (F.col("n_times") == F.col("n_values"))
+
+    pairs = F.arrays_zip(F.col("t").alias("time"), F.col("v").alias("value"))
+    whole = placed.where(alone).select(*keys, "first_time", times.alias("t"), values.alias("v"))
+    whole = whole.select(*keys, "first_time", F.posexplode(pairs).alias("i", "p"))
+    whole = whole.select(*keys, (F.col("first_time") + F.col("i")).alias("pos"), "p.time", "p.value")
+
+    apart = placed.where(~alone)
+    pieces = _cell_pieces(apart, keys, times, "first_time", "t").unionByName(
+        _cell_pieces(apart, keys, values, "first_value", "v"), allowMissingColumns=True)
+    cells = pieces.groupBy(*keys, "cell").agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in "tv"])
+
+    def numbered(parts: str) -> Column:
+        """(pos, number) of all pieces on end."""
+        return F.flatten(F.transform(parts, lambda p: F.transform(
+            p["part"], lambda x, i: F.struct((p["first"] + i).alias("pos"), x.alias("x")))))
+
+    # Both sides hold the same positions but for the end of the longer one.
+    pairs = F.arrays_zip(numbered("t").alias("t"), numbered("v").alias("v"))
+    joined = cells.select(*keys, F.explode(pairs).alias("p")).select(
+        *keys, F.coalesce("p.t.pos", "p.v.pos").alias("pos"), F.col("p.t.x").alias("time"), F.col("p.v.x").alias("value"))
+    return whole.unionByName(joined)
+
+
+def packed_pump_pressure(
+    sources: DataFrame, chunks: DataFrame, runs: DataFrame, labels: Sequence[str] = PUMP_TRACE, keep: str = "first"
+) -> DataFrame:
+    """Points (run_id, pos, x, y) of the pump-pressure trace of each run from packed chunks.
+
+    ``sources``: run_id, id, description; ``chunks``: run_id, trace_id, chunk_no,
+    times, intensities.  Of several sources so described the one of smallest id
+    is kept (``keep="last"``: largest); a run without one, or whose trace has no
+    point, gets a single missing row.
+    """
+    pick = F.max if keep == "last" else F.min
+    chosen = sources.where(F.col("description").isin(*labels)).groupBy("run_id").agg(pick("id").alias("trace_id"))
+    # Other traces are left behind before any bytes are moved.
+    points = decode_packed_trace(attach(chunks, chosen, ["run_id", "trace_id"]), ["run_id", "trace_id"])
+    found = points.select("run_id", "pos", F.col("time").alias("x"), F.col("value").alias("y"))
+    return runs.select("run_id").distinct().join(found, "run_id", "left")
 
 
 def pivot_properties(

@@ -1,3 +1,5 @@
+import itertools
+import random
 import struct
 
 import pytest
@@ -64,9 +66,54 @@ def test_decode_packed_trace(spark, rows):
         ("a", 2, bytearray(struct.pack("<Q", 9) + b"\x01\x02"), bytearray(b"\x05")),
         ("b", 1, bytearray(b""), bytearray(b"")), ("c", 1, None, None),
     ], "run_id string, chunk_no int, times binary, intensities binary")
-    assert rows(t.decode_packed_trace(chunks, ["run_id", "chunk_no"])) == [
-        ("a", 1, 0, 1.0, 7.0), ("a", 1, 1, float(big), float(2 ** 32 - 1)),
-        ("a", 2, 0, 9.0, 5.0), ("a", 2, 1, 513.0, None)]
+    assert rows(t.decode_packed_trace(chunks, ["run_id"])) == [
+        ("a", 0, 1.0, 7.0), ("a", 1, float(big), float(2 ** 32 - 1)), ("a", 2, 9.0, 5.0), ("a", 3, 513.0, None)]
+
+
+def _packed(numbers, width):
+    return bytearray(b"".join(int(x).to_bytes(width, "little") for x in numbers))
+
+
+@pytest.mark.parametrize("cell", [3, 7, 16_384])
+def test_trace_of_chunks_with_unlike_counts(spark, cell, monkeypatch):
+    monkeypatch.setattr(t, "TRACE_CELL", cell)
+    rng = random.Random(cell)
+    rows, want = [], []
+    for trace in range(6):
+        times, values, n_chunks = [], [], rng.randint(1, 9)
+        for chunk in range(n_chunks):
+            n = rng.randint(0, 12)
+            # Some chunks pair up by themselves, some only behind earlier ones, some never.
+            m = n if rng.random() < 0.5 else rng.randint(0, 12)
+            ts, vs = [rng.getrandbits(64) for _ in range(n)], [rng.getrandbits(32) for _ in range(m)]
+            tail = rng.random() < 0.3 and n
+            if tail:
+                ts[-1] = rng.getrandbits(24)
+            packed = _packed(ts, 8)
+            rows.append(("r", trace, chunk, packed[:-5] if tail else packed, _packed(vs, 4) if vs or chunk % 2 else None))
+            times, values = times + ts, values + vs
+        want += [(trace, i, float(x) if x is not None else None, float(y) if y is not None else None)
+                 for i, (x, y) in enumerate(itertools.zip_longest(times, values))]
+    rng.shuffle(rows)
+    chunks = spark.createDataFrame(rows, "run_id string, trace_id int, chunk_no int, times binary, intensities binary").repartition(5)
+    got = t.decode_packed_trace(chunks, ["run_id", "trace_id"]).collect()
+    assert sorted((r.trace_id, r.pos, r.time, r.value) for r in got) == sorted(want)
+
+
+def test_packed_pump_pressure(spark, rows, join_way):
+    sources = spark.createDataFrame([
+        ("a", 3, "NC_Pump_Pressure"), ("a", 2, "Oven"), ("a", 5, "NC_Pump_Pressure"), ("b", 1, "Oven"), ("d", 1, "NC_Pump_Pressure")],
+        "run_id string, id int, description string")
+    chunks = spark.createDataFrame([
+        ("a", 3, 1, _packed([4], 8), _packed([40, 50], 4)), ("a", 3, 0, _packed([1, 2, 3], 8), _packed([10], 4)),
+        ("a", 5, 0, _packed([9], 8), _packed([90], 4)), ("a", 2, 0, _packed([7], 8), _packed([70], 4)),
+        ("b", 1, 0, _packed([8], 8), _packed([80], 4))],
+        "run_id string, trace_id int, chunk_no int, times binary, intensities binary")
+    runs = spark.createDataFrame([(x,) for x in "abcd"], "run_id string")
+    missing = [(x, None, None, None) for x in "bcd"]
+    points = [("a", 0, 1.0, 10.0), ("a", 1, 2.0, 40.0), ("a", 2, 3.0, 50.0), ("a", 3, 4.0, None)]
+    assert rows(t.packed_pump_pressure(sources, chunks, runs)) == points + missing
+    assert rows(t.packed_pump_pressure(sources, chunks, runs, keep="last")) == [("a", 0, 9.0, 90.0)] + missing
 
 
 def test_properties_and_frames(spark, rows, join_way):
