@@ -1,95 +1,130 @@
-"""Exact quantiles of groups of any size.
-
-``percentile`` keeps every distinct value of a group in one task, so it is used
-only if all groups were counted and are short.  Beyond that an approximate
-sketch proposes where to look: its values cut the number line into a few
-buckets, the buckets are counted, and just the rows of the buckets holding a
-wanted position are ordered.  A poor sketch makes that slower, never wrong.
+"""Exact quantiles of groups of any size, by radix selection.
+
+A double is turned into a 64-bit integer of the same order.  In every round the
+rows around the wanted positions are counted by the next ``DIGIT_BITS`` bits of
+that integer, and of each position the bits that hold it are kept.  A position
+is found when all rows left for it have one value, at the latest when the bits
+are used up.  Rows are only counted, never sorted or gathered, whatever the
+size of a group; counting combines before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.plans.tables import fits_broadcast, lookup_join, write_table
 
-# Groups of at most this many rows are left to ``percentile``.
-GROUP_ROWS = 1_000_000
-
-# Half-width of the bracket put around a wanted quantile, and the sketch size.
-BRACKET = 0.001
-ACCURACY = 10_000
+# Bits of a round: a group has at most 2 ** DIGIT_BITS counts for each position.
+DIGIT_BITS = 11
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
+FRACTION = float(1 << 52)
+LEAST_NORMAL = 2.0 ** -1022
+
+
+def ordered_bits(value: Column) -> Column:
+    """A bigint ordered like the doubles (its bits for positive ones, their
+    negative otherwise); both zeros are 0, NaN is above infinity."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")
+    # The logarithm may be off by one next to a power of two.
+    exponent = (F.when(size < F.pow(F.lit(2.0), guess), guess - 1)
+                .when(size >= F.pow(F.lit(2.0), guess) * 2, guess + 1).otherwise(guess))
+    scaled = size / F.pow(F.lit(2.0), exponent)
+    normal = ((exponent + 1023).cast("bigint") * F.lit(1 << 52)) + ((scaled - 1) * FRACTION).cast("bigint")
+    small = (size / LEAST_NORMAL * FRACTION).cast("bigint")
+    bits = (F.when(F.isnan(value), F.lit((2047 << 52) + 1)).when(size == float("inf"), F.lit(2047 << 52))
+            .when(size < LEAST_NORMAL, small).otherwise(normal))
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def _first_shift(low: Column, high: Column) -> Column:
+    """The fewest bits to drop so that one round tells the rest apart."""
+    shifts = F.sequence(F.lit(1), F.lit(63))
+    fits = F.filter(shifts, lambda s: F.call_function("shiftright", high, s) - F.call_function("shiftright", low, s) < (1 << DIGIT_BITS))
+    # Without a shift the difference may not fit a bigint; one bit too many only costs that bit.
+    return F.element_at(fits, 1)
+
+
+def _count(rows: DataFrame, keys: Sequence[str], shift: Column) -> DataFrame:
+    """Counts per group and prefix, with the values' range; ``parent`` is the prefix of the round before."""
+    prefix = F.call_function("shiftright", F.col("bits"), shift)
+    return rows.select(*keys, "v", "parent", prefix.alias("prefix"), shift.alias("shift")).groupBy(
+        *keys, "shift", "parent", "prefix").agg(
+        F.count(F.lit(1)).alias("size"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def _select(counts: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The prefix that holds each position; ``below`` counts the group's rows before it."""
+    order = Window.partitionBy(*keys, "parent").orderBy("prefix")  # at most 2 ** DIGIT_BITS rows
+    placed = counts.withColumn("before", F.sum("size").over(order) - F.col("size"))
+    found = targets.join(placed, [*keys, "parent"])
+    start = F.col("below") + F.col("before")
+    found = found.where((start <= F.col("position")) & (F.col("position") < start + F.col("size")))
+    return found.select(*keys, "position", "shift", F.col("prefix").alias("parent"), start.alias("below"), "low", "high")
+
+
+def values_at(rows: DataFrame, groups: DataFrame, keys: Sequence[str], positions: Column) -> DataFrame:
+    """keys, ``position``, ``value``: the value at each position (from 0, in order) of a group.
+
+    ``rows``: keys, v (no NULL).  ``groups``: keys, n, min, max, stored.
+    """
+    keys = list(keys)
+    small = fits_broadcast(groups, rows_per_row=8)
+    info = groups.select(*keys, _first_shift(ordered_bits(F.col("min")), ordered_bits(F.col("max"))).alias("s"))
+    targets = groups.select(*keys, F.explode(F.array_distinct(positions)).alias("position"),
+                            F.lit(0).cast("bigint").alias("parent"), F.lit(0).cast("bigint").alias("below"))
+    rows = rows.withColumn("bits", ordered_bits(F.col("v")))
+    first = lookup_join(rows, info, keys, broadcast=small)
+    counts = _count(first.withColumn("parent", F.lit(0).cast("bigint")), keys, F.col("s"))
+    found = []
+    while True:
+        state = write_table(_select(counts, targets, keys), "positions")
+        done = (F.col("low") == F.col("high")) | (F.col("shift") == 0)
+        found.append(state.where(done))
+        open_ = state.where(~done)
+        if open_.isEmpty():
+            break
+        targets = open_.drop("shift", "low", "high")
+        wanted = write_table(open_.groupBy(*keys).agg(
+            F.max("shift").alias("had"), F.collect_set("parent").alias("parents")), "wanted")
+        kept = lookup_join(rows.select(*keys, "v", "bits"), wanted, keys, broadcast=small)
+        kept = kept.withColumn("parent", F.call_function("shiftright", F.col("bits"), F.col("had")))
+        kept = kept.where(F.array_contains("parents", F.col("parent")))
+        # From here on the rows are those around the positions.
+        rows = write_table(kept.select(*keys, "v", "bits", "parent", "had"), "around")
+        counts = _count(rows, keys, F.greatest(F.col("had") - DIGIT_BITS, F.lit(0)))
+    result = found[0]
+    for part in found[1:]:
+        result = result.unionByName(part)
+    return result.select(*keys, "position", F.col("low").alias("value"))
+
 
 def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Mapping[str, float] = QUARTILES,
-    group_rows: int = GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float] = QUARTILES
 ) -> DataFrame:
     """Per key: ``n``, ``min``, ``max`` and each quantile, linearly interpolated.
 
     NULL values are skipped; a key with none left is absent.  ``df`` is read
-    two to four times, so hand in a stored table or a cheap plan.
+    two or three times, so hand in a stored table or a cheap plan.
     """
     keys = list(keys)
-    rows = (df.select(*keys, F.col(value).cast("double").alias("v"))
-            .where(F.col("v").isNotNull()))
-    longest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if longest <= group_rows:
-        wanted = F.percentile("v", F.array(*map(F.lit, probs.values())))
-        return rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), wanted.alias("q"),
-        ).select(*keys, "n", "min", "max", *[F.col("q")[i].alias(q) for i, q in enumerate(probs)])
-
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-BRACKET, BRACKET)})
-    bounds = write_table(rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.percentile_approx("v", edges, ACCURACY).alias("edges"),
-    ), "bounds")
-    small = fits_broadcast(bounds, rows_per_row=2 * len(probs))
-
-    placed = lookup_join(rows, bounds.select(*keys, "n", "edges"), keys, broadcast=small)
-    bucket = reduce(lambda a, b: a + b,
-                    [(F.col("v") > F.col("edges")[i]).cast("int") for i in range(len(edges))])
-    placed = placed.select(*keys, "v", "n", bucket.alias("bucket"))
-
-    by_bucket = Window.partitionBy(*keys).orderBy("bucket")  # a handful of rows per key
-    sizes = placed.groupBy(*keys, "n", "bucket").agg(F.count(F.lit(1)).alias("size"))
-    sizes = sizes.withColumn("below", F.sum("size").over(by_bucket) - F.col("size"))
-    low = {q: F.floor((F.col("n") - 1) * F.lit(p)) for q, p in probs.items()}
-    high = {q: F.ceil((F.col("n") - 1) * F.lit(p)) for q, p in probs.items()}
-
-    def within(position: Column, start: str, end: Column) -> Column:
-        return (F.col(start) <= position) & (position < end)
-
-    holds = reduce(lambda a, b: a | b,
-                   [within(x, "below", F.col("below") + F.col("size"))
-                    for x in [*low.values(), *high.values()]])
-    targets = sizes.where(holds).select(*keys, "bucket", "below")
-
-    found = lookup_join(placed, targets, [*keys, "bucket"], broadcast=small)
-    found = found.groupBy(*keys, "n", "bucket", "below", "v").agg(F.count(F.lit(1)).alias("c"))
-    by_value = Window.partitionBy(*keys, "bucket").orderBy("v")
-    found = found.withColumn("end", F.col("below") + F.sum("c").over(by_value))
-    found = found.withColumn("start", F.col("end") - F.col("c"))
-    picked = found.groupBy(*keys).agg(
-        *[F.max(F.when(within(x, "start", F.col("end")), F.col("v"))).alias(f"{q}_{side}")
-          for side, xs in (("lo", low), ("hi", high)) for q, x in xs.items()])
-
-    def interpolated(q: str, p: float) -> Column:
-        position = (F.col("n") - 1) * F.lit(p)
-        step = F.col(f"{q}_hi") - F.col(f"{q}_lo")
-        return F.col(f"{q}_lo") + step * (position - F.floor(position))
-
-    return bounds.drop("edges").join(picked, keys).select(
-        *keys, "n", "min", "max", *[interpolated(q, p).alias(q) for q, p in probs.items()])
+    rows = df.select(*keys, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    groups = write_table(rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max")), "groups")
+    at = {q: (F.col("n") - 1) * F.lit(float(p)) for q, p in probs.items()}
+    positions = F.array(*[end(x).cast("bigint") for x in at.values() for end in (F.floor, F.ceil)])
+    found = values_at(rows, groups, keys, positions)
+    listed = groups.join(found.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("of")), keys)
+
+    def interpolated(position: Column) -> Column:
+        low = F.element_at("of", F.floor(position).cast("bigint"))
+        high = F.element_at("of", F.ceil(position).cast("bigint"))
+        return low + (high - low) * (position - F.floor(position))
+
+    return listed.select(*keys, "n", "min", "max", *[interpolated(x).alias(q) for q, x in at.items()])

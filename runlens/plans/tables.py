@@ -15,9 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only if it was counted and holds at most this many rows
-# (a few numbers each, so tens of megabytes).
+# A side is broadcast only if it was measured and holds at most so many rows and
+# so many bytes, written out as text.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 # Copies of the small side and shares of every key of the big side when the
 # small side is too large to broadcast.
@@ -48,11 +49,13 @@ def write_table(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def fits_broadcast(table: DataFrame, rows_per_row: int = 1) -> bool:
-    """True if ``table`` (a written one, so counting is cheap) is small enough.
+    """True if ``table`` (a written one, so reading it is cheap) is small enough.
 
     ``rows_per_row`` is how many rows the caller derives from each.
     """
-    return table.count() * rows_per_row <= BROADCAST_ROWS
+    size = table.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    return size.rows * rows_per_row <= BROADCAST_ROWS and (size.bytes or 0) * rows_per_row <= BROADCAST_BYTES
 
 
 def lookup_join(

@@ -4,39 +4,70 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from runlens.plans import quantiles, tables
 from runlens.plans.ordered import asof_backward, with_position
-from runlens.plans.quantiles import exact_quantiles
-from runlens.plans.tables import attach, write_table
+from runlens.plans.quantiles import exact_quantiles, ordered_bits
+from runlens.plans.tables import attach, fits_broadcast, write_table
 
 
-@pytest.mark.parametrize("group_rows", [0, 1_000_000])
-def test_exact_quantiles_equal_numpy(spark, join_way, group_rows):
+def test_exact_quantiles_equal_numpy(spark, join_way):
     random.seed(7)
     groups = {
         "hot": [random.lognormvariate(0, 2) for _ in range(30_000)],
         "ties": [float(random.choice([1, 1, 1, 1, 2, 9])) for _ in range(5_000)],
         "one": [3.5], "two": [1.0, 2.0], "ten": [float(i * i) for i in range(10)],
-        "same": [4.0] * 700,
+        "same": [4.0] * 700, "zeros": [0.0, -0.0, 0.0], "signs": [random.gauss(0, 1) for _ in range(2_000)],
+        "wide": [random.choice([-1, 1]) * 10.0 ** random.uniform(-320, 307) for _ in range(3_000)],
+        "close": [1.0 + k * 2.0 ** -52 for k in range(4_000)], "half alike": [7.25] * 900 + [random.random() for _ in range(100)],
     }
     data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("none", None), ("hot", None)]
+    random.shuffle(data)
     df = write_table(spark.createDataFrame(data, "run_id string, x double"))
-    got = {r["run_id"]: r for r in exact_quantiles(df, ["run_id"], "x", group_rows=group_rows).collect()}
+    got = {r["run_id"]: r for r in exact_quantiles(df, ["run_id"], "x").collect()}
     assert set(got) == set(groups)
     for name, values in groups.items():
         assert got[name]["n"] == len(values)
         assert (got[name]["min"], got[name]["max"]) == (min(values), max(values))
         expected = np.quantile(values, [0.25, 0.5, 0.75])
-        assert [got[name][q] for q in ("q25", "q50", "q75")] == pytest.approx(expected, rel=1e-12)
+        assert [got[name][q] for q in ("q25", "q50", "q75")] == pytest.approx(expected, rel=1e-12, abs=1e-300)
 
 
-def test_exact_quantiles_survive_a_useless_sketch(spark, monkeypatch):
-    """Bounds of a sketch that is far off change the work, not the answer."""
-    from runlens.plans import quantiles
-    monkeypatch.setattr(quantiles, "ACCURACY", 1)
+def test_exact_quantiles_of_other_shares_and_infinite_values(spark):
     values = [float((i * 7919) % 10_007) for i in range(10_007)]
-    df = spark.createDataFrame([("a", v) for v in values], "run_id string, x double")
-    row = exact_quantiles(df, ["run_id"], "x", {"q10": 0.1, "q99": 0.99}, group_rows=0).first()
-    assert [row["q10"], row["q99"]] == pytest.approx(np.quantile(values, [0.1, 0.99]))
+    rows = [("a", 1, v) for v in values] + [("a", 2, v) for v in (float("inf"), float("-inf"), 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame(rows, "run_id string, level int, x double")
+    got = {r["level"]: r for r in exact_quantiles(df, ["run_id", "level"], "x", {"q10": 0.1, "q99": 0.99, "q00": 0, "q50": 0.5}).collect()}
+    assert [got[1][q] for q in ("q10", "q99", "q00")] == pytest.approx(np.quantile(values, [0.1, 0.99, 0]))
+    assert got[2]["q50"] == 2.0
+    assert exact_quantiles(df.limit(0), ["run_id"], "x").count() == 0
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    rng = np.random.default_rng(1)
+    bits = np.concatenate([rng.integers(0, 2047 << 52, 20_000), np.arange(0, 200), (np.arange(1, 2047) << 52), (np.arange(1, 2047) << 52) - 1,
+                           (np.arange(1, 2047) << 52) + 1, [2047 << 52]])
+    values = bits.view(np.float64)
+    df = spark.createDataFrame([(v,) for v in np.concatenate([values, -values]).tolist()], "v double").select("v", ordered_bits(F.col("v")).alias("b"))
+    for v, b in df.collect():
+        assert b == int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1)
+
+
+def test_no_row_of_a_long_group_is_sorted(spark, monkeypatch):
+    """Windows see counts only: at most one row for each digit of a position."""
+    df = write_table(spark.range(60_000).select(F.lit("hot").alias("run_id"), F.sin("id").alias("x")))
+    seen = []
+    select = quantiles._select
+    monkeypatch.setattr(quantiles, "_select", lambda counts, *rest: seen.append(counts.count()) or select(counts, *rest))
+    row = exact_quantiles(df, ["run_id"], "x").first()
+    assert [row[q] for q in ("q25", "q50", "q75")] == pytest.approx(np.quantile(np.sin(np.arange(60_000)), [0.25, 0.5, 0.75]))
+    assert len(seen) > 1 and all(n <= 6 * 2 ** quantiles.DIGIT_BITS for n in seen)
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark, monkeypatch):
+    table = write_table(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text")))
+    assert fits_broadcast(table) and not fits_broadcast(table, rows_per_row=100_000)
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", 5_000)
+    assert not fits_broadcast(table) and fits_broadcast(table.select("id"))
 
 
 def test_with_position_counts_through_slices(spark):
