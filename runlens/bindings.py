@@ -52,6 +52,12 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("intensity"))
 
 
+def nested_spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spectra that hold their peaks as an array."""
+    nested = peaks(spark, sf_dir).groupBy("spectrum_id").agg(F.collect_list(F.struct("mz", "intensity")).alias("peaks"))
+    return spectra(spark, sf_dir).join(nested, "spectrum_id", "left")
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as acquisitions with a date and a time; some dates are malformed."""
     text = F.date_format("o_orderdate", "yyyy-MM-dd")

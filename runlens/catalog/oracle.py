@@ -291,6 +291,7 @@ ORACLE["recenter_windows"] = f"WITH {MATCHES} SELECT {WINDOW_COLUMNS} FROM moved
 ORACLE["ident_counts"] = f"WITH {MATCHES} SELECT run_id, sequence, n AS count FROM found"
 ORACLE["extract_xic"] = f"""WITH {XIC}
 SELECT run_id, comment, scan_no, {r('rt')} AS rt, {r('mz')} AS mz, intensity FROM xic"""
+ORACLE["extract_xic_nested"] = ORACLE["extract_xic"]
 ORACLE["xic_apex"] = f"""WITH {XIC}
 SELECT run_id, comment, maximum_intensity, {r('rt_at_maximum')} AS rt_at_maximum FROM apex"""
 ORACLE["spikein_metrics"] = f"""WITH {XIC}

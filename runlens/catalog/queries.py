@@ -323,6 +323,12 @@ def extract_xic(spark, d):
     return _xic(spark, d)
 
 
+@query
+def extract_xic_nested(spark, d):
+    windows = targeted.recenter_windows(_queries(spark, d), _found(spark, d))
+    return targeted.extract_xic(b.nested_spectra(spark, d), None, windows)
+
+
 @query
 def xic_apex(spark, d):
     return targeted.xic_apex(_xic(spark, d))

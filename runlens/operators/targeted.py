@@ -6,6 +6,8 @@ rt_tol (s), position (order in the list).  Windows of queries are in minutes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from runlens.plans.tables import attach, fits_broadcast, lookup_join, write_tabl
 
 # Width in m/z of the cells of the range join.
 MZ_CELL = 0.5
+# Window cells broadcast at once: rows, and bytes written out as text.
+WINDOW_ROWS = 100_000
+WINDOW_BYTES = 32 << 20
 
 
 def xic_query_windows(spikeins: DataFrame, key: str = "plain_sequence") -> DataFrame:
@@ -86,26 +91,54 @@ def mz_windows(queries: DataFrame) -> DataFrame:
         (F.col("mz") - delta).alias("mz_start"), (F.col("mz") + delta).alias("mz_end"))
 
 
-def extract_xic(spectra: DataFrame, peaks: DataFrame, queries: DataFrame) -> DataFrame:
+def _window_blocks(windows: DataFrame) -> list[DataFrame]:
+    """Stored windows in blocks that are small enough to be broadcast."""
+    size = windows.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    n = max(1, -(-size.rows // WINDOW_ROWS), -(-(size.bytes or 0) // WINDOW_BYTES))
+    block = F.pmod(F.xxhash64("run_id", "comment", "cell"), F.lit(n))
+    return [windows.where(block == k) for k in range(n)]
+
+
+def _peaks_in_cells(peaks: DataFrame, windows: DataFrame) -> DataFrame:
+    """Peaks with their m/z cell, those in cells no window touches left out.
+
+    The set of touched cells follows the m/z range of the instrument, not the
+    number of windows, and is measured by itself.
+    """
+    peaks = peaks.withColumn("cell", F.floor(F.col("mz") / MZ_CELL))
+    touched = write_table(windows.select("cell").distinct(), "cells")
+    if not fits_broadcast(touched):
+        return peaks  # nearly every cell is touched
+    return lookup_join(peaks, touched, ["cell"], "left_semi", broadcast=True)
+
+
+def extract_xic(spectra: DataFrame, peaks: DataFrame | None, queries: DataFrame) -> DataFrame:
     """Peaks inside the m/z and RT window of each query of their run.
 
     Both windows are half-open.  Every peak inside is returned, not summed per
-    scan; ``rt`` is in minutes.  The m/z axis is cut into cells: first only
-    peaks in a cell some query touches go on, which needs no shuffle of the
-    peaks while the cells fit a broadcast; those meet their spectrum and then
-    the queries of the same run and cell.
+    scan; ``rt`` is in minutes.  The m/z axis is cut into cells, and only peaks
+    in a cell some query touches go on.  They move once, to meet their spectrum;
+    not at all if ``peaks`` is None and the spectra hold theirs as an array
+    ``peaks`` of (mz, intensity).  Then the windows come to the peaks, in blocks
+    of bounded size, so neither many queries nor a long run moves a peak again.
     """
     cells = F.sequence(F.floor(F.col("mz_start") / MZ_CELL), F.floor(F.col("mz_end") / MZ_CELL))
-    by_cell = write_table(mz_windows(queries).withColumn("cell", F.explode(cells)), "windows")
-    touched = by_cell.select("cell").distinct()
-    small = fits_broadcast(by_cell)
-
-    candidates = peaks.withColumn("cell", F.floor(F.col("mz") / MZ_CELL))
-    candidates = lookup_join(candidates, touched, ["cell"], "left_semi", broadcast=small)
-    located = candidates.join(spectra.select("spectrum_id", "run_id", "scan_no", "rt"), "spectrum_id")
-    hits = lookup_join(located, by_cell, ["run_id", "cell"], broadcast=small).where(
-        (F.col("mz") >= F.col("mz_start")) & (F.col("mz") < F.col("mz_end"))
-        & (F.col("rt") >= F.col("rt_start") * 60) & (F.col("rt") < F.col("rt_end") * 60))
+    windows = write_table(mz_windows(queries).withColumn("cell", F.explode(cells)), "windows")
+    if peaks is None:
+        one = spectra.select("run_id", "scan_no", "rt", F.explode("peaks").alias("p"))
+        located = _peaks_in_cells(one.select("run_id", "scan_no", "rt", "p.mz", "p.intensity"), windows)
+    else:
+        at = spectra.select("spectrum_id", "run_id", "scan_no", "rt")
+        located = _peaks_in_cells(peaks, windows).join(at, "spectrum_id")
+    blocks = _window_blocks(windows)
+    if len(blocks) > 1:
+        located = write_table(located, "peaks")
+    hits = reduce(DataFrame.unionByName, [
+        located.join(F.broadcast(block), ["run_id", "cell"]).where(
+            (F.col("mz") >= F.col("mz_start")) & (F.col("mz") < F.col("mz_end"))
+            & (F.col("rt") >= F.col("rt_start") * 60) & (F.col("rt") < F.col("rt_end") * 60))
+        for block in blocks])
     return hits.select("run_id", "comment", "scan_no", (F.col("rt") / 60.0).alias("rt"), "mz", "intensity")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions.exprs import plain_sequence
 from runlens.operators import targeted as t
+from runlens.plans.tables import write_table
 
 SPIKEINS = ("run_id string, name string, sequence string, mz double, rt double, mz_tol string,"
             " rt_tol double, position bigint")
@@ -54,18 +55,25 @@ def test_matches_move_windows(spark, spikeins, rows, join_way):
     assert moved == {("a", "three"): (4.5, 6.5), ("a", "one"): (0.0, 5.0), ("b", "one"): (0.0, 5.0)}
 
 
-def test_extract_xic_equals_brute_force(spark, join_way):
+@pytest.mark.parametrize("nested", [False, True])
+@pytest.mark.parametrize("block", [3, 100_000])
+def test_extract_xic_equals_brute_force(spark, join_way, block, nested, monkeypatch):
+    monkeypatch.setattr(t, "WINDOW_ROWS", block)
     random.seed(11)
     spectra = [(i, random.choice("ab"), i, random.random() * 600) for i in range(300)]
     hot = [(random.randrange(300), 500.0 + random.random() * 0.02 - 0.01, float(random.randrange(9))) for _ in range(2000)]
     peaks = hot + [(random.randrange(300), random.random() * 1000, 1.0) for _ in range(2000)]
     queries = [("a", "q1", 500.0, 10.0, "ppm", 0.0, 5.0), ("a", "wide", 400.0, 5000.0, "ppm", 2.0, 4.0),
                ("b", "q1", 500.0, 3.0, "ppm", 1.0, 9.0), ("b", "none", 5000.0, 3.0, "ppm", 1.0, 9.0)]
-    got = t.extract_xic(
-        spark.createDataFrame(spectra, "spectrum_id bigint, run_id string, scan_no bigint, rt double"),
-        spark.createDataFrame(peaks, "spectrum_id bigint, mz double, intensity double"),
-        spark.createDataFrame(queries, "run_id string, comment string, mz double, tolerance double,"
-                                       " tolerance_unit string, rt_start double, rt_end double"))
+    at_spectrum = spark.createDataFrame(spectra, "spectrum_id bigint, run_id string, scan_no bigint, rt double")
+    of_peaks = spark.createDataFrame(peaks, "spectrum_id bigint, mz double, intensity double")
+    if nested:
+        arrays = of_peaks.groupBy("spectrum_id").agg(F.collect_list(F.struct("mz", "intensity")).alias("peaks"))
+        at_spectrum, of_peaks = write_table(at_spectrum.join(arrays, "spectrum_id", "left")), None
+    else:
+        at_spectrum, of_peaks = write_table(at_spectrum), write_table(of_peaks)
+    got = t.extract_xic(at_spectrum, of_peaks, spark.createDataFrame(
+        queries, "run_id string, comment string, mz double, tolerance double, tolerance_unit string, rt_start double, rt_end double"))
     expected = []
     at = {s[0]: s for s in spectra}
     for run, comment, mz, tol, _, lo, hi in queries:
@@ -76,6 +84,10 @@ def test_extract_xic_equals_brute_force(spark, join_way):
                 expected.append((run, comment, scan, rt / 60, m, intensity))
     assert len(expected) > 100
     assert sorted(map(tuple, got.collect())) == sorted(expected)
+    # The peaks move to their spectrum, or not at all, and never to the windows.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert not any("cell" in line or "run_id" in line for line in moved) and (not nested or not moved)
 
 
 def test_unit_other_than_ppm_is_an_error(spark):
