@@ -161,13 +161,24 @@ def _two_headers(events: DataFrame, kept: list[str], first: str, second: str) ->
 
 
 def trailer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir).where(F.col("event_type") != "signup").withColumnRenamed("event_id", "scan_no")
-    return _two_headers(rows, ["run_id", "scan_no"], "Ion Injection Time (ms)", "LM m/z-Correction (ppm)")
+    """Two headers a scan; every third scan has none."""
+    rows = _events(spark, sf_dir).where((F.col("event_type") != "signup") & (F.col("event_id") % 3 != 0))
+    return _two_headers(rows.withColumnRenamed("event_id", "scan_no"), ["run_id", "scan_no"],
+                        "Ion Injection Time (ms)", "LM m/z-Correction (ppm)")
 
 
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir).where(F.col("event_type") == "signup")
-    return _two_headers(rows, ["run_id", "rt"], "Ambient temp. (°C)", "CPU core temp. (°C)")
+    """Sign-ups as log records of unlike headers, two of one wanted entry; two runs have no log."""
+    rows = _events(spark, sf_dir).where((F.col("event_type") == "signup") & ~F.col("run_id").isin("3", "7"))
+
+    def logged(header: str, value: Column) -> Column:
+        return F.struct(F.lit(header).alias("header"), value.cast("double").alias("value"))
+    value, number = F.col("value"), F.col("event_id")
+    headers = F.array(
+        logged("CPU core temp. (°C)", F.col("k")), logged("Fan speed", F.col("k")),
+        logged("Ambient temp. (°C)", F.when(number % 2 == 0, value)),
+        logged("Ambient temp. (°C) rear", F.when(number % 3 == 0, -value)))
+    return rows.select("run_id", "rt", F.explode(headers).alias("h")).select("run_id", "rt", "h.*")
 
 
 def tune(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -316,17 +316,32 @@ HEADERS = f"""{EVENTS},
 scans AS (SELECT run_id, event_id AS scan_no, rt, value, k,
     CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS ms_level
   FROM ev WHERE event_type <> 'signup'),
-log AS (SELECT run_id, rt, max(value) AS value, max(k) AS k FROM ev WHERE event_type = 'signup' GROUP BY run_id, rt),
-logged AS (SELECT s.run_id, s.scan_no, s.rt, s.ms_level, l.value, l.k
-  FROM scans s ASOF JOIN log l ON s.run_id = l.run_id AND s.rt >= l.rt),
-headers AS (
+signups AS (SELECT * FROM ev WHERE event_type = 'signup' AND run_id NOT IN ('3', '7')),
+records AS (
+  SELECT run_id, rt, 'LOG_CPU core temp. (°C)' AS name, 'CPU core temp. (°C)' AS header, CAST(k AS DOUBLE) AS value FROM signups
+  UNION ALL SELECT run_id, rt, 'LOG_Ambient temp. (°C)', 'Ambient temp. (°C)', value FROM signups WHERE event_id % 2 = 0
+  UNION ALL SELECT run_id, rt, 'LOG_Ambient temp. (°C)', 'Ambient temp. (°C) rear', -value FROM signups WHERE event_id % 3 = 0),
+log AS (SELECT run_id, rt, name, header, max(value) AS value FROM records WHERE value IS NOT NULL GROUP BY ALL),
+probes AS (SELECT s.run_id, scan_no, s.rt, ms_level, name, header
+           FROM scans s JOIN (SELECT DISTINCT run_id, name, header FROM log) USING (run_id)),
+logged AS (
+  SELECT p.run_id, p.scan_no, p.rt, p.ms_level, p.name, p.header, l.value
+  FROM probes p ASOF JOIN log l ON p.run_id = l.run_id AND p.header = l.header AND p.rt >= l.rt),
+found AS (
   SELECT run_id, scan_no, rt, ms_level, 'EXTRA_Ion Injection Time (ms)' AS name,
-    'Ion Injection Time (ms)' AS header, value FROM scans
+    'Ion Injection Time (ms)' AS header, value FROM scans WHERE scan_no % 3 <> 0
   UNION ALL SELECT run_id, scan_no, rt, ms_level, 'EXTRA_LM mz-Correction (ppm),LM Correction',
-    'LM m/z-Correction (ppm)', CAST(k AS DOUBLE) FROM scans
-  UNION ALL SELECT run_id, scan_no, rt, ms_level, 'LOG_Ambient temp. (°C)', 'Ambient temp. (°C)', value FROM logged
-  UNION ALL SELECT run_id, scan_no, rt, ms_level, 'LOG_CPU core temp. (°C)', 'CPU core temp. (°C)',
-    CAST(k AS DOUBLE) FROM logged)"""
+    'LM m/z-Correction (ppm)', CAST(k AS DOUBLE) FROM scans WHERE scan_no % 3 <> 0
+  UNION ALL SELECT * FROM logged),
+headers AS (
+  SELECT s.run_id, s.scan_no, s.rt, s.ms_level, name, header, f.value
+  FROM scans s LEFT JOIN found f ON f.run_id = s.run_id AND f.scan_no = s.scan_no)"""
+HEADER_COLUMNS = [
+    ("EXTRA_Ion Injection Time (ms)", "Ion Injection Time (ms)", "EXTRA_Ion Injection Time (ms)"),
+    ("EXTRA_LM mz-Correction (ppm),LM Correction", "LM m/z-Correction (ppm)", "EXTRA_LM mz-Correction (ppm),LM Correction"),
+    ("LOG_Ambient temp. (°C)", "Ambient temp. (°C)", "LOG_Ambient temp. (°C) [Ambient temp. (°C)]"),
+    ("LOG_Ambient temp. (°C)", "Ambient temp. (°C) rear", "LOG_Ambient temp. (°C) [Ambient temp. (°C) rear]"),
+    ("LOG_CPU core temp. (°C)", "CPU core temp. (°C)", "LOG_CPU core temp. (°C)")]
 ORACLE["select_headers"] = """
 SELECT DISTINCT CAST(user_id % 8 AS VARCHAR) AS run_id, event_type AS header, entry
 FROM events, (VALUES ('sign,view', 'sign'), ('sign,view', 'view'), ('c', 'c'), ('purchase', 'purchase'),
@@ -334,10 +349,14 @@ FROM events, (VALUES ('sign,view', 'sign'), ('sign,view', 'view'), ('c', 'c'), (
 WHERE starts_with(event_type, part)"""
 ORACLE["scan_headers_asof"] = f"""WITH {HEADERS}
 SELECT run_id, scan_no, {r('rt')} AS rt, ms_level, name, header, {r('value')} AS value FROM headers"""
-ORACLE["headers_long"] = f"""WITH {HEADERS}
-SELECT run_id, name || CASE WHEN name LIKE 'EXTRA%' THEN ' (MS1 filtered)' ELSE '' END AS header,
+ORACLE["scan_headers_wide"] = f"""WITH {HEADERS}
+SELECT run_id, scan_no, {r('rt')} AS rt, ms_level,
+  """ + ", ".join(f"""{r(f"max(value) FILTER (name = '{n}' AND header = '{h}')")} AS "{c}\"""" for n, h, c in HEADER_COLUMNS) + """
+FROM headers GROUP BY run_id, scan_no, rt, ms_level"""
+ORACLE["headers_long"] = f"""WITH {HEADERS}, columns(name, header, shown) AS (VALUES {", ".join(f"('{n}', '{h}', '{c}')" for n, h, c in HEADER_COLUMNS)})
+SELECT run_id, shown || CASE WHEN name LIKE 'EXTRA%' THEN ' (MS1 filtered)' ELSE '' END AS header,
   {r('rt / 60')} AS x, {r('value')} AS y
-FROM headers WHERE value IS NOT NULL AND (name LIKE 'LOG%' OR ms_level = 1)"""
+FROM headers JOIN columns USING (name, header) WHERE value IS NOT NULL AND (name LIKE 'LOG%' OR ms_level = 1)"""
 ORACLE["tune_values"] = f"""WITH {EVENTS}
 SELECT run_id, 'TUNE_Vaporizer Temp. (-)' AS name, 'Vaporizer Temp. (-) ' || event_type AS header,
   {r('max(value)')} AS value FROM ev GROUP BY run_id, event_type"""

@@ -357,11 +357,14 @@ def scan_headers_asof(spark, d):
     return _header_table(spark, d)
 
 
+@query
+def scan_headers_wide(spark, d):
+    return telemetry.wide_headers(write_table(_header_table(spark, d), "headers"))
+
+
 @query
 def headers_long(spark, d):
-    names = ["EXTRA_Ion Injection Time (ms)", "EXTRA_LM mz-Correction (ppm),LM Correction",
-             "LOG_Ambient temp. (°C)", "LOG_CPU core temp. (°C)"]
-    wide = telemetry.wide_headers(_header_table(spark, d), names)
+    wide = telemetry.wide_headers(write_table(_header_table(spark, d), "headers"))
     wide = wide.withColumnsRenamed({"rt": "Scan_StartTime", "ms_level": "Scan_msLevel"}).drop("scan_no")
     return crossrun.headers_long(wide, unit="min")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -289,7 +290,8 @@ def headers_long(
     typed = wide.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in names])
     long = typed.unpivot(ids, [f"`{c}`" for c in names], "header", "y").where(F.col("y").isNotNull())
     if level in wide.columns:
-        only = F.col("header").isin(*MS1_ONLY_HEADERS)
+        # A name with several labels carries the label in brackets.
+        only = reduce(lambda a, b: a | b, [(F.col("header") == h) | F.startswith("header", F.lit(f"{h} [")) for h in MS1_ONLY_HEADERS])
         long = long.where(~only | (F.col(level) == 1)).withColumn(
             "header", F.when(only, F.concat("header", F.lit(" (MS1 filtered)"))).otherwise(F.col("header")))
     return long.select("run_id", "header", in_unit(F.col(time).cast("double"), unit).alias("x"), "y")

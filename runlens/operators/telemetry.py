@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.functions.exprs import unsigned_le
+from runlens.functions.exprs import only_value, unsigned_le
 from runlens.plans.ordered import asof_backward, in_slice, slice_by_order, with_carry
 from runlens.plans.tables import attach, write_table
 
@@ -90,17 +91,27 @@ def _named(df: DataFrame, wanted: Sequence[str], prefix: str) -> DataFrame:
         "name", F.replace(F.concat(F.lit(prefix), "entry"), F.lit("/"), F.lit(""))).drop("entry")
 
 
-def log_at_scans(scans: DataFrame, status_log: DataFrame) -> DataFrame:
-    """Status-log record in force at each scan: the last at or before its RT.
+def status_records(status_log: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """run_id, rt, ``record``: at each logged time the value of every wanted
+    header, the last one logged until then.
 
-    A record is all headers logged at one time (as many as the instrument has);
-    of one header logged twice at that time the higher value counts.
+    Unwanted headers go first, so no more than the wanted ones is carried.  Of
+    one header logged twice at a time the higher value counts; a NULL value is
+    not a value.
     """
-    single = status_log.groupBy("run_id", "rt", "header").agg(F.max("value").alias("value"))
-    records = single.groupBy("run_id", "rt").agg(
-        F.map_from_entries(F.collect_list(F.struct("header", "value"))).alias("record")
-    ).withColumn("scan_no", F.lit(-1).cast("bigint"))
-    return asof_backward(scans, records, ["run_id"], "rt", "scan_no", ["record"])
+    keys = ["run_id", "name", "header"]
+    logged = _named(status_log.where(F.col("value").isNotNull()), wanted, "LOG_")
+    single = write_table(logged.groupBy(*keys, "rt").agg(F.max("value").alias("value")), "log")
+    # Every header of a run at every time of it, then filled forward.
+    times, labels = single.select("run_id", "rt").distinct(), single.select(*keys).distinct()
+    grid = attach(times, labels, ["run_id"]).join(single, [*keys, "rt"], "left")
+    at = F.when(F.col("value").isNotNull(), F.col("rt"))
+    filled = with_carry(slice_by_order(grid, keys, ["rt"]), keys, lasts={"last": F.max_by("value", at)})
+    here = F.last("value", ignorenulls=True).over(
+        in_slice(keys, ["rt"]).rowsBetween(Window.unboundedPreceding, 0))
+    filled = filled.select(*keys, "rt", F.coalesce(here, "last_before").alias("value")).where(F.col("value").isNotNull())
+    return filled.groupBy("run_id", "rt").agg(
+        F.array_sort(F.collect_list(F.struct("name", "header", "value"))).alias("record"))
 
 
 def scan_header_table(
@@ -111,19 +122,44 @@ def scan_header_table(
 
     ``scans``: run_id, scan_no, rt, ms_level; ``trailer``: run_id, scan_no,
     header, value; ``status_log``: run_id, rt, header, value.  Output: run_id,
-    scan_no, rt, ms_level, name, header, value.
+    scan_no, rt, ms_level, name, header, value.  A status value is the header's
+    last one logged at or before the scan.  Every scan stays: one without any
+    value has one row with NULL name, header and value.
     """
-    columns = ["run_id", "scan_no", "rt", "ms_level", "name", "header", "value"]
-    extra = _named(trailer, extra_headers, "EXTRA_").join(scans, ["run_id", "scan_no"]).select(*columns)
-    logged = log_at_scans(scans, status_log).select(
-        "run_id", "scan_no", "rt", "ms_level", F.explode("record").alias("header", "value"))
-    return extra.unionByName(_named(logged, log_headers, "LOG_").select(*columns))
+    columns = ["run_id", "scan_no", "rt", "ms_level"]
+    extra = _named(trailer, extra_headers, "EXTRA_").groupBy("run_id", "scan_no").agg(
+        F.collect_list(F.struct("name", "header", "value")).alias("extra"))
+    records = status_records(status_log, log_headers).withColumn("scan_no", F.lit(-1).cast("bigint"))
+    logged = asof_backward(scans.select(*columns), records, ["run_id"], "rt", "scan_no", ["record"])
+    both = logged.join(extra, ["run_id", "scan_no"], "left")
+    kind = "array<struct<name: string, header: string, value: double>>"
+    cells = F.concat(*[F.coalesce(F.col(c).cast(kind), F.array().cast(kind)) for c in ("extra", "record")])
+    return both.select(*columns, F.explode_outer(cells).alias("cell")).select(*columns, "cell.*")
+
+
+def header_columns(table: DataFrame) -> dict[tuple[str, str], str]:
+    """Column name of every (name, header) of a header table.
+
+    A name with one header is its own column, one with several has a column for
+    each, ``name [header]``.  Their number is that of the wanted labels.
+    """
+    pairs = [(r.name, r.header) for r in table.select("name", "header").where(
+        F.col("name").isNotNull()).distinct().orderBy("name", "header").collect()]
+    names = [name for name, _ in pairs]
+    return {(n, h): n if names.count(n) == 1 else f"{n} [{h}]" for n, h in pairs}
+
 
+def wide_headers(table: DataFrame, columns: Mapping[tuple[str, str], str] | None = None) -> DataFrame:
+    """One row per scan with a column for each (name, header), as :func:`header_columns` names them.
 
-def wide_headers(table: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per scan with a column for each of ``names``."""
-    return table.groupBy("run_id", "scan_no", "rt", "ms_level").pivot("name", list(names)).agg(
-        F.max("value"))
+    Scans without a value stay.  A header repeated within a scan is an error.
+    """
+    columns = header_columns(table) if columns is None else columns
+    ids = ["run_id", "scan_no", "rt", "ms_level"]
+    label = reduce(lambda c, pair: c.when((F.col("name") == pair[0][0]) & (F.col("header") == pair[0][1]), pair[1]),
+                   columns.items(), F.when(F.lit(False), F.lit(None).cast("string")))
+    named = table.select(*ids, label.alias("label"), "value")
+    return named.groupBy(*ids).pivot("label", list(columns.values())).agg(only_value("value"))
 
 
 def tune_values(tune: DataFrame, wanted: Sequence[str] = TUNE_HEADERS) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from runlens.operators import telemetry as t
 from runlens.operators.crossrun import headers_long
+from runlens.plans.tables import write_table
 
 
 def test_select_headers(spark, rows):
@@ -27,21 +28,52 @@ def test_scan_headers(spark, rows):
     log = spark.createDataFrame([("a", 1.0, "CPU core temp. (°C)", 40.0), ("a", 1.0, "Unwanted", 1.0),
                                  ("a", 2.0, "CPU core temp. (°C)", 41.0)],
                                 "run_id string, rt double, header string, value double")
-    got = t.scan_header_table(scans, trailer, log)
+    got = write_table(t.scan_header_table(scans, trailer, log))
     assert rows(got, "run_id", "scan_no", "name", "value") == [
         ("a", 1, "EXTRA_Ion Injection Time (ms)", 5.0), ("a", 1, "EXTRA_Lock Mass #1 (mz)", 7.0),
         ("a", 2, "EXTRA_Ion Injection Time (ms)", 6.0),
         # a record logged at the scan's own time is in force; none before the first
-        ("a", 2, "LOG_CPU core temp. (°C)", 40.0), ("a", 3, "LOG_CPU core temp. (°C)", 41.0)]
-    wide = t.wide_headers(got, ["EXTRA_Ion Injection Time (ms)", "LOG_CPU core temp. (°C)"])
+        ("a", 2, "LOG_CPU core temp. (°C)", 40.0), ("a", 3, "LOG_CPU core temp. (°C)", 41.0),
+        # a scan without any value stays
+        ("b", 1, None, None)]
+    wide = t.wide_headers(got)
+    assert rows(wide, "run_id", "scan_no", "`LOG_CPU core temp. (°C)`") == [
+        ("a", 1, None), ("a", 2, 40.0), ("a", 3, 41.0), ("b", 1, None)]
     wide = wide.withColumnsRenamed({"rt": "Scan_StartTime", "ms_level": "Scan_msLevel"}).drop("scan_no")
     assert rows(headers_long(wide)) == [
-        ("a", "EXTRA_Ion Injection Time (ms) (MS1 filtered)", 0.5, 5.0),
+        ("a", "EXTRA_Ion Injection Time (ms) (MS1 filtered)", 0.5, 5.0), ("a", "EXTRA_Lock Mass #1 (mz)", 0.5, 7.0),
         ("a", "LOG_CPU core temp. (°C)", 1.0, 40.0), ("a", "LOG_CPU core temp. (°C)", 9.0, 41.0)]
     with pytest.raises(ValueError, match="no time column"):
         headers_long(wide.drop("Scan_StartTime"))
 
 
+def test_header_values_last_until_logged_again(spark, rows, join_way):
+    """Records hold unlike headers, two labels belong to one entry, one label to two."""
+    scans = spark.createDataFrame([("a", i, float(i), 1) for i in range(6)] + [("b", 0, 5.0, 1)],
+                                  "run_id string, scan_no bigint, rt double, ms_level int")
+    trailer = spark.createDataFrame([], "run_id string, scan_no bigint, header string, value double")
+    log = spark.createDataFrame([
+        ("a", 1.0, "T left", 10.0), ("a", 1.0, "U", 1.0), ("a", 2.5, "T right", 20.0), ("a", 3.0, "T left", None), ("a", 3.0, "U", 3.0),
+        ("a", 4.0, "T left", 11.0), ("a", 4.0, "T left", 9.0), ("a", 0.0, "unwanted", 0.0)],
+        "run_id string, rt double, header string, value double")
+    wide = t.wide_headers(write_table(t.scan_header_table(scans, trailer, log, [], ["T", "U,T right"])))
+    assert wide.columns[4:] == ["LOG_T [T left]", "LOG_T [T right]", "LOG_U,T right [T right]", "LOG_U,T right [U]"]
+    assert rows(wide.drop("rt", "ms_level")) == [
+        ("a", 0, None, None, None, None), ("a", 1, 10.0, None, None, 1.0), ("a", 2, 10.0, None, None, 1.0),
+        ("a", 3, 10.0, 20.0, 20.0, 3.0), ("a", 4, 11.0, 20.0, 20.0, 3.0), ("a", 5, 11.0, 20.0, 20.0, 3.0),
+        ("b", 0, None, None, None, None)]
+
+
+def test_repeated_header_of_a_scan_is_an_error(spark):
+    scans = spark.createDataFrame([("a", 1, 0.5, 1)], "run_id string, scan_no bigint, rt double, ms_level int")
+    trailer = spark.createDataFrame([("a", 1, "X", 5.0), ("a", 1, "X", 6.0)], "run_id string, scan_no bigint, header string, value double")
+    log = spark.createDataFrame([], "run_id string, rt double, header string, value double")
+    long = t.scan_header_table(scans, trailer, log, ["X"], [])
+    assert long.count() == 2
+    with pytest.raises(Exception, match="more than one value"):
+        t.wide_headers(long).collect()
+
+
 def test_tune_values(spark, rows):
     tune = spark.createDataFrame([("a", "Vaporizer Temp. (-):", 3.0), ("a", "x", 1.0)],
                                  "run_id string, header string, value double")
