@@ -125,12 +125,28 @@ def feature_idents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spikeins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as a target; parts of one type and price share a plain sequence."""
-    targets = table(spark, sf_dir, "part").select(
-        _run("p_partkey").alias("run_id"), F.col("p_retailprice").alias("mz"),
+    targets = _targets(spark, sf_dir)
+    name = F.concat(F.lit("SP"), _letters(F.col("mz")), F.lit("-"), F.col("position").cast("string"))
+    return _as_spikeins(targets, name)
+
+
+def spikein_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list the runs share: the first part of each brand in a run, under the brand's name."""
+    targets = _targets(spark, sf_dir)
+    first = targets.groupBy("run_id", "brand").agg(F.min_by(F.struct("mz", "kind", "position"), "position").alias("t"))
+    return _as_spikeins(first.select("run_id", "brand", "t.*"), F.col("brand"))
+
+
+def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        _run("p_partkey").alias("run_id"), F.col("p_retailprice").alias("mz"), F.col("p_brand").alias("brand"),
         F.col("p_type").alias("kind"), F.col("p_partkey").alias("position"))
+
+
+def _as_spikeins(targets: DataFrame, name: Column) -> DataFrame:
     letters = _letters(F.col("mz"))
     return targets.select(
-        "run_id", F.concat(F.lit("SP"), letters, F.lit("-"), F.col("position").cast("string")).alias("name"),
+        "run_id", name.alias("name"),
         F.concat(F.lit("[Acetyl]-"), F.substring("kind", 1, 3), F.lit("[Oxidation]"),
                  F.substring("kind", 4, 100), letters, F.lit("/2")).alias("sequence"),
         "mz", F.round((F.col("mz") - 900) * 24, 1).alias("rt"),

@@ -243,17 +243,24 @@ ORACLE["ident_feature_charge_fractions"] = _feature_charges("n_idents > 0")
 
 # ---- targeted extraction ---------------------------------------------------
 
-SPIKEINS = f"""
-kinds AS (SELECT CAST(p_partkey % 8 AS VARCHAR) AS run_id, p_retailprice AS mz, p_type AS kind, p_partkey AS position
-          FROM part),
+
+
+def _spikeins(kinds: str, name: str) -> str:
+    return f"""
+kinds AS (SELECT CAST(p_partkey % 8 AS VARCHAR) AS run_id, p_retailprice AS mz, p_type AS kind, p_partkey AS position,
+            p_brand AS brand FROM part {kinds}),
 spikeins AS (
-  SELECT run_id, mz, position, 'SP' || {LETTERS.format('mz')} || '-' || CAST(position AS VARCHAR) AS name, kind || {LETTERS.format('mz')} AS plain,
+  SELECT run_id, mz, position, {name} AS name, kind || {LETTERS.format('mz')} AS plain,
     '[Acetyl]-' || substr(kind, 1, 3) || '[Oxidation]' || substr(kind, 4) || {LETTERS.format('mz')} || '/2' AS sequence,
     round((mz - 900) * 24, 1) AS rt FROM kinds),
 queries AS (SELECT run_id, plain AS plain_sequence, name AS comment, mz, 200.0::DOUBLE AS tolerance,
     'ppm' AS tolerance_unit, rt / 60.0::DOUBLE - 10.0::DOUBLE AS rt_start,
     rt / 60.0::DOUBLE + 10.0::DOUBLE AS rt_end FROM spikeins
   QUALIFY row_number() OVER (PARTITION BY run_id, plain ORDER BY position DESC) = 1)"""
+
+
+SPIKEINS = _spikeins("", f"'SP' || {LETTERS.format('mz')} || '-' || CAST(position AS VARCHAR)")
+PANEL = _spikeins("QUALIFY row_number() OVER (PARTITION BY p_partkey % 8, p_brand ORDER BY p_partkey) = 1", "brand")
 MATCHES = f"""{PSMS}, {SPIKEINS},
 matches AS (SELECT p.run_id, p.sequence, retention_time, psm_id, accession, fdr_score AS score
   FROM psms p JOIN queries q ON q.run_id = p.run_id AND q.plain_sequence = p.sequence
@@ -297,12 +304,26 @@ SELECT run_id, comment, maximum_intensity, {r('rt_at_maximum')} AS rt_at_maximum
 ORACLE["spikein_metrics"] = f"""WITH {XIC}
 SELECT run_id, name, sequence, maximum_intensity, {r('rt_at_maximum')} AS rt_at_maximum, nr_identifications,
   {r('expected_rt')} AS expected_rt, {r('delta_to_expected_rt')} AS delta_to_expected_rt FROM observed"""
-ORACLE["spikeins_wide"] = f"""WITH {XIC}
+ORACLE["spikein_cells"] = f"""WITH {XIC}
 SELECT run_id, name || '_maximum_intensity' AS "column", {r('maximum_intensity')} AS value FROM observed
 UNION ALL SELECT run_id, name || '_rt_at_maximum', {r('rt_at_maximum / 60')} FROM observed
 UNION ALL SELECT run_id, name || '_nr_identifications', {r('nr_identifications')} FROM observed
 UNION ALL SELECT run_id, name || '_delta_to_expected_rt', {r('delta_to_expected_rt / 60')} FROM observed"""
 
+PANEL_XIC = XIC.replace(SPIKEINS, PANEL)
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+
+def _brand_columns(values: list[tuple[str, str]]) -> str:
+    """Columns of every brand from the rows of ``observed``."""
+    return ", ".join(f"""max({value}) FILTER (name = '{brand}') AS "{brand}_{column}\"""" for brand in BRANDS for column, value in values)
+
+
+ORACLE["spikeins_wide"] = f"""WITH {PANEL_XIC}
+SELECT run_id, {_brand_columns([("maximum_intensity", r("maximum_intensity")), ("rt_at_maximum", r("rt_at_maximum / 60")),
+    ("nr_identifications", r("nr_identifications")), ("delta_to_expected_rt", r("delta_to_expected_rt / 60"))])}
+FROM observed GROUP BY run_id"""
+
 # ---- telemetry -------------------------------------------------------------
 
 EVENTS = """
@@ -473,18 +494,33 @@ ORACLE["arrays_wide"] = f"""WITH {OVERVIEW}
 SELECT run_id, rt_first AS "RT_range_min", rt_last AS "RT_range_max" FROM overview"""
 CHARGES = ", ".join(f'{r(f"max(fraction) FILTER (charge = {i})")} AS "MS2_prec_charge_fraction_{i}"' for i in range(5))
 ORACLE["tables_wide"] = f"WITH {CHARGE_FRACTIONS} SELECT run_id, {CHARGES} FROM charges GROUP BY run_id"
-ORACLE["summary_table"] = f"""WITH {OVERVIEW}, {RUNS10},
+SPIKEIN_SUMMARY = _brand_columns([
+    ("proforma peptidoform sequence", "sequence"), ("MS1 feature maximum intensity", r("maximum_intensity")),
+    ("retention time", r("rt_at_maximum / 60")), ("count of identified spectra", r("nr_identifications")),
+    ("predicted retention time", r("expected_rt / 60")), ("Delta_to_expected_RT", r("delta_to_expected_rt / 60"))])
+FEATURE_CHARGES = ", ".join(
+    f"""{r(f"count(*) FILTER (least(charge, 8) = {i})::DOUBLE / count(*)")} AS features_charges_{i}""" for i in range(1, 9))
+ORACLE["summary_table"] = f"""WITH {PANEL_XIC},
+summary AS (
+  SELECT s.*, coalesce(p.tic, 0.0) AS tic, coalesce(p.base_peak, 0.0) AS base_peak
+  FROM spectra s LEFT JOIN (SELECT spectrum_id, sum(intensity) AS tic, max(intensity) AS base_peak
+                            FROM peaks GROUP BY spectrum_id) p USING (spectrum_id)),
+{OVERVIEW[OVERVIEW.index("overview AS ("):]}, {RUNS10}, {FEATURES},
 charges AS (
   SELECT run_id, CAST(b AS INTEGER) AS charge,
     count(*) FILTER (ms_level = 2 AND least(s.charge, 4) = b)::DOUBLE / count(*) FILTER (ms_level = 2) AS fraction
   FROM spectra s, range(0, 5) AS t(b) GROUP BY run_id, b),
 c AS (SELECT run_id, {CHARGES} FROM charges GROUP BY run_id),
 l AS (SELECT run_id, max(base_peak) FILTER (rt <= 1200) AS base_peak_intensity_maxima_per_time_range
-      FROM summary GROUP BY run_id)
+      FROM summary GROUP BY run_id),
+fc AS (SELECT run_id, {FEATURE_CHARGES} FROM features GROUP BY run_id),
+si AS (SELECT run_id, {SPIKEIN_SUMMARY} FROM observed GROUP BY run_id)
 SELECT run_id, make_timestamp(CAST((rt_first * 86400 + 788918400) * 1000000 AS BIGINT)) AS "startTime",
   {r('rt_first / 60')} AS "RT_range_min", {r('rt_last / 60')} AS "RT_range_max", {SCALARS},
-  base_peak_intensity_maxima_per_time_range, c.* EXCLUDE (run_id), CAST(NULL AS DOUBLE) AS nr_peptides
-FROM runs10 LEFT JOIN overview USING (run_id) LEFT JOIN c USING (run_id) LEFT JOIN l USING (run_id)"""
+  base_peak_intensity_maxima_per_time_range, c.* EXCLUDE (run_id), fc.* EXCLUDE (run_id), si.* EXCLUDE (run_id),
+  'run ' || run_id AS label, CAST(NULL AS DOUBLE) AS nr_peptides
+FROM runs10 LEFT JOIN overview USING (run_id) LEFT JOIN c USING (run_id) LEFT JOIN l USING (run_id)
+LEFT JOIN fc USING (run_id) LEFT JOIN si USING (run_id)"""
 ORACLE["metric_catalogue"] = f"""WITH {OVERVIEW}, {RUN_METRICS}, {FEATURE_METRICS},
 a AS (SELECT * FROM metrics UNION ALL SELECT * FROM fmetrics)
 SELECT DISTINCT accession || ' ! ' || short_name AS key, description, name, short_name, unit_accession, unit_name

@@ -15,7 +15,7 @@ from runlens import bindings as b
 from runlens.functions.exprs import epoch_to_utc, plain_sequence
 from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
 from runlens.plans.tables import write_table
-from runlens.schemas import BRUKER_KEY, THERMO_KEY
+from runlens.schemas import BRUKER_KEY, THERMO_KEY, Metric
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -272,10 +272,10 @@ def _queries(spark, d):
     return targeted.xic_query_windows(b.spikeins(spark, d))
 
 
-def _matches(spark, d):
+def _matches(spark, d, queries=None):
     psms = b.psms(spark, d).select("run_id", "sequence", "retention_time", "psm_id", "accession",
                                    F.col("fdr_score").alias("score"))
-    return targeted.match_target_psms(psms, _queries(spark, d))
+    return targeted.match_target_psms(psms, _queries(spark, d) if queries is None else queries)
 
 
 def _found(spark, d):
@@ -293,6 +293,15 @@ def _spikein_metrics(spark, d):
                                     targeted.ident_counts(found))
 
 
+def _panel_metrics(spark, d):
+    """The same for the list of targets the runs share."""
+    panel = b.spikein_panel(spark, d)
+    queries = write_table(targeted.xic_query_windows(panel), "queries")
+    found = write_table(targeted.found_targets(_matches(spark, d, queries)), "found")
+    points = targeted.extract_xic(b.spectra(spark, d), b.peaks(spark, d), targeted.recenter_windows(queries, found))
+    return targeted.spikein_metrics(panel, targeted.xic_apex(points), targeted.ident_counts(found))
+
+
 @query
 def plain_sequences(spark, d):
     return b.spikeins(spark, d).select("run_id", "name", plain_sequence(F.col("sequence")).alias("plain"))
@@ -534,19 +543,40 @@ def tables_wide(spark, d):
 
 
 @query
-def spikeins_wide(spark, d):
-    """Long form: the targets, and so the columns, depend on the data."""
+def spikein_cells(spark, d):
+    """Long form: every part is a target, too many for columns."""
     return crossrun.spikein_cells(_spikein_metrics(spark, d), SPIKEIN_COLUMNS, unit="min")
 
 
+@query
+def spikeins_wide(spark, d):
+    return crossrun.spikeins_wide(_panel_metrics(spark, d), SPIKEIN_COLUMNS, unit="min")
+
+
+def _numbered_panel(panel):
+    """Row numbers of the list: the rank of the brand, the same in every run."""
+    names = panel.select("name").distinct()
+    return names.select((F.regexp_extract("name", r"#(\d+)", 1).cast("int") - 1).alias("row_no"), "name")
+
+
 @query
 def summary_table(spark, d):
     summary = _stored_summary(spark, d)
+    panel = write_table(_panel_metrics(spark, d), "panel")
+    names = write_table(_numbered_panel(panel), "names")
+    spikeins = records.metric_table(panel.join(names, "name"), "spike_in_metrics", reports.SPIKEIN_COLUMNS, row_no="row_no")
+    charges = features.feature_charge_fractions(_features(spark, d), 7).withColumn("row_no", F.col("charge") - 1)
+    charges = records.metric_table(charges, "features_charges", reports.CHARGE_COLUMNS, row_no="row_no")
+    label = records.metric_records(
+        b.nation_runs(spark, d).distinct().withColumn("label", F.concat(F.lit("run "), "run_id")),
+        {"label": "label"}, {"label": Metric("LOCAL:label", "Label")})
     cells = crossrun.summary_cells(
-        _metrics(spark, d, summary), _charge_table(spark, d).unionByName(_maxima_table(summary)), unit="min")
-    columns = ["startTime", "RT_range_min", "RT_range_max", *SUMMARY_SCALARS,
-               "base_peak_intensity_maxima_per_time_range", *CHARGE_COLUMNS, "nr_peptides"]
-    return crossrun.summary_table(cells, b.nation_runs(spark, d), columns)
+        _metrics(spark, d, summary).unionByName(label),
+        _charge_table(spark, d).unionByName(_maxima_table(summary)).unionByName(spikeins).unionByName(charges),
+        unit="min", spikein_names=names)
+    order = ["startTime", "RT_range", *SUMMARY_SCALARS, "base_peak_intensity_maxima_per_time_range",
+             "MS2_prec_charge_fraction", "features_charges", "spike_in_metrics", "label", "nr_peptides"]
+    return crossrun.summary_table(cells, b.nation_runs(spark, d), order)
 
 
 @query

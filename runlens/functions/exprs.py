@@ -23,7 +23,7 @@ def log2_ratio(numerator: Column, denominator: Column) -> Column:
 def only_value(column: str) -> Column:
     """Aggregate: the one value of a group, NULL if it has none; several are an error."""
     error = F.raise_error(F.lit(f"more than one {column} for one key"))
-    return F.when(F.count(column) <= 1, F.max(column)).otherwise(error.cast("double"))
+    return F.when(F.count(column) <= 1, F.max(column)).otherwise(error)
 
 
 def bucket_counts(value: Column, low: int, top: int, keep: Column | None = None) -> Mapping[int, Column]:

@@ -9,13 +9,23 @@ from functools import reduce
 from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runlens.functions.exprs import epoch_to_utc, in_unit, ratio
+from runlens.functions.exprs import epoch_to_utc, in_unit, only_value, ratio
 from runlens.plans.ordered import with_position
 from runlens.plans.tables import write_table
-from runlens.schemas import BRUKER_KEY, TABLE_KEYS, THERMO_KEY, summary_columns
+from runlens.schemas import (
+    BRUKER_KEY,
+    SPIKEIN_DELTA,
+    SPIKEIN_EXPECTED_RT,
+    SPIKEIN_LABEL,
+    SPIKEIN_RT,
+    SPIKEIN_TABLE,
+    SUMMARY_ORDER,
+    SUMMARY_TABLES,
+    THERMO_KEY,
+)
 
 # Rows kept of long series, and metadata of a combined file.
 TRACE_POINTS = 10_000
@@ -124,47 +134,85 @@ def require_metrics(runs: DataFrame, metrics: DataFrame) -> DataFrame:
 # ---- wide tables ---------------------------------------------------------
 
 def scalars_wide(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per run; a metric repeated within a run is an error."""
     scalars = metrics.where(F.col("short_name").isin(*names))
-    return scalars.groupBy("run_id").pivot("short_name", list(names)).agg(F.max("value_num"))
+    return scalars.groupBy("run_id").pivot("short_name", list(names)).agg(only_value("value_num"))
 
 
 def array_cells(metrics: DataFrame) -> DataFrame:
-    """Elements of array metrics as (run_id, column, value): ``<metric>_1`` …;
-    for RT_range ``_min`` and ``_max``."""
+    """Elements of array metrics as (run_id, metric, part, column, value):
+    ``<metric>_1`` …; for RT_range ``_min`` and ``_max``."""
     elements = metrics.where(F.array_size("value_arr") > 1).select(
-        "run_id", "short_name", F.posexplode("value_arr").alias("i", "value"))
+        "run_id", F.col("short_name").alias("metric"), F.posexplode("value_arr").alias("i", "value"))
     range_suffix = F.when(F.col("i") == 0, "min").otherwise("max")
-    suffix = F.when(F.col("short_name") == "RT_range", range_suffix).otherwise(
-        (F.col("i") + 1).cast("string"))
-    return elements.select("run_id", F.concat_ws("_", "short_name", suffix).alias("column"), "value")
+    suffix = F.when(F.col("metric") == "RT_range", range_suffix).otherwise((F.col("i") + 1).cast("string"))
+    return elements.select("run_id", "metric", F.col("i").cast("double").alias("part"),
+                           F.concat_ws("_", "metric", suffix).alias("column"), "value")
 
 
 def arrays_wide(metrics: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return array_cells(metrics).groupBy("run_id").pivot("column", list(columns)).agg(F.max("value"))
+    return array_cells(metrics).groupBy("run_id").pivot("column", list(columns)).agg(only_value("value"))
 
 
 def table_cells(metric_tables: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Two-column tables as (run_id, column, value): the first column is the
-    suffix, the first value of a key is taken."""
+    """Two-column tables as (run_id, metric, part, column, value): the first
+    column is the suffix, the first value of a key is taken."""
     rows = metric_tables.where(F.col("short_name").isin(*names)).groupBy(
-        "run_id", "short_name", "row_no").agg(
+        "run_id", F.col("short_name").alias("metric"), "row_no").agg(
         F.max(F.when(F.col("column_no") == 0, F.col("value_num"))).alias("key"),
         F.max(F.when(F.col("column_no") == 1, F.col("value_num"))).alias("value"))
     whole = F.col("key") == F.rint("key")
     suffix = F.when(whole, F.col("key").cast("bigint").cast("string")).otherwise(F.col("key").cast("string"))
-    return rows.groupBy("run_id", F.concat_ws("_", "short_name", suffix).alias("column")).agg(
+    return rows.groupBy("run_id", "metric", F.col("key").alias("part"), F.concat_ws("_", "metric", suffix).alias("column")).agg(
         F.min_by("value", "row_no").alias("value"))
 
 
 def tables_wide(metric_tables: DataFrame, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
     cells = table_cells(metric_tables, names)
-    return cells.groupBy("run_id").pivot("column", list(columns)).agg(F.max("value"))
+    return cells.groupBy("run_id").pivot("column", list(columns)).agg(only_value("value"))
 
 
 def first_value_cells(metric_tables: DataFrame, names: Sequence[str] = FIRST_VALUE_TABLES) -> DataFrame:
     first = (F.col("row_no") == 0) & (F.col("column_no") == 0) & F.col("short_name").isin(*names)
     return metric_tables.where(first).select(
-        "run_id", F.col("short_name").alias("column"), F.col("value_num").alias("value"))
+        "run_id", F.col("short_name").alias("metric"), F.lit(0.0).alias("part"),
+        F.col("short_name").alias("column"), F.col("value_num").alias("value"))
+
+
+def spikein_table_cells(metric_tables: DataFrame, names: DataFrame | None = None, unit: str = "sec") -> DataFrame:
+    """The spike-in tables of all runs as (run_id, metric, part, label, column, value, text).
+
+    A column is ``<label>_<column of the table>``; one more holds the difference
+    to the expected time.  The label is the sequence or, with ``names`` (row_no,
+    name: the spike-in list in its order), the name; the second of equal labels
+    in a run is ``<label> #2``, and so on.
+    """
+    cell = F.struct("column_no", "column_name", "value_num", "value_str")
+    rows = metric_tables.where(F.col("short_name") == SPIKEIN_TABLE).groupBy("run_id", "row_no").agg(
+        F.array_sort(F.collect_list(cell)).alias("cells"))
+
+    def of(name: str, field: str) -> Column:
+        return F.get(F.filter("cells", lambda x: x["column_name"] == name), F.lit(0))[field]
+
+    rows = rows.withColumn("label", of(SPIKEIN_LABEL, "value_str"))
+    if names is not None:
+        given = names.select("row_no", F.col("name").alias("given"))
+        rows = rows.join(given, "row_no", "left").withColumn("label", F.coalesce("given", "label"))
+    same = Window.partitionBy("run_id", "label").orderBy("row_no")
+    rows = rows.withColumn("copy", F.row_number().over(same))
+    label = F.when(F.col("copy") > 1, F.concat("label", F.lit(" #"), "copy")).otherwise(F.col("label"))
+    rt, expected = of(SPIKEIN_RT, "value_num"), of(SPIKEIN_EXPECTED_RT, "value_num")
+    delta = F.struct(F.size("cells").alias("column_no"), F.lit(SPIKEIN_DELTA).alias("column_name"),
+                     (rt - expected).alias("value_num"), F.lit(None).cast("string").alias("value_str"))
+    kind = "array<struct<column_no: int, column_name: string, value_num: double, value_str: string>>"
+    every = F.explode(F.concat(F.col("cells").cast(kind), F.array(delta).cast(kind))).alias("c")
+    long = rows.select("run_id", "row_no", label.alias("label"), every)
+    is_time = F.col("c.column_name").isin(SPIKEIN_RT, SPIKEIN_EXPECTED_RT, SPIKEIN_DELTA)
+    return long.select(
+        "run_id", F.lit(SPIKEIN_TABLE).alias("metric"), (F.col("row_no") * 1000.0 + F.col("c.column_no")).alias("part"),
+        "label", F.concat_ws("_", "label", "c.column_name").alias("column"),
+        F.when(is_time, in_unit(F.col("c.value_num"), unit)).otherwise(F.col("c.value_num")).alias("value"),
+        F.col("c.value_str").alias("text"))
 
 
 def spikein_cells(
@@ -179,42 +227,81 @@ def spikein_cells(
 
 
 def spikeins_wide(
-    spikeins: DataFrame, labels: Sequence[str], columns: Sequence[str], unit: str = "sec"
+    spikeins: DataFrame, columns: Sequence[str], unit: str = "sec", label: str = "name", labels: Sequence[str] | None = None
 ) -> DataFrame:
-    names = [f"{label}_{c}" for label in labels for c in columns]
-    return spikein_cells(spikeins, columns, unit).groupBy("run_id").pivot("column", names).agg(F.max("value"))
+    """One row per run; the labels are those of the data unless given, a label
+    repeated within a run is an error.
+
+    One column per label and value, so this is for lists the runs share.
+    """
+    cells = write_table(spikein_cells(spikeins, columns, unit, label), "spikeins")
+    if labels is None:
+        names = [x["column"] for x in cells.select("column").distinct().orderBy("column").collect()]
+    else:
+        names = [f"{x}_{c}" for x in labels for c in columns]
+    return cells.groupBy("run_id").pivot("column", names).agg(only_value("value"))
 
 
 def summary_cells(
-    metrics: DataFrame, metric_tables: DataFrame, unit: str = "sec", tables: Sequence[str] = tuple(TABLE_KEYS)
+    metrics: DataFrame, metric_tables: DataFrame, unit: str = "sec", tables: Sequence[str] = SUMMARY_TABLES,
+    spikein_names: DataFrame | None = None,
 ) -> DataFrame:
-    """All summary values as (run_id, column, value).
+    """All summary values as (run_id, metric, part, column, value, text, label).
 
-    Scalars, arrays, two-column tables and first values go in one long table,
-    so the summary takes one shuffle however many metrics there are.
+    Scalars (numbers and texts), arrays, two-column tables, first values and
+    spike-ins go in one long table, so the summary takes one shuffle however
+    many metrics there are.  ``part`` orders the columns of a metric, those of
+    one ``label`` (a spike-in) stay together.
     """
     scalars = metrics.where(F.coalesce(F.array_size("value_arr"), F.lit(1)) == 1).select(
-        "run_id", F.col("short_name").alias("column"),
-        F.coalesce("value_num", F.get(F.col("value_arr"), F.lit(0))).alias("value"))
+        "run_id", F.col("short_name").alias("metric"), F.lit(0.0).alias("part"), F.col("short_name").alias("column"),
+        F.coalesce("value_num", F.get(F.col("value_arr"), F.lit(0))).alias("value"), F.col("value_str").alias("text"))
     arrays = array_cells(metrics)
     arrays = arrays.withColumn("value", F.when(
         F.col("column").isin("RT_range_min", "RT_range_max"), in_unit(F.col("value"), unit)
     ).otherwise(F.col("value")))
-    return scalars.unionByName(arrays).unionByName(table_cells(metric_tables, tables)).unionByName(
-        first_value_cells(metric_tables))
+    parts = [arrays, table_cells(metric_tables, tables), first_value_cells(metric_tables),
+             spikein_table_cells(metric_tables, spikein_names, unit)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, scalars)
+
+
+def summary_columns(cells: DataFrame, order: Sequence[str] | None = None) -> list[tuple[str, bool]]:
+    """Columns of the summary, and whether they hold texts, as the cells have them.
+
+    ``order`` lists metrics; each stands for all its columns in any run, one
+    that no run has for a column of its own.  Read once; as many rows as the
+    summary has columns.
+    """
+    found = cells.groupBy("metric", F.coalesce("label", F.lit("")).alias("label"), "column").agg(
+        F.min("part").alias("part"), F.bool_or(F.col("text").isNotNull()).alias("is_text")).collect()
+    first = {}
+    for x in found:
+        if x.label:
+            first[x.metric, x.label] = min(x.part, first.get((x.metric, x.label), x.part))
+    columns = []
+    for metric in SUMMARY_ORDER if order is None else order:
+        own = sorted((first.get((metric, x.label), 0.0), x.label, x.part, x.column, x.is_text) for x in found if x.metric == metric)
+        columns += [(name, is_text) for *_, name, is_text in own] or [(metric, False)]
+    return columns
 
 
 def summary_table(
-    cells: DataFrame, runs: DataFrame, columns: Sequence[str] | None = None, ordered: bool = True
+    cells: DataFrame, runs: DataFrame, order: Sequence[str] | None = None, ordered: bool = True
 ) -> DataFrame:
-    """One row per run, columns as requested; one nobody has stays NULL.
+    """One row per run with the columns of the metrics in ``order`` (:func:`summary_columns`).
 
-    ``startTime`` becomes a timestamp (UTC).
+    Two values of one cell are an error.  ``startTime`` becomes a timestamp (UTC).
     """
-    columns = summary_columns() if columns is None else list(columns)
-    wide = cells.groupBy("run_id").pivot("column", columns).agg(F.max("value"))
-    wide = runs.select("run_id").distinct().join(wide, "run_id", "left")
-    if "startTime" in columns:
+    cells = write_table(cells, "cells")
+    columns = summary_columns(cells, order)
+    names = [name for name, _ in columns]
+    wide = cells.groupBy("run_id").pivot("column", names).agg(
+        only_value("value").alias("number"), only_value("text").alias("text"))
+    quoted = [(c, c.replace("`", "``"), is_text) for c, is_text in columns]
+    shown = [F.coalesce(f"`{q}_text`", F.col(f"`{q}_number`").cast("string")).alias(c) if is_text
+             else F.col(f"`{q}_number`").alias(c) for c, q, is_text in quoted]
+    wide = runs.select("run_id").distinct().join(wide.select("run_id", *shown), "run_id", "left")
+    if "startTime" in names:
         wide = wide.withColumn("startTime", epoch_to_utc(F.col("startTime")))
     return wide.orderBy("run_id") if ordered else wide
 

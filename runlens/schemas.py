@@ -166,33 +166,18 @@ SUMMARY_ORDER = [
     "spike_in_metrics",
 ]
 
-# Arrays by length and two-column tables by their keys, as they
-# appear in the summary (precursor and feature charges up to 5).
-ARRAY_LENGTHS = {
-    "RT_MS1_quantiles": 4, "RT_MS2_quantiles": 4, "RT_TIC_quantiles": 4,
-    "MS1_density_quantiles": 3, "MS2_density_quantiles": 3,
-    "MS1_TIC_change_quantiles": 3, "MS1_TIC_quantiles": 3,
-}
-TABLE_KEYS = {
-    "MS2_prec_charge_fraction": range(0, 7),
-    "PSM_charge_fractions": range(1, 7),
-    "PSM_missed_cleavages_fractions": range(0, 5),
-    "features_charges": range(1, 7),
-    "ident_features_charge": range(1, 7),
-}
-
+# Tables of which the summary shows one value for each key.
+SUMMARY_TABLES = (
+    "MS2_prec_charge_fraction",
+    "PSM_charge_fractions",
+    "PSM_missed_cleavages_fractions",
+    "features_charges",
+    "ident_features_charge",
+)
 
-def summary_columns(order: list[str] | None = None, tables: dict | None = None) -> list[str]:
-    """Column names of the summary for a list of metrics."""
-    tables = {**TABLE_KEYS, **(tables or {})}
-    columns = []
-    for metric in SUMMARY_ORDER if order is None else order:
-        if metric == "RT_range":
-            columns += ["RT_range_min", "RT_range_max"]
-        elif metric in ARRAY_LENGTHS:
-            columns += [f"{metric}_{i}" for i in range(1, ARRAY_LENGTHS[metric] + 1)]
-        elif metric in tables:
-            columns += [f"{metric}_{k}" for k in tables[metric]]
-        elif metric != "spike_in_metrics":
-            columns.append(metric)
-    return columns
+# The spike-in table and its columns as the summary names them.
+SPIKEIN_TABLE = "spike_in_metrics"
+SPIKEIN_LABEL = "proforma peptidoform sequence"
+SPIKEIN_RT = "retention time"
+SPIKEIN_EXPECTED_RT = "predicted retention time"
+SPIKEIN_DELTA = "Delta_to_expected_RT"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from runlens.operators import crossrun as c
 from runlens.operators import records as r
-from runlens.schemas import METRICS, Metric, summary_columns
+from runlens.operators import reports
+from runlens.schemas import METRICS, Metric
 from runlens.sources import sinks
 
 
@@ -79,28 +80,61 @@ def test_inventory(spark, metrics, rows):
 
 def test_summary(spark, metrics, tables, rows):
     runs = spark.createDataFrame([("b",), ("a",), ("c",)], "run_id string")
-    columns = summary_columns(["startTime", "RT_range", "nr_MS1", "MS2_prec_charge_fraction", "unknown"],
-                              {"MS2_prec_charge_fraction": range(0, 2)})
-    got = c.summary_table(c.summary_cells(metrics, tables, unit="min"), runs, columns)
+    order = ["startTime", "RT_range", "nr_MS1", "MS2_prec_charge_fraction", "unknown"]
+    got = c.summary_table(c.summary_cells(metrics, tables, unit="min"), runs, order)
     assert got.columns == ["run_id", "startTime", "RT_range_min", "RT_range_max", "nr_MS1",
                            "MS2_prec_charge_fraction_0", "MS2_prec_charge_fraction_1", "unknown"]
     assert [tuple(x) for x in got.collect()] == [
         ("a", datetime.datetime(2024, 2, 29, 12, 0, 1), 1 / 60, 61 / 60, 10.0, .25, .75, None),
         ("b", datetime.datetime(1969, 12, 31, 23, 59, 59), 2 / 60, 62 / 60, 20.0, 1.0, 0.0, None),
         ("c", None, None, None, None, None, None, None)]
-    assert "spike_in_metrics" not in summary_columns() and "RT_TIC_quantiles_4" in summary_columns()
     assert rows(c.tables_wide(tables, ["MS2_prec_charge_fraction"], ["MS2_prec_charge_fraction_1"])) == [
         ("a", .75), ("b", 0.0)]
     assert rows(c.scalars_wide(metrics, ["nr_MS1", "total_ion_current_max"])) == [("a", 10.0, 3.5), ("b", 20.0, None)]
     assert rows(c.arrays_wide(metrics, ["RT_range_max"])) == [("a", 61.0), ("b", 62.0)]
+    # the default order names every metric, those without data as empty columns
+    columns = c.summary_table(c.summary_cells(metrics, tables), runs).columns
+    assert columns[1:4] == ["startTime", "RT_range_min", "RT_range_max"] and columns[-1] == "spike_in_metrics"
+    with pytest.raises(Exception, match="more than one value"):
+        c.summary_table(c.summary_cells(metrics.unionByName(metrics), tables), runs, order).collect()
+
+
+def test_summary_columns_come_from_the_data(spark):
+    """High charges, longer arrays, texts and spike-ins, unlike from run to run."""
+    fractions = spark.createDataFrame([("a", k, k / 100) for k in range(13)] + [("b", 40, 1.0)], "run_id string, charge int, fraction double")
+    spikeins = spark.createDataFrame(
+        [("a", 0, "PEP", 5.0, 120.0, 2, 60.0), ("a", 1, "PEP", 6.0, 180.0, 1, 60.0), ("b", 1, "TIDE", 7.0, -1.0, 0, 30.0)],
+        "run_id string, row_no int, sequence string, maximum_intensity double, rt_at_maximum double, nr_identifications bigint, expected_rt double")
+    tables = r.metric_table(fractions, "features_charges", reports.CHARGE_COLUMNS, row_no="charge").unionByName(
+        r.metric_table(spikeins, "spike_in_metrics", reports.SPIKEIN_COLUMNS, row_no="row_no"))
+    values = spark.createDataFrame([("a", [float(i) for i in range(11)], "left"), ("b", [1.0, 2.0], None)], "run_id string, v array<double>, t string")
+    metrics = r.metric_records(values, {"v": "RT_TIC_quantiles", "t": "side"}, {"RT_TIC_quantiles": METRICS["RT_TIC_quantiles"], "side": Metric("X:1", "side")})
+    runs = values.select("run_id")
+    got = c.summary_table(c.summary_cells(metrics, tables, "min"), runs, ["side", "RT_TIC_quantiles", "features_charges", "spike_in_metrics"])
+    pep = ["proforma peptidoform sequence", "MS1 feature maximum intensity", "retention time", "count of identified spectra",
+           "predicted retention time", "Delta_to_expected_RT"]
+    assert got.columns == (["run_id", "side"] + [f"RT_TIC_quantiles_{i}" for i in range(1, 12)] + [f"features_charges_{i}" for i in range(13)]
+                           + ["features_charges_40"] + [f"PEP_{x}" for x in pep] + [f"PEP #2_{x}" for x in pep] + [f"TIDE_{x}" for x in pep])
+    a, b = got.collect()
+    assert (a["side"], b["side"], a["RT_TIC_quantiles_11"], b["RT_TIC_quantiles_11"]) == ("left", None, 10.0, None)
+    assert (a["features_charges_12"], b["features_charges_12"], b["features_charges_40"]) == (.12, None, 1.0)
+    assert [a[f"PEP #2_{x}"] for x in pep] == ["PEP", 6.0, 3.0, 1.0, 1.0, 2.0] and a["TIDE_retention time"] is None
+    assert [b[f"TIDE_{x}"] for x in pep] == ["TIDE", 7.0, -1 / 60, 0.0, 0.5, -31 / 60]
+    names = spark.createDataFrame([(0, "first"), (1, "second")], "row_no int, name string")
+    named = c.summary_table(c.summary_cells(metrics, tables, spikein_names=names), runs, ["spike_in_metrics"])
+    assert named.columns[1:] == [f"{n}_{x}" for n in ("first", "second") for x in pep]
+    assert [x["second_retention time"] for x in named.collect()] == [180.0, -1.0]
 
 
 def test_spikeins_wide(spark, rows):
-    spikeins = spark.createDataFrame([("a", "one", 5.0, 120.0), ("a", "two", 6.0, 60.0)],
+    spikeins = spark.createDataFrame([("a", "one", 5.0, 120.0), ("a", "two", 6.0, 60.0), ("b", "two", 1.0, 0.0)],
                                      "run_id string, name string, maximum_intensity double, rt_at_maximum double")
-    got = c.spikeins_wide(spikeins, ["one", "two"], ["rt_at_maximum"], unit="min")
+    got = c.spikeins_wide(spikeins, ["rt_at_maximum"], unit="min")
     assert got.columns == ["run_id", "one_rt_at_maximum", "two_rt_at_maximum"]
-    assert rows(got) == [("a", 2.0, 1.0)]
+    assert rows(got) == [("a", 2.0, 1.0), ("b", None, 0.0)]
+    assert rows(c.spikeins_wide(spikeins, ["rt_at_maximum"], labels=["two"])) == [("a", 60.0), ("b", 0.0)]
+    with pytest.raises(Exception, match="more than one value"):
+        c.spikeins_wide(spikeins.unionByName(spikeins), ["rt_at_maximum"]).collect()
 
 
 def test_long_forms(spark, metrics, rows, join_way):
