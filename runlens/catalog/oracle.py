@@ -324,6 +324,23 @@ SELECT run_id, {_brand_columns([("maximum_intensity", r("maximum_intensity")), (
     ("nr_identifications", r("nr_identifications")), ("delta_to_expected_rt", r("delta_to_expected_rt / 60"))])}
 FROM observed GROUP BY run_id"""
 
+# ---- files: what comes back is what was written -----------------------------
+
+ORACLE["xic_queries_file"] = f"""WITH {SPIKEINS}
+SELECT run_id, comment, {r('mz')} AS mz, tolerance, tolerance_unit, {r('rt_start')} AS rt_start, {r('rt_end')} AS rt_end FROM queries"""
+ORACLE["xic_results_file"] = f"""WITH {XIC}
+SELECT m.run_id, m.comment, {r('m.mz - m.mz / 1000000::DOUBLE * m.tolerance')} AS mz_start,
+  {r('m.mz + m.mz / 1000000::DOUBLE * m.tolerance')} AS mz_end, {r('rt_start')} AS rt_start, {r('rt_end')} AS rt_end,
+  CASE WHEN x.rt IS NOT NULL THEN CAST(row_number() OVER (
+    PARTITION BY m.run_id, m.comment ORDER BY x.rt, x.scan_no, x.mz, x.intensity) - 1 AS INTEGER) END AS i,
+  {r('x.rt')} AS rt, x.intensity
+FROM moved m LEFT JOIN xic x ON x.run_id = m.run_id AND x.comment = m.comment"""
+ORACLE["xic_apex_file"] = f"""WITH {XIC}
+SELECT m.run_id, m.comment, coalesce(a.maximum_intensity, 0.0) AS maximum_intensity,
+  coalesce({r('a.rt_at_maximum')}, -1.0) AS rt_at_maximum
+FROM moved m LEFT JOIN apex a ON a.run_id = m.run_id AND a.comment = m.comment"""
+ORACLE["ident_counts_file"] = ORACLE["ident_counts"]
+
 # ---- telemetry -------------------------------------------------------------
 
 EVENTS = """
@@ -488,6 +505,62 @@ UNION ALL SELECT run_id, 'MS:4000211', 'MS1_TIC', row_no, 1, 'UO:0000010', 'seco
 ORACLE["metric_kind"] = f"""WITH {OVERVIEW}, {RUN_METRICS}
 SELECT DISTINCT accession, short_name, kind FROM metrics
 UNION ALL SELECT 'MS:4000063', 'MS2_prec_charge_fraction', 'table'"""
+# The JSON documents: texts of the header, values and table columns as they are written.
+_WHOLE = "CAST(CAST({} AS BIGINT) AS VARCHAR)"
+_VALUES = {short: _WHOLE.format(value) for short, value in METRIC_ROWS}
+_VALUES["RT_range"] = "'[' || " + _WHOLE.format("rt_first") + " || ',' || " + _WHOLE.format("rt_last") + " || ']'"
+_EXPORTED = sorted((f"{METRICS[s].accession} ! {s}", s) for s in _VALUES if METRICS[s].accession.startswith("MS:"))
+_STARTED = "strftime(make_timestamp(CAST((rt_first * 86400 + 788918400) * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S')"
+_TIC_KEY, _MAP_KEY = "MS:4000211 ! MS1_TIC", "MS:0 ! MS1_map"
+_FIRST_KEY = min([_TIC_KEY, _MAP_KEY, *[key for key, _ in _EXPORTED]])
+
+
+def _head(key: str, accession: str, name: str) -> str:
+    return f"""{"" if key == _FIRST_KEY else ","}{{"accession":"{accession}","name":"{name}","value":"""
+
+
+def _metric_line(key: str, short: str) -> str:
+    m = METRICS[short]
+    unit = f',"unit":{{"unit_accession":"{m.unit_accession}","unit_name":"{m.unit_name}"}}' if m.unit_accession else ""
+    return f"""SELECT run_id, 1, '{key}', -1, -1, '{_head(key, m.accession, m.name)}' || {_VALUES[short]} || '{unit}}}' FROM overview"""
+
+
+DOCUMENT_SERIES = """series AS (SELECT run_id, tic, rt, row_number() OVER (PARTITION BY run_id ORDER BY scan_no) - 1 AS row_no
+      FROM summary WHERE ms_level = 1)"""
+DOCUMENT_LINES = [
+    f"""SELECT run_id, 0, '', -1, -1, '{{"mzQC":{{"version":"1.0.0","creationDate":"2024-05-05T10:00:00",'
+      || '"runQualities":[{{"metadata":{{"inputFiles":[{{"name":"' || run_id || '","location":null,"fileFormat":'
+      || '{{"accession":"MS:1000563","name":"Thermo RAW format"}},"fileProperties":['
+      || CASE WHEN rt_first * 86400 + 788918400 > 0 THEN
+         '{{"accession":"MS:1002435","name":"data processing start time","value":"' || {_STARTED} || '"}}' ELSE '' END
+      || ']}}],"analysisSoftware":[{{"accession":"MS:1002251","name":"Comet","description":'
+      || '"Comet open-source sequence search engine developed at the University of Washington.",'
+      || '"version":"v2024.01.0","uri":"https://uwpr.github.io/Comet/"}}]}},"qualityMetrics":[' FROM overview""",
+    """SELECT run_id, 2, '', -1, -1, ']}],"setQualities":[],"controlledVocabularies":[{"name":'
+      || '"Proteomics Standards Initiative Mass Spectrometry Ontology",'
+      || '"uri":"https://github.com/HUPO-PSI/psi-ms-CV/blob/master/psi-ms.obo","version":"4.1.197"}]}}' FROM overview""",
+    *[_metric_line(key, short) for key, short in _EXPORTED],
+    f"SELECT run_id, 1, '{_TIC_KEY}', -1, -1, '{_head(_TIC_KEY, 'MS:4000211', METRICS['MS1_TIC'].name)}{{' FROM overview",
+    f"SELECT run_id, 1, '{_MAP_KEY}', -1, -1, '{_head(_MAP_KEY, 'MS:0', METRICS['MS1_map'].name)}null}}' FROM overview",
+    *[f"""SELECT run_id, 1, '{_TIC_KEY}', {i}, -1, '{"," if i else ""}"{accession}":[' FROM overview
+    UNION ALL SELECT run_id, 1, '{_TIC_KEY}', {i}, row_no, CASE WHEN row_no = 0 THEN '' ELSE ',' END || {_WHOLE.format(value)} FROM series
+    UNION ALL SELECT run_id, 1, '{_TIC_KEY}', {i}, 4611686018427387904, ']' FROM overview"""
+      for i, (accession, value) in enumerate((("MS:1000285", "tic"), ("UO:0000010", "rt")))],
+    f"SELECT run_id, 1, '{_TIC_KEY}', 2, -1, '}}}}' FROM overview",
+]
+ORACLE["mzqc_lines"] = f"""WITH {OVERVIEW}, {DOCUMENT_SERIES},
+lines(run_id, section, metric, column_no, row_no, line) AS ({" UNION ALL ".join(DOCUMENT_LINES)})
+SELECT run_id, section::INTEGER AS section, metric, column_no::INTEGER AS column_no, row_no::BIGINT AS row_no, line FROM lines"""
+_FOUND = [
+    "SELECT run_id, 'MS:4000211', 'MS1 total ion current', value, NULL FROM tic",
+    f"SELECT run_id, 'MS:0', '{METRICS['MS1_map'].name}', NULL, NULL FROM overview",
+    *[f"""SELECT run_id, '{METRICS[s].accession}', '{METRICS[s].name}', {_VALUES[s]}, nullif('{METRICS[s].unit_accession}', '')
+          FROM overview""" for _, s in _EXPORTED]]
+ORACLE["mzqc_file"] = f"""WITH {OVERVIEW}, {DOCUMENT_SERIES},
+tic AS (SELECT run_id, '{{"MS:1000285":[' || string_agg({_WHOLE.format('tic')}, ',' ORDER BY row_no) || '],"UO:0000010":['
+               || string_agg({_WHOLE.format('rt')}, ',' ORDER BY row_no) || ']}}' AS value FROM series GROUP BY run_id),
+found(run_id, accession, name, value, unit) AS ({" UNION ALL ".join(_FOUND)})
+SELECT run_id, {_STARTED} AS started, accession, name, sha256(value) AS value_hash, unit FROM found JOIN overview USING (run_id)"""
 SCALARS = ", ".join(f'{r(v)} AS "{s}"' for s, v in METRIC_ROWS if s != "startTime")
 ORACLE["scalars_wide"] = f"WITH {OVERVIEW} SELECT run_id, {SCALARS} FROM overview"
 ORACLE["arrays_wide"] = f"""WITH {OVERVIEW}

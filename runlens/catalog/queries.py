@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from runlens import bindings as b
 from runlens.functions.exprs import epoch_to_utc, plain_sequence
 from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
-from runlens.plans.tables import write_table
+from runlens.plans.tables import fresh_path, write_table
 from runlens.schemas import BRUKER_KEY, THERMO_KEY, Metric
+from runlens.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -348,6 +349,79 @@ def spikein_metrics(spark, d):
     return _spikein_metrics(spark, d).drop("position")
 
 
+# ---- files: written and read again ------------------------------------------
+
+def _file(spark, name, write):
+    path = fresh_path(spark, name)
+    write(path)
+    return path
+
+
+@query
+def xic_queries_file(spark, d):
+    path = _file(spark, "xic_queries", lambda path: sinks.write_xic_queries(_queries(spark, d), path))
+    return readers.read_xic_queries(spark, path)
+
+
+def _xic_file(spark, d):
+    windows = write_table(targeted.recenter_windows(_queries(spark, d), _found(spark, d)), "windows")
+    xics = targeted.xic_arrays(targeted.extract_xic(b.spectra(spark, d), b.peaks(spark, d), windows), windows)
+    path = _file(spark, "xic_results", lambda path: sinks.write_xic_results(xics, path))
+    return readers.read_xic_results(spark, path)
+
+
+@query
+def xic_results_file(spark, d):
+    columns = ["run_id", "comment", "mz_start", "mz_end", "rt_start", "rt_end"]
+    pairs = F.arrays_zip(F.col("retention_times").alias("rt"), F.col("intensities").alias("intensity"))
+    return _xic_file(spark, d).select(*columns, F.posexplode_outer(pairs).alias("i", "p")).select(*columns, "i", "p.*")
+
+
+@query
+def xic_apex_file(spark, d):
+    """The apexes of chromatograms that come from files."""
+    return targeted.xic_apex_of_arrays(_xic_file(spark, d))
+
+
+@query
+def ident_counts_file(spark, d):
+    counts = targeted.ident_counts(targeted.found_targets(_matches(spark, d)))
+    return readers.read_ident_counts(spark, _file(spark, "counts", lambda path: sinks.write_ident_counts(counts, path)))
+
+
+def _whole_metrics(spark, d):
+    """Metrics of whole numbers and a series of every run."""
+    summary = _stored_summary(spark, d)
+    series = records.metric_table(spectra.tic_series(summary, [1]), "MS1_TIC", reports.TIC_COLUMNS, order=["scan_no"])
+    unnamed = records.metric_table(
+        spectra.spectrum_counts(b.spectra(spark, d)).withColumn("row_no", F.lit(0)), "MS1_map",
+        [records.TableColumn("nr_ms1", "", "n")], row_no="row_no", registry={"MS1_map": Metric("MS:0", "map")})
+    return _metrics(spark, d, summary), write_table(series.unionByName(unnamed), "tables")
+
+
+CREATED = "2024-05-05T10:00:00"
+
+
+@query
+def mzqc_lines(spark, d):
+    return records.mzqc_lines(*_whole_metrics(spark, d), CREATED)
+
+
+@query
+def mzqc_file(spark, d):
+    """The metrics of the documents as another reader finds them; a value is known by the hash of its text."""
+    path = _file(spark, "mzqc", lambda path: sinks.write_mzqc(*_whole_metrics(spark, d), path, CREATED))
+    schema = ("mzQC struct<version: string, runQualities: array<struct<metadata: struct<inputFiles: array<struct<name: string,"
+              " fileProperties: array<struct<value: string>>>>>, qualityMetrics: array<struct<accession: string, name: string,"
+              " value: string, unit: struct<unit_accession: string>>>>>>")
+    run = F.col("mzQC.runQualities")[0]
+    found = spark.read.json(path, schema=schema, multiLine=True).select(
+        run["metadata"]["inputFiles"][0].alias("input"), F.explode(run["qualityMetrics"]).alias("m"))
+    return found.select(
+        F.col("input.name").alias("run_id"), F.get(F.col("input.fileProperties"), F.lit(0))["value"].alias("started"),
+        "m.accession", "m.name", F.sha2(F.translate("m.value", "\n", ""), 256).alias("value_hash"), F.col("m.unit.unit_accession").alias("unit"))
+
+
 # ---- telemetry -------------------------------------------------------------
 
 def _header_table(spark, d):

@@ -191,7 +191,7 @@ def mzqc_lines(
     """The JSON document of each run as ordered lines of text.
 
     A series of a run can be long, so a document is never built as one value:
-    every table cell is a line of its own, and lines are put in order on
+    every table cell is a line of its own, and lines are joined to parts on
     writing (``sources.sinks.write_mzqc``).  A table is written only if all its
     columns carry an accession, else its value is null.  Output: run_id,
     section, metric, column_no, row_no, line.

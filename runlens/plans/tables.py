@@ -41,9 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder of the shared one that is not there yet."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and return a reader of it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

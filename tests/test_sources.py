@@ -1,6 +1,8 @@
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from runlens.operators import identifications, records, targeted
 from runlens.sources import readers, sinks
@@ -88,6 +90,34 @@ def test_spikeins_and_counts(spark, tmp_path, rows):
         assert rows(readers.read_ident_counts(spark, path), "run_id", "sequence", "count") == [("r1", "AAK", 2), ("r1", "CCK", 5)]
 
 
+def documents(folder):
+    """The one file of every run as another program reads it."""
+    found = {}
+    for run in Path(folder).glob("run_id=*"):
+        (file,) = [p for p in run.iterdir() if not p.name.startswith((".", "_"))]
+        with open(file) as f:
+            found[run.name[7:]] = json.load(f)
+    return found
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_documents_of_many_parts(spark, tmp_path, size, monkeypatch):
+    from runlens.operators import documents as d
+    monkeypatch.setattr(d, "PART_BYTES", size)
+    rows = [("hot", i, f"q{i:05d}", None if i % 50 == 0 else [i / 7, float(i)], None if i % 50 == 0 else [1e9 * i, float("nan")]) for i in range(600)]
+    rows += [("other", 0, 'a "quoted"\nname', [], []), ("same", 1, "x", [1.0], [2.0]), ("same", 1, "x", [1.0], [2.0])]
+    xics = spark.createDataFrame(rows, "run_id string, position int, comment string, retention_times array<double>, intensities array<double>")
+    xics = xics.withColumns({c: F.lit(1.5) for c in ("mz_start", "mz_end", "rt_start", "rt_end")}).repartition(6)
+    runs = spark.createDataFrame([("hot",), ("none",)], "run_id string")
+    sinks.write_xic_results(xics, str(tmp_path / "x"), runs)
+    found = documents(tmp_path / "x")
+    assert set(found) == {"hot", "other", "same", "none"} and found["none"]["Content"] == []
+    assert [x["Meta"]["Comment"] for x in found["hot"]["Content"]] == [f"q{i:05d}" for i in range(600)]
+    assert found["hot"]["Content"][599]["RetentionTimes"] == [599 / 7, 599.0] and found["hot"]["Content"][599]["Intensities"] == [599e9, None]
+    assert found["hot"]["Content"][50]["Intensities"] is None
+    assert found["other"]["Content"][0]["Meta"]["Comment"] == 'a "quoted"\nname' and len(found["same"]["Content"]) == 2
+
+
 def test_xic_files(spark, tmp_path, rows):
     result = tmp_path / "r1.json"
     result.write_text(json.dumps({"OutputMeta": {"base64": False, "timeunit": "minutes"}, "Content": [
@@ -100,20 +130,16 @@ def test_xic_files(spark, tmp_path, rows):
     out = str(tmp_path / "xics")
     sinks.write_xic_results(xics, out)
     columns = [c for c in xics.columns if c != "position"]
-    assert rows(readers.read_xic_results(spark, f"{out}/run_id=r1/*.json"), *columns) == rows(xics, *columns)
+    assert rows(readers.read_xic_results(spark, f"{out}/run_id=r1/*"), *columns) == rows(xics, *columns)
     assert rows(readers.read_xic_results(spark, out), *columns) == rows(xics, *columns)
-    objects = [json.loads(line) for p in (tmp_path / "xics" / "run_id=r1").glob("*.json")
-               for line in p.read_text().splitlines()]
-    assert {o["OutputMeta"]["timeunit"] for o in objects} == {"minutes"}
-    assert sorted(o["Content"][0]["Meta"]["Comment"] for o in objects) == ["none", "one"]
+    assert documents(out) == {"r1": json.loads(result.read_text())}
     queries = tmp_path / "r1.queries.json"
     queries.write_text(json.dumps([{"comment": "one", "mz": 500.0, "tolerance": 10.0, "tolerance_unit": "ppm",
                                     "rt_start": 0.0, "rt_end": 2.0}] * 2, indent=4))
     read = readers.read_xic_queries(spark, str(queries))
     assert read.count() == 2 and read.first()["tolerance_unit"] == "ppm"
     sinks.write_xic_queries(read, str(tmp_path / "queries"))
-    lines = [l for p in (tmp_path / "queries" / "run_id=r1").glob("*.json") for l in p.read_text().splitlines()]
-    assert len(lines) == 2 and json.loads(lines[0])["mz"] == 500.0
+    assert documents(tmp_path / "queries") == {"r1": json.loads(queries.read_text())}
     assert rows(readers.read_xic_queries(spark, str(tmp_path / "queries"))) == rows(read)
 
 
