@@ -94,7 +94,7 @@ def psms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("ms_run[1]:index="), "l_orderkey").alias("spectra_ref"),
         F.col("l_discount").alias("fdr_score"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_decoy"),
-        F.col("l_suppkey").alias("position"))
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice").alias("position"))
 
 
 def peptides(spark: SparkSession, sf_dir: str) -> DataFrame:

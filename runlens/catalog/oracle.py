@@ -155,7 +155,8 @@ psms AS (
     p_size % 6 AS missed_cleavages, p_brand AS modifications,
     p_retailprice + (l_linenumber - 3) + l_tax / 100 AS exp_mz, p_retailprice AS calc_mz,
     'ms_run[1]:index=' || l_orderkey AS spectra_ref, l_discount AS fdr_score,
-    CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_decoy, l_suppkey AS position
+    CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_decoy,
+    (l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity, l_extendedprice) AS position
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey),
 targets AS (SELECT * FROM psms WHERE is_decoy = 0),
 grouped AS (
@@ -186,7 +187,13 @@ FROM (SELECT run_id, count(*) AS nr_accessions FROM w GROUP BY run_id)
 JOIN (SELECT run_id, count(*) AS nr_accessions_split FROM s GROUP BY run_id) USING (run_id)"""
 ORACLE["target_psms"] = f"WITH {PSMS} SELECT {PSM_COLUMNS} fdr_score FROM targets"
 ORACLE["group_psm_accessions"] = f"WITH {PSMS} SELECT {PSM_COLUMNS} fdr_score FROM grouped"
-ORACLE["psm_full_table"] = f"WITH {PSMS} SELECT {PSM_COLUMNS} psm_level_fdrscore FROM grouped"
+ORACLE["psm_full_table"] = f"""WITH {PSMS},
+placed AS (
+  SELECT t.* EXCLUDE (accession, position, is_decoy), a.accession, min(position) AS position
+  FROM targets t JOIN (SELECT run_id, psm_id, string_agg(accession, ',' ORDER BY position) AS accession
+                       FROM targets GROUP BY run_id, psm_id) a USING (run_id, psm_id) GROUP BY ALL)
+SELECT {PSM_COLUMNS} psm_level_fdrscore,
+  row_number() OVER (PARTITION BY run_id ORDER BY position, psm_id) - 1 AS row_no FROM placed"""
 ORACLE["count_psms"] = f"""WITH {PSMS}, {RUNS10}
 SELECT run_id, count(psm_id) AS nr_psms FROM runs10 LEFT JOIN good USING (run_id) GROUP BY run_id"""
 ORACLE["ppm_error"] = f"WITH {PSMS} SELECT run_id, psm_id, accession, {r('ppm')} AS ppm FROM good"
@@ -639,59 +646,63 @@ FROM l JOIN (SELECT variable, avg(value) AS m, stddev_pop(value) AS s FROM l GRO
 # ---- reports: the single results put together --------------------------------
 
 
-def _part(name: str, short: str, i: str, value: str, where: str = "true") -> str:
-    return (f"SELECT run_id, '{short}' AS short_name, CAST({i} AS INTEGER) AS i, CAST({value} AS DOUBLE) AS value "
-            f"FROM ({ORACLE[name]}) WHERE {where}")
+def _part(name: str, short: str, row_no: str, values: list[str], where: str = "true") -> str:
+    shown = [f"CAST({v} AS DOUBLE)" for v in values] + ["CAST(NULL AS DOUBLE)"] * (3 - len(values))
+    return (f"SELECT run_id, '{short}' AS short_name, CAST({row_no} AS BIGINT) AS row_no, "
+            + ", ".join(f"{v} AS v{i}" for i, v in enumerate(shown)) + f", CAST(NULL AS VARCHAR) AS text FROM ({ORACLE[name]}) WHERE {where}")
 
 
 def _parts(name: str, short: str, columns: list[str], where: str = "true") -> list[str]:
-    return [_part(name, short, str(i), c, where) for i, c in enumerate(columns)]
+    return [_part(name, short, str(i), [c], where) for i, c in enumerate(columns)]
 
 
-def _numbered(name: str, short: str, order: str, value: str, where: str = "true") -> str:
-    return _part(name, short, f"row_number() OVER (PARTITION BY run_id ORDER BY {order}) - 1", value, where)
+def _numbered(name: str, short: str, order: str, values: list[str], where: str = "true") -> str:
+    return _part(name, short, f"row_number() OVER (PARTITION BY run_id ORDER BY {order}) - 1", values, where)
 
 
 QUARTERS, RATIOS, DENSITY = ["q1", "q2", "q3", "q4"], ["q2", "q3", "q4"], ["q25", "q50", "q75"]
 ORACLE["spectrum_report"] = "\nUNION ALL ".join([
-    _part("run_overview", "accumulated_MS1_TIC", "0", "accumulated_ms1_tic"),
-    _part("run_overview", "accumulated_MS2_TIC", "0", "accumulated_ms2_tic"),
-    _part("run_overview", "nr_MS1", "0", "nr_ms1"), _part("run_overview", "nr_MS2", "0", "nr_ms2"),
+    _part("run_overview", "accumulated_MS1_TIC", "0", ["accumulated_ms1_tic"]),
+    _part("run_overview", "accumulated_MS2_TIC", "0", ["accumulated_ms2_tic"]),
+    _part("run_overview", "nr_MS1", "0", ["nr_ms1"]), _part("run_overview", "nr_MS2", "0", ["nr_ms2"]),
     *_parts("run_overview", "RT_range", ["rt_first", "rt_last"]),
-    _part("run_overview", "base_peak_intensity_max", "0", "base_peak_max"),
-    _part("run_overview", "total_ion_current_max", "0", "tic_max"),
+    _part("run_overview", "base_peak_intensity_max", "0", ["base_peak_max"]),
+    _part("run_overview", "total_ion_current_max", "0", ["tic_max"]),
     *_parts("rt_quantile_fractions", "RT_MS1_quantiles", QUARTERS, "ms_level = 1"),
     *_parts("rt_quantile_fractions", "RT_MS2_quantiles", QUARTERS, "ms_level = 2"),
     *_parts("tic_quantile_fractions", "RT_TIC_quantiles", QUARTERS),
     *_parts("tic_change_ratios", "MS1_TIC_change_quantiles", RATIOS),
     *_parts("tic_quantile_ratios", "MS1_TIC_quantiles", RATIOS),
-    _part("max_frequency", "MS1_freq_max", "0", "freq_max", "ms_level = 1"),
-    _part("max_frequency", "MS2_freq_max", "0", "freq_max", "ms_level = 2"),
+    _part("max_frequency", "MS1_freq_max", "0", ["freq_max"], "ms_level = 1"),
+    _part("max_frequency", "MS2_freq_max", "0", ["freq_max"], "ms_level = 2"),
     *_parts("density_quantiles", "MS1_density_quantiles", DENSITY, "ms_level = 1"),
     *_parts("density_quantiles", "MS2_density_quantiles", DENSITY, "ms_level = 2"),
-    _part("precursor_charge_fractions", "MS2_prec_charge_fraction", "charge", "fraction"),
-    _part("run_maxima_up_to", "base_peak_intensity_maxima_per_time_range", "0", "start"),
-    _part("run_maxima_up_to", "total_ion_current_maxima_per_time_ranges", "0", "start"),
-    _numbered("tic_series", "MS1_TIC", "scan_no", "rt", "ms_level = 1"),
-    _numbered("tic_series", "MS2_TIC", "scan_no", "rt", "ms_level = 2"),
-    _numbered("ion_map", "MS1_map", "scan_no, mz, intensity", "mz"),
+    _part("precursor_charge_fractions", "MS2_prec_charge_fraction", "charge", ["charge", "fraction"]),
+    _part("run_maxima_up_to", "base_peak_intensity_maxima_per_time_range", "0", ["base_peak_max", "start", "duration"]),
+    _part("run_maxima_up_to", "total_ion_current_maxima_per_time_ranges", "0", ["tic_max", "start", "duration"]),
+    _numbered("tic_series", "MS1_TIC", "scan_no", ["tic", "rt"], "ms_level = 1"),
+    _numbered("tic_series", "MS2_TIC", "scan_no", ["tic", "rt"], "ms_level = 2"),
+    _numbered("ion_map", "MS1_map", "scan_no, mz, intensity", ["rt", "mz", "intensity"]),
+])
+_PPM = f"(SELECT * FROM runs10 LEFT JOIN ({ORACLE['ppm_summary']}) USING (run_id))"
+
+
+def _of_run(source: str, short: str, i: int, value: str) -> str:
+    return f"SELECT run_id, '{short}', CAST({i} AS BIGINT), CAST({value} AS DOUBLE), NULL, NULL, NULL FROM {source}"
+
+
+ORACLE["identification_report"] = f"WITH {RUNS10} " + "\nUNION ALL ".join([
+    _part("count_protein_groups", "nr_protein_groups", "0", ["nr_protein_groups"]),
+    _of_run(f"runs10 LEFT JOIN ({ORACLE['count_accessions']}) USING (run_id)", "nr_accessions", 0, "coalesce(nr_accessions, 0)"),
+    _part("count_peptides", "nr_peptides", "0", ["nr_peptides"]), _part("count_psms", "nr_PSMs", "0", ["nr_psms"]),
+    *[_of_run(_PPM, "filtered_psms_ppm_error_quartiles", i, f"ppm_q{i + 1}") for i in range(3)],
+    _of_run(_PPM, "filtered_psms_ppm_error_mean", 0, "ppm_mean"), _of_run(_PPM, "filtered_psms_ppm_error_sigma", 0, "ppm_sigma"),
+    _part("psm_charge_fractions", "PSM_charge_fractions", "charge - 1", ["charge", "fraction"]),
+    _part("missed_cleavage_fractions", "PSM_missed_cleavages_fractions", "missed_cleavages", ["missed_cleavages", "fraction"]),
 ])
-ORACLE["identification_report"] = f"""WITH {RUNS10}
-{_part("count_protein_groups", "nr_protein_groups", "0", "nr_protein_groups")}
-UNION ALL SELECT run_id, 'nr_accessions', 0, CAST(coalesce(nr_accessions, 0) AS DOUBLE)
-  FROM runs10 LEFT JOIN ({ORACLE["count_accessions"]}) USING (run_id)
-UNION ALL {_part("count_peptides", "nr_peptides", "0", "nr_peptides")}
-UNION ALL {_part("count_psms", "nr_PSMs", "0", "nr_psms")}
-""" + "\n".join(f"""UNION ALL SELECT run_id, '{short}', {i}, {column}
-  FROM runs10 LEFT JOIN ({ORACLE["ppm_summary"]}) USING (run_id)""" for short, i, column in (
-    ("filtered_psms_ppm_error_quartiles", 0, "ppm_q1"), ("filtered_psms_ppm_error_quartiles", 1, "ppm_q2"),
-    ("filtered_psms_ppm_error_quartiles", 2, "ppm_q3"), ("filtered_psms_ppm_error_mean", 0, "ppm_mean"),
-    ("filtered_psms_ppm_error_sigma", 0, "ppm_sigma"))) + f"""
-UNION ALL {_part("psm_charge_fractions", "PSM_charge_fractions", "charge - 1", "fraction")}
-UNION ALL {_part("missed_cleavage_fractions", "PSM_missed_cleavages_fractions", "missed_cleavages", "fraction")}"""
 ORACLE["feature_report"] = "\nUNION ALL ".join([
-    _part("feature_counts", "nr_features", "0", "nr_features"),
-    _part("feature_counts", "nr_ident_features", "0", "nr_ident_features"),
-    _part("feature_charge_fractions", "features_charges", "charge - 1", "fraction"),
-    _part("ident_feature_charge_fractions", "ident_features_charge", "charge - 1", "fraction"),
+    _part("feature_counts", "nr_features", "0", ["nr_features"]),
+    _part("feature_counts", "nr_ident_features", "0", ["nr_ident_features"]),
+    _part("feature_charge_fractions", "features_charges", "charge - 1", ["charge", "fraction"]),
+    _part("ident_feature_charge_fractions", "ident_features_charge", "charge - 1", ["charge", "fraction"]),
 ])

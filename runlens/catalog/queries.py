@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens import bindings as b
-from runlens.functions.exprs import epoch_to_utc, plain_sequence
+from runlens.functions.exprs import epoch_to_utc, only_value, plain_sequence
 from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
 from runlens.plans.tables import fresh_path, write_table
 from runlens.schemas import BRUKER_KEY, THERMO_KEY, Metric
@@ -179,10 +179,7 @@ def count_protein_groups(spark, d):
 
 @query
 def count_accessions(spark, d):
-    proteins = b.proteins(spark, d)
-    split = identifications.count_accessions(proteins, split_members=True)
-    return identifications.count_accessions(proteins).join(
-        split.withColumnRenamed("nr_accessions", "nr_accessions_split"), "run_id")
+    return identifications.accession_counts(b.proteins(spark, d))
 
 
 @query
@@ -192,7 +189,7 @@ def target_psms(spark, d):
 
 @query
 def group_psm_accessions(spark, d):
-    return _grouped_psms(spark, d)
+    return _grouped_psms(spark, d).drop("position")
 
 
 @query
@@ -554,30 +551,44 @@ def metric_table_long(spark, d):
         records.TableColumn("rt", "UO:0000010", "second")], order=["scan_no"])
 
 
-def _report_cells(report):
-    """Metric values and two leading table columns as (run, metric, row, value) rows."""
+REPORT_WIDTH = 3
+
+
+def _report_rows(report):
+    """Every value of a report: one row for each element of a metric and each row of a table, three columns at most."""
     values = F.coalesce("value_arr", F.array("value_num"))
-    cells = report.metrics.select("run_id", "short_name", F.posexplode(values).alias("i", "value"))
-    table = report.tables.where(F.col("column_no") == 1).select(
-        "run_id", "short_name", F.col("row_no").cast("int").alias("i"), F.col("value_num").alias("value"))
-    return cells.unionByName(table)
+    none = F.lit(None).cast("double")
+    empty = [none.alias(f"v{i}") for i in range(1, REPORT_WIDTH)]
+    rows = report.metrics.select("run_id", "short_name", F.posexplode(values).alias("row_no", "v0"), *empty, F.col("value_str").alias("text"))
+    rows = rows.withColumn("row_no", F.col("row_no").cast("bigint"))
+    wide = report.tables.groupBy("run_id", "short_name", "row_no").pivot("column_no", list(range(REPORT_WIDTH))).agg(only_value("value_num"))
+    text = report.tables.groupBy("run_id", "short_name", "row_no").agg(F.max("value_str").alias("text"))
+    wide = wide.join(text, ["run_id", "short_name", "row_no"]).select(
+        "run_id", "short_name", "row_no", *[F.col(str(i)).alias(f"v{i}") for i in range(REPORT_WIDTH)], "text")
+    rows = rows.unionByName(wide)
+    for name, series in report.series.items():
+        named = [F.col(c.source).cast("double") for c in series.columns] + [none] * REPORT_WIDTH
+        rows = rows.unionByName(series.table.select(
+            "run_id", F.lit(name).alias("short_name"), "row_no",
+            *[c.alias(f"v{i}") for i, c in enumerate(named[:REPORT_WIDTH])], F.lit(None).cast("string").alias("text")))
+    return rows
 
 
 @query
 def spectrum_report(spark, d):
-    return _report_cells(reports.spectrum_report(
+    return _report_rows(reports.spectrum_report(
         b.spectra(spark, d), b.peaks(spark, d), MINUTES, NOISE, MAX_CHARGE))
 
 
 @query
 def identification_report(spark, d):
-    return _report_cells(reports.identification_report(
+    return _report_rows(reports.identification_report(
         b.psms(spark, d), b.peptides(spark, d), b.proteins(spark, d), b.nation_runs(spark, d)))
 
 
 @query
 def feature_report(spark, d):
-    return _report_cells(reports.feature_report(_features(spark, d)))
+    return _report_rows(reports.feature_report(_features(spark, d)))
 
 
 @query

@@ -9,10 +9,11 @@ an empty input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.exprs import bucket_counts, bucket_rows, ratio
+from runlens.plans.ordered import with_position
 from runlens.plans.quantiles import exact_quantiles
 from runlens.plans.tables import write_table
 
@@ -49,15 +50,29 @@ def count_accessions(
 
     The member list counts as one text unless ``split_members`` is set.
     """
-    members = F.array("ambiguity_members")
-    if split_members:
-        members = F.transform(F.split("ambiguity_members", ","), lambda m: F.trim(m))
-    both = F.concat(F.array("accession"), F.coalesce(members, F.array().cast("array<string>")))
-    names = proteins.select("run_id", F.explode(both).alias("name")).where(F.col("name").isNotNull())
-    counted = names.groupBy("run_id").agg(F.count_distinct("name").alias("nr_accessions"))
+    column = "nr_accessions_split" if split_members else "nr_accessions"
+    counted = accession_counts(proteins).select("run_id", F.col(column).alias("nr_accessions"))
     return _with_runs(counted, runs, "nr_accessions")
 
 
+def accession_counts(proteins: DataFrame) -> DataFrame:
+    """Both counts, ``nr_accessions`` and ``nr_accessions_split``, in one pass.
+
+    A name is reduced to one row with the forms it was met in before names are counted.
+    """
+    none = F.array().cast("array<string>")
+    parts = F.coalesce(F.transform(F.split("ambiguity_members", ","), lambda m: F.trim(m)), none)
+
+    def named(names: Column, whole: bool, split: bool) -> Column:
+        return F.transform(names, lambda n: F.struct(n.alias("name"), F.lit(whole).alias("whole"), F.lit(split).alias("split")))
+    forms = F.concat(named(F.array("accession"), True, True), named(F.array("ambiguity_members"), True, False),
+                     named(parts, False, True))
+    names = proteins.select("run_id", F.explode(forms).alias("f")).select("run_id", "f.*").where(F.col("name").isNotNull())
+    single = names.groupBy("run_id", "name").agg(F.bool_or("whole").alias("whole"), F.bool_or("split").alias("split"))
+    return single.groupBy("run_id").agg(
+        F.count_if("whole").alias("nr_accessions"), F.count_if("split").alias("nr_accessions_split"))
+
+
 def filter_target_psms(psms: DataFrame) -> DataFrame:
     """Drop decoys and keep the reported columns (and the input position)."""
     return psms.where(F.col("is_decoy") == 0).select("run_id", *PSM_COLUMNS, "position")
@@ -65,18 +80,21 @@ def filter_target_psms(psms: DataFrame) -> DataFrame:
 
 def group_psm_accessions(psms: DataFrame) -> DataFrame:
     """Give every row all accessions of its PSM, joined in input order, and
-    drop the duplicates this leaves.
+    drop the duplicates this leaves; ``position`` is that of the first of equal rows.
 
-    Rows are reduced to distinct ones before they get the joined text, so the
-    text is stored once per distinct row.  Every row finds its PSM; as a left
-    join Spark can leave it out where the text is not used.
+    The rows of a PSM meet once, as one array; the joined text makes them one
+    value of a row anyway.
     """
     keys = ["run_id", "psm_id"]
-    listed = F.array_sort(F.collect_list(F.struct("position", "accession")))
-    joined = psms.groupBy(*keys).agg(
-        F.array_join(F.transform(listed, lambda x: x["accession"]), ",").alias("accession"))
-    rest = psms.drop("accession", "position").distinct()
-    return rest.join(joined, keys, "left").select("run_id", *PSM_COLUMNS)
+    rest = [c for c in PSM_COLUMNS if c not in ("psm_id", "accession")]
+    entry = F.struct(F.struct(*rest).alias("row"), "position", "accession")
+    grouped = psms.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("all"))
+    in_order = F.array_sort(F.transform("all", lambda x: F.struct(x["position"], x["accession"])))
+    joined = F.array_join(F.transform(in_order, lambda x: x["accession"]), ",")
+    # Equal rows stand on end, the one of smallest position first.
+    first = F.filter("all", lambda x, i: (i == 0) | ~x["row"].eqNullSafe(F.get(F.col("all"), i - 1)["row"]))
+    one = grouped.select(*keys, joined.alias("accession"), F.explode(first).alias("x"))
+    return one.select(*keys, "accession", "x.row.*", "x.position").select("run_id", *PSM_COLUMNS, "position")
 
 
 def filter_fdr(psms: DataFrame, maximum: float = 0.01) -> DataFrame:
@@ -142,6 +160,9 @@ def missed_cleavage_fractions(psms: DataFrame, runs: DataFrame | None = None) ->
 
 
 def psm_full_table(psms: DataFrame) -> DataFrame:
-    """All target PSMs before the score filter, as reported when asked for."""
-    return psms.withColumn("modifications", F.col("modifications").cast("string")).withColumnRenamed(
-        "fdr_score", "psm_level_fdrscore")
+    """All target PSMs before the score filter, numbered in input order (``row_no``), as reported when asked for."""
+    order = ["position", "psm_id", *[c for c in PSM_COLUMNS if c != "psm_id"]]
+    numbered = with_position(psms, ["run_id"], order)
+    return numbered.withColumn("modifications", F.col("modifications").cast("string")).withColumnRenamed(
+        "fdr_score", "psm_level_fdrscore").select(
+        "run_id", F.col("pos").alias("row_no"), *[c for c in PSM_COLUMNS if c != "fdr_score"], "psm_level_fdrscore")

@@ -12,6 +12,7 @@ from runlens.operators import features as fe
 from runlens.operators import identifications as ids
 from runlens.operators import spectra as sp
 from runlens.operators.records import TableColumn, metric_records, metric_table
+from runlens.plans.ordered import with_position
 from runlens.plans.tables import write_table
 from runlens.schemas import BRUKER_HEADERS, THERMO_HEADERS
 
@@ -39,9 +40,30 @@ CALIBRANT_COLUMNS = [
 ]
 
 
+class Series(NamedTuple):
+    """A long table of typed columns, one row per row: run_id, row_no and the sources of ``columns``."""
+
+    table: DataFrame
+    columns: list[TableColumn]
+
+
 class Report(NamedTuple):
+    """``metrics`` (records), ``tables`` (cells of the short tables) and ``series``
+    (the long tables by short name, which are not cut into cells)."""
+
     metrics: DataFrame
     tables: DataFrame
+    series: dict[str, Series]
+
+
+def series_cells(report: Report) -> DataFrame:
+    """All tables of a report in cell form, for the documents; one row per cell."""
+    return _union([report.tables, *[metric_table(s.table, name, s.columns, row_no="row_no") for name, s in report.series.items()]])
+
+
+def _numbered(df: DataFrame, order: list[str], columns: list[TableColumn]) -> Series:
+    rows = with_position(df, ["run_id"], order).withColumnRenamed("pos", "row_no")
+    return Series(rows.select("run_id", "row_no", *[c.source for c in columns]), columns)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -91,12 +113,14 @@ def spectrum_report(
         metric_table(maxima, "total_ion_current_maxima_per_time_ranges",
                      [TableColumn("tic_max", "MS:1000285", "total ion current"), *RANGE_COLUMNS],
                      row_no="row_no"),
-        metric_table(sp.tic_series(summary, [1]), "MS1_TIC", TIC_COLUMNS, order=["scan_no"]),
-        metric_table(sp.tic_series(summary, [2]), "MS2_TIC", TIC_COLUMNS, order=["scan_no"]),
-        metric_table(sp.ion_map(spectra, peaks, threshold, summary), "MS1_map", MAP_COLUMNS,
-                     order=["scan_no", "mz", "intensity"]),
     ]
-    return Report(_union(records), _union(tables))
+    ion_map = sp.numbered_ion_map(spectra, peaks, threshold, summary)
+    series = {
+        "MS1_TIC": _numbered(sp.tic_series(summary, [1]), ["scan_no"], TIC_COLUMNS),
+        "MS2_TIC": _numbered(sp.tic_series(summary, [2]), ["scan_no"], TIC_COLUMNS),
+        "MS1_map": Series(ion_map.select("run_id", "row_no", *[c.source for c in MAP_COLUMNS]), MAP_COLUMNS),
+    }
+    return Report(_union(records), _union(tables), series)
 
 
 def identification_report(
@@ -125,9 +149,8 @@ def identification_report(
         metric_table(ids.missed_cleavage_fractions(good, runs), "PSM_missed_cleavages_fractions",
                      CLEAVAGE_COLUMNS, row_no="missed_cleavages"),
     ]
-    if store_psms:
-        tables.append(psm_table(ids.psm_full_table(grouped)))
-    return Report(_union(records), _union(tables))
+    series = {"identified_psms_table": psm_series(ids.psm_full_table(grouped))} if store_psms else {}
+    return Report(_union(records), _union(tables), series)
 
 
 def feature_report(features: DataFrame, max_charge: int = 5) -> Report:
@@ -139,13 +162,11 @@ def feature_report(features: DataFrame, max_charge: int = 5) -> Report:
             fe.feature_charge_fractions(features, max_charge, identified).withColumn("row_no", F.col("charge") - 1),
             name, CHARGE_COLUMNS, row_no="row_no")
         for identified, name in ((False, "features_charges"), (True, "ident_features_charge"))]
-    return Report(counts, _union(tables))
+    return Report(counts, _union(tables), {})
 
 
-def psm_table(psms: DataFrame) -> DataFrame:
-    columns = [TableColumn(c, "", c) for c in psms.columns if c != "run_id"]
-    order = [c.source for c in columns]
-    return metric_table(psms, "identified_psms_table", columns, order=order)
+def psm_series(psms: DataFrame) -> Series:
+    return Series(psms, [TableColumn(c, "", c) for c in psms.columns if c not in ("run_id", "row_no")])
 
 
 def spikein_table(spikeins: DataFrame) -> DataFrame:

@@ -120,6 +120,16 @@ def tic_series(summary: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
         "run_id", "ms_level", "scan_no", "rt", "tic")
 
 
+def _map_peaks(spectra: DataFrame, peaks: DataFrame, threshold: float, summary: DataFrame | None) -> DataFrame:
+    if summary is None:
+        summary = spectrum_summary(spectra, peaks)
+    highest = summary.groupBy("run_id").agg((F.max("base_peak") * threshold).alias("noise"))
+    ms1 = attach(spectra.where(F.col("ms_level") == 1)
+                 .select("run_id", "spectrum_id", "scan_no", "rt"), highest, ["run_id"])
+    # The big table is shuffled once, on the spectrum.
+    return ms1.join(peaks, "spectrum_id").where(F.col("intensity") >= F.col("noise"))
+
+
 def ion_map(
     spectra: DataFrame, peaks: DataFrame, threshold: float = 0.0, summary: DataFrame | None = None
 ) -> DataFrame:
@@ -128,16 +138,31 @@ def ion_map(
     The highest intensity is that of the whole run, all MS levels; a stored
     ``summary`` saves the pass over the peaks that finds it.
     """
-    if summary is None:
-        summary = spectrum_summary(spectra, peaks)
-    highest = summary.groupBy("run_id").agg((F.max("base_peak") * threshold).alias("noise"))
-    ms1 = attach(spectra.where(F.col("ms_level") == 1)
-                 .select("run_id", "spectrum_id", "scan_no", "rt"), highest, ["run_id"])
-    # The big table is shuffled once, on the spectrum.
-    kept = ms1.join(peaks, "spectrum_id").where(F.col("intensity") >= F.col("noise"))
+    kept = _map_peaks(spectra, peaks, threshold, summary)
     return kept.select("run_id", "scan_no", "rt", "mz", "intensity")
 
 
+def numbered_ion_map(
+    spectra: DataFrame, peaks: DataFrame, threshold: float = 0.0, summary: DataFrame | None = None
+) -> DataFrame:
+    """:func:`ion_map` with ``row_no`` (from 0) in order of scan, m/z and intensity.
+
+    The peaks of a spectrum stay together, so numbers come from a running sum
+    over their counts; no peak is sorted among those of other spectra.
+    """
+    kept = _map_peaks(spectra, peaks, threshold, summary)
+    nested = write_table(kept.groupBy("spectrum_id", "run_id", "scan_no", "rt").agg(
+        F.array_sort(F.collect_list(F.struct("mz", "intensity"))).alias("p")), "map")
+    keys, order = ["run_id"], ["scan_no", "spectrum_id"]
+    counts = nested.select(*keys, *order, F.size("p").alias("size"))
+    rows = with_carry(slice_by_order(counts, keys, order), keys, sums={"n": F.sum("size")})
+    earlier = in_slice(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("n_before") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    numbered = nested.join(rows.select("run_id", "spectrum_id", first.alias("first")), ["run_id", "spectrum_id"])
+    return numbered.select("run_id", "scan_no", "rt", "first", F.posexplode("p").alias("i", "peak")).select(
+        "run_id", (F.col("first") + F.col("i")).cast("bigint").alias("row_no"), "scan_no", "rt", "peak.*")
+
+
 def precursor_mz(spectra: DataFrame) -> DataFrame:
     """Precursor of every MS2 spectrum; ``valid`` only if there is exactly one."""
     n = F.coalesce(F.array_size("precursors"), F.lit(0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runlens.operators.documents import document_parts, finite, write_documents
 from runlens.operators.records import mzqc_lines
+from runlens.operators.reports import Report
 from runlens.sources.readers import QUERY_COLUMNS
 
 
@@ -59,6 +60,14 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.partitionBy("run_id").parquet(path)
 
 
+def write_report(report: Report, path: str) -> None:
+    """Folders ``metrics``, ``tables`` and one for each long table, as Parquet by run."""
+    write_metrics(report.metrics, f"{path}/metrics")
+    write_metrics(report.tables, f"{path}/tables")
+    for name, series in report.series.items():
+        write_metrics(series.table, f"{path}/{name}")
+
+
 def write_mzqc(metrics: DataFrame, metric_tables: DataFrame, path: str, created: str) -> None:
     """One JSON document for each run."""
     order = ["section", "metric", "column_no", "row_no"]

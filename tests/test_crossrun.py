@@ -269,14 +269,17 @@ def test_reports_of_tables(spark, rows):
         c.require_metrics(wide, wide.where("false"))
 
 
-def test_identification_report_with_psms(spark):
+def test_identification_report_with_psms(spark, tmp_path):
     from runlens.operators import reports
     from test_identifications import PSM, psm
     psms = spark.createDataFrame([psm("a", "1", "P1"), psm("a", "2", "P2", decoy=1)], PSM)
     peptides = spark.createDataFrame([("a",)], "run_id string")
     proteins = spark.createDataFrame([("a", "P1", None)], "run_id string, accession string, ambiguity_members string")
     report = reports.identification_report(psms, peptides, proteins, peptides, store_psms=True)
-    stored = report.tables.where("short_name = 'identified_psms_table'")
-    assert stored.select("row_no").distinct().count() == 1
-    assert stored.where("column_name = 'psm_level_fdrscore'").first()["value_num"] == 0.001
+    (stored,) = report.series["identified_psms_table"].table.collect()
+    assert (stored["row_no"], stored["psm_id"], stored["psm_level_fdrscore"]) == (0, "1", 0.001)
+    cells = reports.series_cells(report).where("short_name = 'identified_psms_table'")
+    assert cells.where("column_name = 'psm_level_fdrscore'").first()["value_num"] == 0.001 and cells.count() == 12
+    sinks.write_report(report, str(tmp_path / "report"))
+    assert spark.read.parquet(str(tmp_path / "report" / "identified_psms_table")).count() == 1
     assert report.metrics.where("short_name = 'nr_PSMs'").first()["value_num"] == 1

@@ -42,7 +42,7 @@ def test_grouping_and_filter(psms, runs, rows):
     assert rows(i.count_psms(good, runs)) == [("a", 4), ("b", 0)]
     assert rows(i.count_psms(i.filter_fdr(grouped, 0.05))) == [("a", 5)]
     full = i.psm_full_table(grouped)
-    assert full.count() == 5 and "psm_level_fdrscore" in full.columns
+    assert rows(full, "row_no", "psm_id") == [(k, p) for k, p in enumerate("12346")] and "psm_level_fdrscore" in full.columns
 
 
 def test_mass_error(psms, runs, rows):

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from runlens.operators import spectra as s
+from runlens.plans.tables import write_table
 
 SPECTRA = ("run_id string, spectrum_id bigint, scan_no bigint, ms_level int, rt double,"
            " precursors array<struct<charge:int,mz:double>>")
@@ -161,3 +162,18 @@ def test_start_time(spark, rows):
         [("a", "2024-02-29", "12:00:01"), ("b", None, "12:00:00"), ("c", "2024-13-01", "12:00:00"),
          ("d", "2024-01-01", None), ("e", "1970-01-01", "00:00:00")], "run_id string, date string, time string")
     assert rows(s.run_start_time(runs)) == [("a", 1709208001), ("b", -1), ("c", -1), ("d", -1), ("e", 0)]
+
+
+def test_numbered_ion_map(spark, rows):
+    random.seed(4)
+    spectra = [(i, "hot" if i % 5 else "b", 1000 - i // 2, 1 if i % 3 else 2, float(i)) for i in range(200)]
+    peaks = [(random.randrange(200), random.choice([1.0, 2.0, 3.5]), float(random.randrange(1, 9))) for _ in range(3000)]
+    table = write_table(spark.createDataFrame(spectra, "spectrum_id bigint, run_id string, scan_no bigint, ms_level int, rt double"))
+    p = write_table(spark.createDataFrame(peaks, "spectrum_id bigint, mz double, intensity double").repartition(7))
+    at, want = {x[0]: x for x in spectra}, []
+    for run in ("hot", "b"):
+        top = max(i for k, _, i in peaks if at[k][1] == run)
+        kept = sorted((at[k][2], k, m, i, at[k][4]) for k, m, i in peaks if at[k][1] == run and at[k][3] == 1 and i >= top * 0.6)
+        want += [(run, n, scan, rt, m, i) for n, (scan, _, m, i, rt) in enumerate(kept)]
+    assert rows(s.numbered_ion_map(table, p, 0.6)) == sorted(want)
+    assert rows(s.ion_map(table, p, 0.6)) == sorted((r, scan, rt, m, i) for r, _, scan, rt, m, i in want)
