@@ -643,6 +643,58 @@ ORACLE["standardise_features"] = f"""WITH l AS (
 SELECT run_id, variable, CASE WHEN s = 0 THEN 0.0::DOUBLE ELSE {r('(value - m) / s')} END AS value
 FROM l JOIN (SELECT variable, avg(value) AS m, stddev_pop(value) AS s FROM l GROUP BY variable) USING (variable)"""
 
+
+# Principal components by squaring: the powers of the Gram matrix tend to the
+# projection on its longest axis; that axis is taken out and it is done again.
+_N, _SQUARINGS = 64, 40
+
+
+def _squared(source: str, name: str) -> str:
+    trace = f"list_sum(list_transform(range(1, {_N + 1}), lambda i: {{0}}[i][i]))"
+    scaled = "list_transform({0}, lambda r: list_transform(r, lambda x: x / t))"
+    return f"""
+{name}(k, m) AS (
+  SELECT 0, {scaled.format('m')} FROM (SELECT m, {trace.format('m')} AS t FROM {source})
+  UNION ALL
+  SELECT k + 1, {scaled.format('q')} FROM (
+    SELECT k, q, {trace.format('q')} AS t FROM (
+      SELECT k, list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b))) AS q FROM {name} WHERE k < {_SQUARINGS}))),
+{name}_row AS (
+  SELECT m[list_position(diagonal, list_max(diagonal))] AS r FROM (
+    SELECT m, list_transform(range(1, {_N + 1}), lambda i: m[i][i]) AS diagonal FROM {name} WHERE k = {_SQUARINGS})),
+{name}_axis AS (
+  SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))
+    * CASE WHEN r[list_position(list_transform(r, lambda y: abs(y)), list_max(list_transform(r, lambda y: abs(y))))] < 0 THEN -1 ELSE 1 END) AS v
+  FROM {name}_row),
+{name}_found AS (
+  SELECT v, list_dot_product(v, list_transform(g.m, lambda a: list_dot_product(a, v))) AS size FROM {name}_axis, {source} g)"""
+
+
+PRINCIPAL = f"""RECURSIVE l AS (
+  SELECT CAST(vec_id AS VARCHAR) AS run_id, i, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, range(1, {_N + 1}) AS t(i)),
+z AS (
+  SELECT run_id, i, CASE WHEN s = 0 THEN 0.0::DOUBLE ELSE (value - m) / s END AS z
+  FROM l JOIN (SELECT i, avg(value) AS m, stddev_pop(value) AS s FROM l GROUP BY i) USING (i)),
+columns AS (SELECT i, list(z ORDER BY run_id) AS c FROM z GROUP BY i),
+gram AS (SELECT list(r ORDER BY i) AS m FROM (
+  SELECT a.i, list(list_dot_product(a.c, b.c) ORDER BY b.i) AS r FROM columns a, columns b GROUP BY a.i)),
+{_squared("gram", "first")},
+rest AS (
+  SELECT list_transform(range(1, {_N + 1}), lambda i: list_transform(range(1, {_N + 1}), lambda j: m[i][j] - size * v[i] * v[j])) AS m
+  FROM gram, first_found),
+{_squared("rest", "second")}"""
+ORACLE["pca_scores"] = f"""WITH {PRINCIPAL},
+x AS (SELECT run_id, list(z ORDER BY i) AS x FROM z GROUP BY run_id)
+SELECT run_id, {r('list_dot_product(x, a.v)')} AS pca1, {r('list_dot_product(x, b.v)')} AS pca2
+FROM x, first_found a, second_found b"""
+ORACLE["pca_variance"] = f"""WITH {PRINCIPAL},
+total AS (SELECT list_sum(list_transform(range(1, {_N + 1}), lambda i: m[i][i])) AS t FROM gram),
+found AS (SELECT 1 AS component, size FROM first_found UNION ALL SELECT 2, size FROM second_found)
+SELECT component, {r('size / t')} AS ratio, round(size / t * 100, 1) AS percent FROM found, total"""
+ORACLE["pca_loadings"] = f"""WITH {PRINCIPAL}
+SELECT 'f' || i AS variable, {r('sqrt(a.v[i] * a.v[i] + b.v[i] * b.v[i])')} AS length, {r('a.v[i]')} AS "PC1", {r('b.v[i]')} AS "PC2"
+FROM first_found a, second_found b, range(1, {_N + 1}) AS t(i)"""
+
 # ---- reports: the single results put together --------------------------------
 
 
