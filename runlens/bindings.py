@@ -250,8 +250,10 @@ def tims_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_features(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
-    """Embeddings as one run per vector with a column per dimension."""
-    return table(spark, sf_dir, "embeddings").selectExpr(
+    """Embeddings as one run per vector with a column per dimension; a longer vector is an error."""
+    whole = F.when(F.size("embedding") <= width, F.col("embedding")).otherwise(
+        F.raise_error(F.lit(f"a vector has more than {width} components")))
+    return table(spark, sf_dir, "embeddings").select("vec_id", whole.alias("embedding")).selectExpr(
         "CAST(vec_id AS STRING) AS run_id",
         *[f"CAST(get(embedding, {i}) AS DOUBLE) AS f{i + 1}" for i in range(width)])
 

@@ -348,6 +348,20 @@ SELECT m.run_id, m.comment, coalesce(a.maximum_intensity, 0.0) AS maximum_intens
 FROM moved m LEFT JOIN apex a ON a.run_id = m.run_id AND a.comment = m.comment"""
 ORACLE["ident_counts_file"] = ORACLE["ident_counts"]
 
+ORACLE["peptide_export_file"] = """
+SELECT CAST(p_size % 8 AS VARCHAR) AS run_id, 5 AS n_cells, 'PEPTIDE' AS c0, CAST(p_partkey AS VARCHAR) AS c1,
+  p_name || ', "' || p_brand || '"' AS c2, '' AS c3, p_type AS c4 FROM part"""
+ORACLE["spikeins_file"] = f"""WITH {SPIKEINS}
+SELECT run_id, name, sequence, {r('mz')} AS mz, rt, '200 ppm' AS mz_tol, 600.0::DOUBLE AS rt_tol FROM spikeins"""
+ORACLE["mztab_psms_file"] = f"""WITH {PSMS}
+SELECT {PSM_COLUMNS} fdr_score, is_decoy FROM psms"""
+ORACLE["mztab_proteins_file"] = """
+SELECT CAST(s_nationkey % 8 AS VARCHAR) AS run_id, s_name AS accession,
+  CASE WHEN s_suppkey % 3 <> 0 THEN 'Supplier#' || lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0')
+    || ',' || 'Supplier#' || lpad(CAST(s_suppkey + 2 AS VARCHAR), 9, '0') END AS ambiguity_members,
+  'file:///' || CAST(s_nationkey % 8 AS VARCHAR) AS run_name
+FROM supplier"""
+
 # ---- telemetry -------------------------------------------------------------
 
 EVENTS = """
@@ -509,6 +523,24 @@ SELECT run_id, 'MS:4000211' AS accession, 'MS1_TIC' AS short_name, row_no, 0 AS
   'MS:1000285' AS column_accession, 'total ion current' AS column_name, tic AS value_num,
   CAST(NULL AS VARCHAR) AS value_str FROM t
 UNION ALL SELECT run_id, 'MS:4000211', 'MS1_TIC', row_no, 1, 'UO:0000010', 'second', rt, NULL FROM t"""
+
+
+def _table(source: str, short: str, accession: str, row_no: str, columns: list[tuple[str, str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT run_id, '{accession}' AS accession, '{short}' AS short_name, CAST({row_no} AS BIGINT) AS row_no, {i} AS column_no,
+        '{column}' AS column_accession, '{name}' AS column_name, {r(value)} AS value_num, CAST(NULL AS VARCHAR) AS value_str FROM {source}"""
+        for i, (value, column, name) in enumerate(columns))
+
+
+_CHARGE = [("charge", "MS:1000041", "charge state"), ("fraction", "UO:0000191", "fraction")]
+ORACLE["combine_tables"] = f"""WITH {CHARGE_FRACTIONS}, {SUMMARY.replace(SPECTRA + ",", "").lstrip()}, {FEATURES},
+maxima AS (SELECT run_id, max(base_peak) FILTER (rt <= 1200) AS base_peak_max FROM summary GROUP BY run_id),
+fc AS (SELECT run_id, b AS charge, count(*) FILTER (least(charge, 8) = b)::DOUBLE / count(*) AS fraction
+       FROM features, range(1, 9) AS t(b) GROUP BY run_id, b)
+{_table("charges", "MS2_prec_charge_fraction", "MS:4000063", "charge", _CHARGE)} UNION ALL
+{_table("maxima", "base_peak_intensity_maxima_per_time_range", "MS:4000203", "0", [
+    ("base_peak_max", "MS:1000505", "base peak intensity"), ("0.0", "UO:0000010", "second"), ("1200.0", "NCIT:C25330", "Duration")])}
+UNION ALL {_table("fc", "features_charges", "MS:4000207", "charge - 1", _CHARGE)}"""
 ORACLE["metric_kind"] = f"""WITH {OVERVIEW}, {RUN_METRICS}
 SELECT DISTINCT accession, short_name, kind FROM metrics
 UNION ALL SELECT 'MS:4000063', 'MS2_prec_charge_fraction', 'table'"""

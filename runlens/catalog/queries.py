@@ -6,6 +6,7 @@ Each reads whole tables.  Doubles are rounded to six places for comparison.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from runlens import bindings as b
 from runlens.functions.exprs import epoch_to_utc, only_value, plain_sequence
 from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
+from runlens.operators.documents import document_parts, write_documents
 from runlens.plans.tables import fresh_path, write_table
 from runlens.schemas import BRUKER_KEY, THERMO_KEY, Metric
 from runlens.sources import readers, sinks
@@ -419,6 +421,65 @@ def mzqc_file(spark, d):
         "m.accession", "m.name", F.sha2(F.translate("m.value", "\n", ""), 256).alias("value_hash"), F.col("m.unit.unit_accession").alias("unit"))
 
 
+@query
+def peptide_export_file(spark, d):
+    """Parts as peptide lines with commas and quotes in their cells, among lines of other kinds."""
+    part = b.table(spark, d, "part")
+    cell = F.concat(F.lit('"'), F.replace(F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"')), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.lit("PEPTIDE"), F.col("p_partkey").cast("string"), cell, F.lit(""), "p_type")
+    lines = F.explode(F.array(F.lit("COLS_PEPTIDE,key,name,none,type"), line, F.lit("INFO,x")))
+    text = part.select((F.col("p_size") % b.RUNS).cast("string").alias("run_id"), lines.alias("value"))
+    path = _file(spark, "peptides", lambda path: text.write.partitionBy("run_id").text(path))
+    cells = F.col("cells")
+    return readers.read_peptide_export(spark, path).select(
+        "run_id", F.size(cells).alias("n_cells"), *[F.get(cells, F.lit(i)).alias(f"c{i}") for i in range(5)])
+
+
+@query
+def spikeins_file(spark, d):
+    """The list of targets as CSV files with the columns in another order."""
+    table = b.spikeins(spark, d).select(
+        "run_id", F.col("rt").alias("RT"), "name", F.col("mz_tol").alias("mz-tol"), "sequence", F.col("rt_tol").alias("rt-tol"), "mz")
+    path = _file(spark, "spikeins", lambda path: table.write.partitionBy("run_id").option("header", True).csv(path))
+    return readers.read_spikeins(spark, path).drop("position")
+
+
+def _mztab(spark, d):
+    """The matches and proteins of every run as an mzTab file; two runs name another score column."""
+    score = F.when(F.col("run_id").isin("1", "2"), "psm_search_engine_score[2]").otherwise("psm_search_engine_score[1]")
+    runs = b.spectra(spark, d).select("run_id").distinct()
+    head = runs.select("run_id", F.posexplode(F.array(
+        F.concat_ws("\t", F.lit("MTD"), F.lit("ms_run[1]-location"), F.concat(F.lit("file:///"), "run_id")),
+        F.concat_ws("\t", F.lit("MTD"), score, F.lit("[MS, MS:1002355, PSM-level FDRScore, ]")),
+        F.concat_ws("\t", F.lit("PRH"), F.lit("accession"), F.lit("ambiguity_members")))).alias("i", "line"))
+    proteins = b.proteins(spark, d).select(
+        "run_id", F.concat_ws("\t", F.lit("PRT"), "accession", F.coalesce("ambiguity_members", F.lit("null"))).alias("line"))
+    one, two = readers.FDR_COLUMN.format(1), readers.FDR_COLUMN.format(2)
+    names = [*readers.PSM_CELLS, one, two]
+    second = runs.select("run_id", F.concat_ws("\t", F.lit("PSH"), *map(F.lit, names)).alias("line"))
+    psms = b.psms(spark, d)
+    other = F.col("run_id").isin("1", "2")
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in readers.PSM_CELLS.values()] + [
+        F.when(other, "null").otherwise(F.col("fdr_score").cast("string")), F.when(other, F.col("fdr_score").cast("string")).otherwise("null")]
+    rows = psms.select("run_id", F.concat_ws("\t", F.lit("PSM"), *cells).alias("line"))
+    parts = [head.select("run_id", F.col("i").alias("section"), "line"), proteins.select("run_id", F.lit(3).alias("section"), "line"),
+             second.select("run_id", F.lit(4).alias("section"), "line"), rows.select("run_id", F.lit(5).alias("section"), "line")]
+    lines = reduce(DataFrame.unionByName, parts)
+    path = _file(spark, "mztab", lambda path: write_documents(document_parts(lines, ["section", "line"], "COM\tfirst\n"), path))
+    return readers.scan_mztab(spark, path)
+
+
+@query
+def mztab_psms_file(spark, d):
+    return readers.read_psms(spark, _mztab(spark, d)).drop("position")
+
+
+@query
+def mztab_proteins_file(spark, d):
+    lines = _mztab(spark, d)
+    return readers.read_proteins(spark, lines).join(readers.read_run_names(spark, lines), "run_id", "left")
+
+
 # ---- telemetry -------------------------------------------------------------
 
 def _header_table(spark, d):
@@ -601,6 +662,14 @@ def combine_runs(spark, d):
     return _flat(crossrun.combine_runs([_metrics(spark, d), _feature_metrics(spark, d)]))
 
 
+@query
+def combine_tables(spark, d):
+    maxima = write_table(_maxima_table(_summary(spark, d)), "maxima")
+    charges = features.feature_charge_fractions(_features(spark, d), 7).withColumn("row_no", F.col("charge") - 1)
+    return crossrun.combine_runs([
+        _charge_table(spark, d), maxima, records.metric_table(charges, "features_charges", reports.CHARGE_COLUMNS, row_no="row_no")])
+
+
 @query
 def combine_runs_namespaced(spark, d):
     path = F.concat(F.lit("/results/run_"), F.col("run_id"), F.lit(".features.out"))

@@ -53,14 +53,27 @@ def duplicate_keys(metrics: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
+def _unique(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
+    """``df``, whose rows each have a key of their own; reading a repeated key is an error."""
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    checked = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(F.lit(message)))
+    return one.select(*keys, checked.alias("_row")).select(*keys, "_row.*").select(*df.columns)
+
+
 def combine_runs(parts: Sequence[DataFrame], check: bool = True) -> DataFrame:
-    """All metrics of several outputs; a key repeated within a run is an error."""
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part, allowMissingColumns=True)
-    if check and not duplicate_keys(combined).isEmpty():
-        raise ValueError("a metric key occurs more than once in a run")
-    return combined
+    """All metrics, or all cells of metric tables, of several outputs.
+
+    With ``check`` a key repeated within a run (of a table: a cell) is an error
+    when the result is read; the check is part of the plan.
+    """
+    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if not check:
+        return combined
+    keys = ["run_id", "accession", "short_name"]
+    if "column_no" in combined.columns:
+        return _unique(combined, [*keys, "row_no", "column_no"], "a table cell occurs more than once in a run")
+    return _unique(combined, keys, "a metric key occurs more than once in a run")
 
 
 def namespaced(metrics: DataFrame, path: Column) -> DataFrame:

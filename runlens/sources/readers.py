@@ -1,7 +1,8 @@
 """Text inputs as DataFrames.
 
 Every reader takes one path, a list or a glob and keys its rows by ``run_id``,
-the file name up to the first dot.
+the file name up to the first dot.  Those of mzTab files also take the lines
+that :func:`scan_mztab` has read once for all.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.plans.tables import attach
+from runlens.plans.tables import attach, write_table
 
 Paths = str | Sequence[str]
 
@@ -20,6 +21,7 @@ Paths = str | Sequence[str]
 # accessions of the PSM scores.
 SECTIONS = {"proteins": ("PRH", "PRT"), "psms": ("PSH", "PSM")}
 FDR_SCORE = "MS:1002355"
+FDR_COLUMN = "search_engine_score[{}]"
 EXPECT_SCORE = "MS:1002257"
 
 # Columns read of the PSM and protein sections, and their names here.
@@ -78,27 +80,43 @@ def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
     return spark.read.text(paths).select(_run_id().alias("run_id"), _position(), "value")
 
 
-def read_mztab_cells(spark: SparkSession, paths: Paths, section: str) -> DataFrame:
+def scan_mztab(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The lines of all sections (run_id, tag, position, value), stored.
+
+    The texts are read once; the readers below take the result in place of
+    paths and read the sections they need.
+    """
+    tags = ["MTD", *[tag for pair in SECTIONS.values() for tag in pair]]
+    tag = F.substring_index("value", "\t", 1)
+    lines = _lines(spark, paths).withColumn("tag", tag).where(F.col("tag").isin(*tags) & F.contains("value", F.lit("\t")))
+    return write_table(lines, "mztab")
+
+
+def _mztab(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:
+    return source if isinstance(source, DataFrame) else scan_mztab(spark, source)
+
+
+def read_mztab_cells(spark: SparkSession, source: Paths | DataFrame, section: str) -> DataFrame:
     """Rows of a section as a map from column name to cell; ``null`` is NULL.
 
     The header line of each file names the columns; it is matched by its tag
     wherever it stands.
     """
     head_tag, row_tag = SECTIONS[section]
-    lines = _lines(spark, paths)
-    heads = lines.where(F.startswith("value", F.lit(head_tag + "\t"))).groupBy("run_id").agg(
+    lines = _mztab(spark, source)
+    heads = lines.where(F.col("tag") == head_tag).groupBy("run_id").agg(
         F.min_by(F.split("value", "\t"), "position").alias("head"))
-    rows = lines.where(F.startswith("value", F.lit(row_tag + "\t")))
+    rows = lines.where(F.col("tag") == row_tag)
     cells = F.transform(F.split("value", "\t"), lambda c: F.nullif(c, F.lit("null")))
     joined = attach(rows, heads, ["run_id"])
     return joined.select("run_id", "position", F.map_from_entries(
         F.slice(F.arrays_zip(F.col("head").alias("k"), cells.alias("v")), 2, F.size("head") - 1)).alias("cells"))
 
 
-def read_mztab_metadata(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_mztab_metadata(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:
     """Metadata lines as run_id, position, key, value."""
     parts = F.split("value", "\t")
-    return _lines(spark, paths).where(F.startswith("value", F.lit("MTD\t"))).select(
+    return _mztab(spark, source).where(F.col("tag") == "MTD").select(
         "run_id", "position", F.get(parts, F.lit(1)).alias("key"), F.get(parts, F.lit(2)).alias("value"))
 
 
@@ -117,10 +135,11 @@ def mztab_score_column(
     return last.select("run_id", F.substring("key", 5, 1 << 30).alias("score_column"))
 
 
-def read_psms(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_psms(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:
     """PSMs with their FDR score, in the layout of ``operators.identifications``."""
-    cells = read_mztab_cells(spark, paths, "psms")
-    scores = mztab_score_column(read_mztab_metadata(spark, paths))
+    lines = _mztab(spark, source)
+    cells = read_mztab_cells(spark, lines, "psms")
+    scores = mztab_score_column(read_mztab_metadata(spark, lines))
     scored = attach(cells, scores, ["run_id"])
     columns = [F.try_element_at("cells", F.lit(c)).cast(PSM_TYPES.get(n, "string")).alias(n)
                for c, n in PSM_CELLS.items()]
@@ -128,13 +147,14 @@ def read_psms(spark: SparkSession, paths: Paths) -> DataFrame:
     return scored.select("run_id", *columns, fdr, "position")
 
 
-def read_target_psms(spark: SparkSession, paths: Paths, accession: str = EXPECT_SCORE) -> DataFrame:
+def read_target_psms(spark: SparkSession, source: Paths | DataFrame, accession: str = EXPECT_SCORE) -> DataFrame:
     """run_id, sequence, retention_time, charge, exp_mz, score of every PSM.
 
     A run without the score gets -1, below any limit, so that it is not filtered.
     """
-    cells = read_mztab_cells(spark, paths, "psms")
-    scores = mztab_score_column(read_mztab_metadata(spark, paths), accession, search_engine_only=True)
+    lines = _mztab(spark, source)
+    cells = read_mztab_cells(spark, lines, "psms")
+    scores = mztab_score_column(read_mztab_metadata(spark, lines), accession, search_engine_only=True)
     scored = attach(cells, scores, ["run_id"], "left")
     cell = {c: F.try_element_at("cells", F.lit(c)) for c in
             ("sequence", "retention_time", "charge", "exp_mass_to_charge")}
@@ -147,23 +167,29 @@ def read_target_psms(spark: SparkSession, paths: Paths, accession: str = EXPECT_
         F.when(F.col("score_column").isNull(), -1.0).otherwise(score).alias("score"), "position")
 
 
-def read_run_names(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_run_names(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:
     """Location of the first MS run as the metadata gives it."""
-    metadata = read_mztab_metadata(spark, paths)
+    metadata = read_mztab_metadata(spark, source)
     named = metadata.where(F.contains("key", F.lit("ms_run[1]-location")))
     return named.groupBy("run_id").agg(F.max_by("value", "position").alias("run_name"))
 
 
-def read_proteins(spark: SparkSession, paths: Paths) -> DataFrame:
-    cells = read_mztab_cells(spark, paths, "proteins")
+def read_proteins(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:
+    cells = read_mztab_cells(spark, source, "proteins")
     return cells.select("run_id", *[F.try_element_at("cells", F.lit(c)).alias(c)
                                     for c in ("accession", "ambiguity_members")])
 
 
 def read_peptide_export(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Peptide lines of the comma-separated export, without their header."""
+    """Peptide lines of the comma-separated export, without their header.
+
+    A cell in quotes may hold commas; two quotes in it are one.
+    """
     lines = _lines(spark, paths).where(F.startswith("value", F.lit("PEPTIDE")))
-    return lines.select("run_id", F.split("value", ",").alias("cells"))
+    raw = F.regexp_extract_all("value", F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    inside = lambda c: F.replace(F.substring(c, 2, F.length(c) - 2), F.lit('""'), F.lit('"'))
+    cells = F.transform(raw, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inside(c)).otherwise(c))
+    return lines.select("run_id", cells.alias("cells"))
 
 
 def read_spikeins(spark: SparkSession, paths: Paths) -> DataFrame:

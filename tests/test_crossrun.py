@@ -52,9 +52,14 @@ def test_metric_table_counts_rows_in_order(spark, rows):
         ("b", 0, 0, 9.0, None), ("b", 0, 1, None, "q")]
 
 
-def test_combining(spark, metrics, rows):
-    with pytest.raises(ValueError, match="more than once"):
-        c.combine_runs([metrics, metrics])
+def test_combining(spark, metrics, tables, rows):
+    twice = c.combine_runs([metrics, metrics])  # builds; reading it finds the error
+    with pytest.raises(Exception, match="metric key occurs more than once"):
+        twice.collect()
+    assert sorted(map(str, c.combine_runs([metrics]).collect())) == sorted(map(str, metrics.collect()))
+    assert rows(c.combine_runs([tables.where("run_id = 'a'"), tables.where("run_id = 'b'")])) == rows(tables)
+    with pytest.raises(Exception, match="table cell occurs more than once"):
+        c.combine_runs([tables, tables.where("row_no = 1 AND column_no = 0")]).collect()
     both = c.combine_runs([metrics, c.namespaced(metrics, F.concat(F.lit("/x/y."), "run_id"))], check=False)
     assert rows(both.select("run_id").distinct()) == [("a",), ("b",), ("y",)]
     assert rows(c.duplicate_keys(both), "run_id", "short_name") == [("y", "RT_range"), ("y", "nr_MS1"), ("y", "startTime")]

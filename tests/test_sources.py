@@ -72,7 +72,9 @@ def test_read_proteins_and_peptides(spark, mztab, tmp_path, rows):
     assert rows(proteins)[:2] == [("r1", "P1", None), ("r1", "P2", "P3,P4")]
     assert rows(identifications.count_accessions(proteins))[0] == ("r1", 3)
     export = tmp_path / "r1.peptides.txt"
-    export.write_text('"COLS_PEPTIDE",Sequence\nINFO,x\nPEPTIDE,AAK\nPEPTIDE,CCK\nCOLS_PSM,z\n')
+    export.write_text('"COLS_PEPTIDE",Sequence\nINFO,x\nPEPTIDE,AAK,"P1,P2",,"a ""b"" c"\nPEPTIDE,CCK\nCOLS_PSM,z\n')
+    cells = {tuple(r["cells"]) for r in readers.read_peptide_export(spark, str(export)).collect()}
+    assert cells == {("PEPTIDE", "AAK", "P1,P2", "", 'a "b" c'), ("PEPTIDE", "CCK")}
     assert rows(identifications.count_peptides(readers.read_peptide_export(spark, str(export)))) == [("r1", 2)]
 
 
