@@ -27,9 +27,9 @@ from runlens.plans.tables import write_table
 SAMPLE_ROWS = 16_384
 MAX_DEPTH = 10
 TREES = 12
-LEAF_ROWS = 200
-# Share of the forest's leaves that a query visits.
-VISITED = 0.12
+LEAF_ROWS = 400
+# Leaves of the forest that a query visits, however many there are.
+VISITED = 160
 # Most rows and most queries of a block.
 BLOCK_ROWS = 4_096
 
@@ -109,24 +109,24 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES, visited: float = VISITED) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES, visited: int = VISITED) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found for
     every row of ``vectors`` (vec_id, embedding) that ``is_query`` marks.
 
     Nearest first by cosine, ties to the smaller vec_id; a query's own vec_id is
     no answer.  A vector that is NULL, empty or zero, or holds a NULL or non-finite component,
-    takes no part, nor does a NULL vec_id or a vector of another length than
-    most.  Repeated rows count once.  Other columns are ignored; without a query
-    or other vector there is no row.
+    takes no part, nor does a NULL vec_id.  Of vectors of unlike length the
+    shorter ones end in zeros, which changes no cosine.  Repeated rows count
+    once.  Other columns are ignored; without a query or other vector there is no row.
     """
     v = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"), is_query.alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("v")))
     schema = "query_id bigint, rank int, vec_id bigint, score double"
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    if sizes is None:
+    width = rows.agg(F.max(F.size("v")).alias("width")).first().width
+    if width is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == sizes["size"])
+    rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v"))))
     # Of equal vectors, the k + 1 of smallest id hold every answer.
     same = Window.partitionBy("v").orderBy("vec_id")
     index = write_table(rows.select("vec_id", "v").withColumn("_n", F.dense_rank().over(same)).where(F.col("_n") <= k + 1)
@@ -137,7 +137,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = TREES
     depth = int(min(MAX_DEPTH, max(1, np.ceil(np.log2(max(n, 2) / LEAF_ROWS)))))
     sample = index.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()["v"].combine_chunks()
     forest = vectors.sparkSession.sparkContext.broadcast(Forest.fit(_unit(_matrix(sample)), depth, trees))
-    probes = max(trees, int(np.ceil(visited * trees * 2 ** depth)))
+    probes = min(max(trees, visited), trees * 2 ** depth)
 
     def place(batches):
         for batch in batches:

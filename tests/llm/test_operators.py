@@ -89,6 +89,14 @@ def test_forest_against_brute_force(spark):
     assert rp_forest.nearest(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_forest_takes_vectors_of_any_length(spark):
+    rows = [(50, [1.0, 2.0]), (51, [1.0, 2.0, 0.0]), (52, [1.0, 2.0, 0.5]), (53, [2.0]), (54, [-1.0, 0.0, 0.0, 3.0]), (100, [0.0, 0.0, 0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in rp_forest.nearest(table, F.col("vec_id") % 50 == 0).collect()}
+    assert [got[50, k][0] for k in range(1, 6)] == [51, 52, 53, 100, 54] and got[50, 1][1] == pytest.approx(1.0)
+    assert got[100, 1] == (54, pytest.approx(3 / 10 ** 0.5)) and [got[100, k][0] for k in range(2, 6)] == [50, 51, 52, 53]
+
+
 def test_site_quality(spark, odd, empty):
     rows = [(i, prose(i, 60) if i % 4 else "### *** " * 30, "en", f"s{i % 3}", 0) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
