@@ -13,7 +13,6 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,9 +24,11 @@ SAMPLE_PAGES = 2_000
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg canvas object math textarea select title".split())
+RAW = frozenset("script style noscript template iframe svg canvas object textarea select title annotation".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                    "small span strike strong sub sup time tt u var wbr").split())
+                    "small span strike strong sub sup time tt u var wbr "
+                    "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle").split())
+PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 br blockquote pre figcaption".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 CONTENT = frozenset(("article", "main"))
 PLAIN = frozenset(("html", "body"))
@@ -38,10 +39,19 @@ ASIDE_WORDS = frozenset((
     "footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted "
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget").split())
 
+# Words before a colon or hyphen that turn the rest round or belong to
+# content, and words behind one that name a part of the page.
+TURNING_WORDS = frozenset("no not non without with has have is hide hides show shows enable disable".split())
+CONTENT_WORDS = frozenset("article content entry post story".split())
+PART_WORDS = frozenset((
+    "area bar block body bottom box buttons card cell col column container content form frame group holder icons inner item items "
+    "layer left links list outer overlay panel popup posts region right rail row section slot stories top unit wrap wrapper zone").split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_PART = re.compile(r"[^A-Za-z0-9]+")
+_PART = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
+CONTENT_SIDE, ASIDE, OUTER_HEADER = range(3)
 
 
 @dataclass
@@ -52,23 +62,88 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
     word: float = 1.0
     tag: float = -1.0
+    prose_tag: float = -0.25
+
+    def of_tag(self, name: str) -> float:
+        return self.tags.get(name, self.prose_tag if name in PROSE else self.tag)
+
+
+def named(name: str) -> int:
+    """What one name of a class, id or role says: ``ASIDE``, ``OUTER_HEADER`` (aside unless within content) or neither.
+
+    A name of several words counts by its last one (``site-footer``), or by its
+    first if the last one names a part of a page (``related-posts``); one that
+    turns the meaning round (``no-comments``, ``has-sidebar``) does not count.
+    """
+    parts = [w.lower() for w in _PART.split(name) if w]
+    if not parts or (len(parts) > 1 and not TURNING_WORDS.isdisjoint(parts)):
+        return CONTENT_SIDE
+    if "".join(parts) in ASIDE_WORDS:
+        word = "".join(parts)
+    elif parts[-1] in ASIDE_WORDS:
+        word = parts[-1]
+    elif parts[0] in ASIDE_WORDS and parts[-1] in PART_WORDS:
+        word = parts[0]
+    else:
+        return CONTENT_SIDE
+    if word in ("header", "masthead"):
+        return CONTENT_SIDE if parts[0] in CONTENT_WORDS else OUTER_HEADER
+    return ASIDE
+
+
+class Element:
+    """An open element: its keys, what it stands for, and how many words it holds."""
+
+    __slots__ = ("name", "keys", "stands", "above", "n_words", "holds")
+
+    def __init__(self, name: str, attributes: str, above: tuple[Element, ...]):
+        self.name, self.above, self.n_words, self.holds = name, above, 0, False
+        # Names of the whole page say nothing of its parts.
+        names = [] if name in PLAIN else [w for a in _ATTRIBUTE.finditer(attributes) for w in (a[2] or a[3] or a[4] or "").split()]
+        self.keys = (name, *["." + w.lower() for w in names])
+        if name in CONTENT:
+            # Marked as content, unless its whole name says otherwise.
+            self.stands = ASIDE if any(w.lower() in ASIDE_WORDS for w in names) else CONTENT_SIDE
+        elif name in ASIDE_TAGS:
+            self.stands = ASIDE
+        else:
+            found = {named(w) for w in names}
+            self.stands = ASIDE if ASIDE in found else OUTER_HEADER if OUTER_HEADER in found or name == "header" else CONTENT_SIDE
+
 
+Open = tuple[Element, ...]
 
-def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...], bool]]:
-    """Yields (kind, text or tag name, keys of the open elements, whether a block ends here).
 
-    Scripts, styles, comments and other raw parts are passed over.
+def tokens(page: str) -> list[tuple[str, str, Open, bool]]:
+    """(kind, text or tag name, the open elements, whether a block ends here) in page order.
+
+    Scripts, styles, comments and other raw parts are passed over.  An element
+    that holds the longest ``<article>`` or ``<main>`` stands for no aside, nor
+    does, on a page without these, a form that holds most of its words.
     """
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    at, keys = 0, ()
+    out: list[tuple[str, str, Open, bool]] = []
+    stack: list[Element] = []
+    wide: list[Element] = []
+    at, opened, total = 0, (), 0
+
+    def text(end: int) -> None:
+        nonlocal total
+        n = len(page[at:end].split())
+        total += n
+        for e in wide:
+            e.n_words += n
+        out.append(("text", page[at:end], opened, False))
+
+    marked_elements: list[Element] = []
+    forms: list[Element] = []
     while True:
         found = _TOKEN.search(page, at)
         if found is None:
             if at < len(page):
-                yield "text", page[at:], keys, False
-            return
+                text(len(page))
+            break
         if found.start() > at:
-            yield "text", page[at:found.start()], keys, False
+            text(found.start())
         at = found.end()
         name = (found[2] or "").lower()
         if not name:
@@ -80,48 +155,65 @@ def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...], bool]]:
             continue
         if found[1]:
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
+                if stack[depth].name == name:
                     del stack[depth:]
                     break
         else:
             if name in CLOSED_BY_SAME:
                 for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == name:
+                    if stack[depth].name == name:
                         del stack[depth:]
                         break
-                    if stack[depth][0] not in INLINE and stack[depth][0] not in CLOSED_BY_SAME:
+                    if stack[depth].name not in INLINE and stack[depth].name not in CLOSED_BY_SAME:
                         break
             if name not in VOID and not (found[3] or "").rstrip().endswith("/"):
-                own = [name]
-                # Words of the whole page say nothing of its parts.
-                for a in _ATTRIBUTE.finditer(found[3] or "") if name not in PLAIN else ():
-                    own += ["." + w for w in _PART.split((a[2] or a[3] or a[4] or "").lower()) if w]
-                stack.append((name, tuple(own)))
-        keys = tuple(dict.fromkeys(k for _, own in stack for k in own))
-        yield "tag", name, keys, name not in INLINE
+                element = Element(name, found[3] or "", tuple(stack) if name in CONTENT else ())
+                stack.append(element)
+                if name in CONTENT and element.stands == CONTENT_SIDE:
+                    marked_elements.append(element)
+                elif name == "form":
+                    forms.append(element)
+        opened = tuple(stack)
+        wide = [e for e in opened if e.name in CONTENT or e.name == "form"]
+        out.append(("tag", name, opened, name not in INLINE))
+    for name in CONTENT:
+        longest = max((e for e in marked_elements if e.name == name), key=lambda e: e.n_words, default=None)
+        for e in longest.above if longest else ():
+            e.holds = True
+    for e in forms if not marked_elements else ():
+        e.holds = 2 * e.n_words > total
+    return out
 
 
-def marked(keys: tuple[str, ...]) -> bool:
+def marked(opened: Open) -> bool:
     """True inside an element that marks content."""
-    return any(k in CONTENT for k in keys)
+    return any(e.name in CONTENT and e.stands == CONTENT_SIDE for e in opened)
 
 
-def aside(keys: tuple[str, ...]) -> bool:
+def aside(opened: Open) -> bool:
     """True if one of the open elements holds other than content by convention."""
-    return any(k in ASIDE_TAGS or (k[0] == "." and k[1:] in ASIDE_WORDS) for k in keys) or (
-        "header" in keys and not marked(keys))
+    inside = False
+    for e in opened:
+        if e.stands == ASIDE and not e.holds or e.stands == OUTER_HEADER and not e.holds and not inside and not marked(opened):
+            return True
+        inside = inside or e.name in CONTENT
+    return False
+
+
+def _keys(opened: Open) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(k for e in opened for k in e.keys))
 
 
 def count_page(page: str, inner: Counter, outer: Counter) -> None:
     """Add the words and tags of a page that marks its content, by element key, to the counters."""
-    seen = list(tokens(page))
-    if not any(marked(keys) for _, _, keys, _ in seen):
+    seen = tokens(page)
+    if not any(marked(opened) for _, _, opened, _ in seen):
         return
-    for kind, value, keys, _ in seen:
-        side = inner if marked(keys) and not aside(keys) else outer
+    for kind, value, opened, _ in seen:
+        side = inner if marked(opened) and not aside(opened) else outer
         n = len(value.split()) if kind == "text" else 1
         side[kind, ""] += n
-        for k in (keys if kind == "text" else (value,)):
+        for k in (_keys(opened) if kind == "text" else (value,)):
             if k not in PLAIN:
                 side[kind, k] += n
 
@@ -142,15 +234,40 @@ def weights_of(inner: Counter, outer: Counter) -> Weights:
     return out
 
 
-def score(kind: str, value: str, keys: tuple[str, ...], weights: Weights) -> float:
-    # What stands aside is cut out of the span, so it neither ends nor lengthens it.
-    if aside(keys):
-        return 0.0
-    if kind == "tag":
-        return weights.tags.get(value, weights.tag)
-    n = len(value.split())
-    known = weights.word + sum(weights.words.get(k, 0.0) for k in keys) / 4
-    return n * max(0.5 if marked(keys) else -3.0, min(3.0, known))
+def scores(seen: list[tuple[str, str, Open, bool]], weights: Weights) -> tuple[list[float], list[bool]]:
+    """The score of every token, and whether it stands aside.
+
+    What stands aside is cut out of the span later, so it neither ends nor
+    lengthens it; nor do tags within marked content.  If the marked content
+    holds most of the other words, words outside of it count against.
+    """
+    # Tokens between two tags share their open elements.
+    known: dict[int, tuple[bool, bool, float]] = {}
+    for kind, _, opened, _ in seen:
+        if kind == "text" and id(opened) not in known:
+            rate = weights.word + sum(weights.words.get(k, 0.0) for k in _keys(opened)) / 4
+            known[id(opened)] = aside(opened), marked(opened), max(-3.0, min(3.0, rate))
+    counts = [len(value.split()) if kind == "text" else 0 for kind, value, _, _ in seen]
+    words = {True: 0, False: 0}
+    for (kind, _, opened, _), n in zip(seen, counts):
+        if kind == "text" and not known[id(opened)][0]:
+            words[known[id(opened)][1]] += n
+    trusted = words[True] > 0 and words[True] >= words[False]
+    out, beside = [], []
+    for (kind, value, opened, _), n in zip(seen, counts):
+        if kind == "text":
+            is_aside, is_marked, rate = known[id(opened)]
+            if is_marked:
+                rate = max(0.5, rate)
+            elif trusted:
+                rate = min(-0.5, rate)
+            out.append(0.0 if is_aside else n * rate)
+        else:
+            is_aside = False
+            free = marked(opened) or aside(opened)
+            out.append(0.0 if free else weights.of_tag(value))
+        beside.append(is_aside)
+    return out, beside
 
 
 def best_span(scores: list[float]) -> tuple[int, int]:
@@ -167,15 +284,16 @@ def best_span(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str, weights: Weights) -> str:
     """The main text: blocks of the best part in page order, one space between."""
-    seen = list(tokens(page))
-    start, end = best_span([score(kind, value, keys, weights) for kind, value, keys, _ in seen])
+    seen = tokens(page)
+    of, beside = scores(seen, weights)
+    start, end = best_span(of)
     blocks, current = [], []
-    for kind, value, keys, ends in seen[start:end]:
+    for (kind, value, _, ends), cut in zip(seen[start:end], beside[start:end]):
         if kind == "tag":
             if ends or value == "br":
                 blocks.append("".join(current))
                 current = []
-        elif not aside(keys):
+        elif not cut:
             current.append(value)
     blocks.append("".join(current))
     return " ".join(t for t in (" ".join(entities.unescape(b).split()) for b in blocks) if t)
@@ -208,6 +326,8 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Weights:
 def main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row of ``pages``; no shuffle of pages.
 
+    A page is read whole, however long it is; one page is held at a time.
+
     A NULL or empty page, and one without words of positive score, has an empty text.  Equal
     rows get equal results, one each; other columns are ignored; an empty table
     gives no row.  Markup cut off at the end of a page is passed over.

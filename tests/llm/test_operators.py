@@ -177,6 +177,55 @@ def test_main_text_with_a_classed_body():
     assert main_text.extract(page, main_text.Weights()) == prose(1, 30)
 
 
+WRAPPERS = ['<div class="layout-with-sidebar">{}</div>', '<div id="no-comments">{}</div>', '<section class="social-science">{}</section>',
+            '<div class="page has-banner">{}</div>', '<form action="/x">{}</form>', '<div class="widget">{}</div>', "<nav>{}</nav>"]
+
+
+def page_of(body):
+    return ('<html><head><title>T</title></head><body><nav><ul><li><a href="/">Home</a></li><li>About us</li></ul></nav><header>Site name</header>'
+            f'{body}<div class="site-footer">Imprint and terms</div><div class="cookie-banner">We use cookies</div><footer>End</footer></body></html>')
+
+
+@pytest.mark.parametrize("fitted", [False, True])
+def test_main_text_in_wrappers(spark, fitted):
+    weights = main_text.Weights()
+    if fitted:
+        weights = main_text.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html"))
+    first, second = prose(21, 40), prose(22, 60)
+    text = f"Head {first} {second}"
+    inner = f"<h1>Head</h1><p>{first}</p><p>{second}</p>"
+    for wrapper in WRAPPERS:
+        assert main_text.extract(page_of(wrapper.format(f"<article>{inner}</article>")), weights) == text
+    for whole in (f'<main class="related-work">{inner}</main>', f'<article class="post share-enabled">{inner}</article>',
+                  f'<main><form><article>{inner}</article></form></main>', f'<article><div class="entry-header"><h1>Head</h1></div>{inner[13:]}</article>'):
+        assert main_text.extract(page_of(whole), weights) == text
+    # Tables, formulas and boxes within the article take nothing with them.
+    table = "<table>" + "".join(f"<tr><td>{k}</td><td>{k * k}</td></tr>" for k in range(80)) + "</table>"
+    numbers = " ".join(f"{k} {k * k}" for k in range(80))
+    assert main_text.extract(page_of(f"<article><p>{first}</p>{table}<p>{second}</p></article>"), weights) == f"{first} {numbers} {second}"
+    math = "<math><mi>x</mi><mo>=</mo><mn>1</mn></math>"
+    assert main_text.extract(page_of(f"<article><p>{first} {math} end</p></article>"), weights) == f"{first} x=1 end"
+    comments = '<section class="post-comments"><article class="comment"><p>' + prose(23, 30) + "</p></article></section>"
+    related = '<div class="related-posts"><article><p>' + prose(24, 20) + "</p></article></div>"
+    for extra in (comments, related, '<div class="shareButtons">Tell all</div>', '<div class="ad-slot-3">Buy this</div>'):
+        assert main_text.extract(page_of(f"<article><p>{first}</p>{extra}<p>{second}</p></article>"), weights) == f"{first} {second}"
+        assert main_text.extract(page_of(f"<article><p>{first}</p><p>{second}</p></article>{extra}"), weights) == f"{first} {second}"
+
+
+def test_main_text_of_pages_that_mark_nothing():
+    first, second, weights = prose(25, 80), prose(26, 90), main_text.Weights()
+    body = f"<div class='story'><h1>Head</h1><p>{first}</p><p>{second}</p></div>"
+    for page in (page_of(body), page_of(f"<form>{body}</form>"), page_of(f"<div class='wrap has-sidebar'>{body}<div class='sidebar'>{prose(27, 50)}</div></div>")):
+        assert main_text.extract(page, weights).endswith(f"Head {first} {second}")
+
+
+def test_names_of_classes():
+    aside = ["ad", "ads", "sidebar", "site-footer", "main-nav", "navBar", "cookie_banner", "related-posts", "ad-slot-3", "share-buttons", "comments"]
+    content = ["no-comments", "has-sidebar", "layout-with-sidebar", "social-science", "related-work", "share-enabled", "post", "download", "entry-header", "123"]
+    assert all(main_text.named(n) == main_text.ASIDE for n in aside) and all(main_text.named(n) == main_text.CONTENT_SIDE for n in content)
+    assert main_text.named("page-header") == main_text.OUTER_HEADER
+
+
 def test_best_span_by_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(200):
