@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from runlens.plans.tables import fits_broadcast, lookup_join, write_table
 
 # Bits of a round: a group has at most 2 ** DIGIT_BITS counts for each position.
-DIGIT_BITS = 11
+DIGIT_BITS = 14
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
@@ -81,23 +81,27 @@ def values_at(rows: DataFrame, groups: DataFrame, keys: Sequence[str], positions
     rows = rows.withColumn("bits", ordered_bits(F.col("v")))
     first = lookup_join(rows, info, keys, broadcast=small)
     counts = _count(first.withColumn("parent", F.lit(0).cast("bigint")), keys, F.col("s"))
-    found = []
+    found, around = [], None
     while True:
-        state = write_table(_select(counts, targets, keys), "positions")
+        # The number of open positions comes with the job that writes them.
+        seen = Observation()
         done = (F.col("low") == F.col("high")) | (F.col("shift") == 0)
-        found.append(state.where(done))
-        open_ = state.where(~done)
-        if open_.isEmpty():
+        state = _select(counts, targets, keys).withColumn("done", done)
+        state = write_table(state.observe(seen, F.count_if(~F.col("done")).alias("open")), "positions")
+        found.append(state.where("done"))
+        if not seen.get["open"]:
             break
-        targets = open_.drop("shift", "low", "high")
-        wanted = write_table(open_.groupBy(*keys).agg(
-            F.max("shift").alias("had"), F.collect_set("parent").alias("parents")), "wanted")
-        kept = lookup_join(rows.select(*keys, "v", "bits"), wanted, keys, broadcast=small)
+        open_ = state.where(~F.col("done"))
+        targets = open_.drop("shift", "low", "high", "done")
+        wanted = open_.groupBy(*keys).agg(F.max("shift").alias("had"), F.collect_set("parent").alias("parents"))
+        kept = lookup_join(rows if around is None else around, wanted, keys, broadcast=small)
         kept = kept.withColumn("parent", F.call_function("shiftright", F.col("bits"), F.col("had")))
-        kept = kept.where(F.array_contains("parents", F.col("parent")))
-        # From here on the rows are those around the positions.
-        rows = write_table(kept.select(*keys, "v", "bits", "parent", "had"), "around")
-        counts = _count(rows, keys, F.greatest(F.col("had") - DIGIT_BITS, F.lit(0)))
+        kept = kept.where(F.array_contains("parents", F.col("parent"))).select(*keys, "v", "bits", "parent", "had")
+        if around is None:
+            # From here on only the rows around the positions are read.
+            kept = write_table(kept, "around")
+            around = kept.select(*keys, "v", "bits")
+        counts = _count(kept, keys, F.greatest(F.col("had") - DIGIT_BITS, F.lit(0)))
     result = found[0]
     for part in found[1:]:
         result = result.unionByName(part)
