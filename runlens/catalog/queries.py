@@ -166,7 +166,7 @@ def _grouped_psms(spark, d):
 
 
 def _good_psms(spark, d):
-    return identifications.filter_fdr(_grouped_psms(spark, d))
+    return identifications.accepted_psms(_target_psms(spark, d))
 
 
 @query
@@ -201,7 +201,8 @@ def count_psms(spark, d):
 
 @query
 def ppm_error(spark, d):
-    return identifications.ppm_error(_good_psms(spark, d)).select("run_id", "psm_id", "accession", "ppm")
+    good = identifications.filter_fdr(_grouped_psms(spark, d))
+    return identifications.ppm_error(good).select("run_id", "psm_id", "accession", "ppm")
 
 
 @query

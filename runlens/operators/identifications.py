@@ -97,6 +97,15 @@ def group_psm_accessions(psms: DataFrame) -> DataFrame:
     return one.select(*keys, "accession", "x.row.*", "x.position").select("run_id", *PSM_COLUMNS, "position")
 
 
+def accepted_psms(psms: DataFrame, maximum: float = 0.01) -> DataFrame:
+    """The rows of :func:`filter_fdr` after :func:`group_psm_accessions`, without
+    accession and position: all that counts and errors need.
+
+    The score limit comes first, so only accepted rows are made distinct.
+    """
+    return filter_fdr(psms, maximum).drop("accession", "position").distinct()
+
+
 def filter_fdr(psms: DataFrame, maximum: float = 0.01) -> DataFrame:
     return psms.where(F.col("fdr_score") <= maximum)
 

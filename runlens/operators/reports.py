@@ -131,8 +131,8 @@ def identification_report(
 
     ``store_psms`` adds the table of all target PSMs before the score limit.
     """
-    grouped = ids.group_psm_accessions(ids.filter_target_psms(psms))
-    good = write_table(ids.filter_fdr(grouped, max_fdr), "psms")
+    targets = ids.filter_target_psms(psms)
+    good = write_table(ids.accepted_psms(targets, max_fdr), "psms")
     ppm = ids.ppm_summary(good, runs)
     records = [
         metric_records(ids.count_protein_groups(proteins, runs), {"nr_protein_groups": "nr_protein_groups"}),
@@ -149,7 +149,7 @@ def identification_report(
         metric_table(ids.missed_cleavage_fractions(good, runs), "PSM_missed_cleavages_fractions",
                      CLEAVAGE_COLUMNS, row_no="missed_cleavages"),
     ]
-    series = {"identified_psms_table": psm_series(ids.psm_full_table(grouped))} if store_psms else {}
+    series = {"identified_psms_table": psm_series(ids.psm_full_table(ids.group_psm_accessions(targets)))} if store_psms else {}
     return Report(_union(records), _union(tables), series)
 
 

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only if it was measured and holds at most so many rows and
@@ -53,14 +53,29 @@ def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _size() -> list[Column]:
+    text = F.octet_length(F.to_json(F.struct("*")))
+    return [F.count(F.lit(1)).alias("rows"), F.sum(text.cast("bigint")).alias("bytes")]
+
+
+def _fits(rows: int, size: int | None, rows_per_row: int) -> bool:
+    return rows * rows_per_row <= BROADCAST_ROWS and (size or 0) * rows_per_row <= BROADCAST_BYTES
+
+
 def fits_broadcast(table: DataFrame, rows_per_row: int = 1) -> bool:
     """True if ``table`` (a written one, so reading it is cheap) is small enough.
 
     ``rows_per_row`` is how many rows the caller derives from each.
     """
-    size = table.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
-    return size.rows * rows_per_row <= BROADCAST_ROWS and (size.bytes or 0) * rows_per_row <= BROADCAST_BYTES
+    size = table.agg(*_size()).first()
+    return _fits(size.rows, size.bytes, rows_per_row)
+
+
+def write_measured(df: DataFrame, name: str = "table", rows_per_row: int = 1) -> tuple[DataFrame, bool]:
+    """:func:`write_table` and :func:`fits_broadcast` in one job."""
+    seen = Observation()
+    table = write_table(df.observe(seen, *_size()), name)
+    return table, _fits(seen.get["rows"], seen.get["bytes"], rows_per_row)
 
 
 def lookup_join(
@@ -90,5 +105,5 @@ def lookup_join(
 
 def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Write ``small``, check its size, then :func:`lookup_join`."""
-    table = write_table(small, "lookup")
-    return lookup_join(big, table, on, how, broadcast=fits_broadcast(table))
+    table, fits = write_measured(small, "lookup")
+    return lookup_join(big, table, on, how, broadcast=fits)

@@ -41,6 +41,8 @@ def test_grouping_and_filter(psms, runs, rows):
     assert rows(good, "psm_id") == [("1",), ("2",), ("3",), ("6",)]
     assert rows(i.count_psms(good, runs)) == [("a", 4), ("b", 0)]
     assert rows(i.count_psms(i.filter_fdr(grouped, 0.05))) == [("a", 5)]
+    accepted = i.accepted_psms(i.filter_target_psms(psms))
+    assert rows(accepted) == rows(good.drop("accession", "position"))
     full = i.psm_full_table(grouped)
     assert rows(full, "row_no", "psm_id") == [(k, p) for k, p in enumerate("12346")] and "psm_level_fdrscore" in full.columns
 

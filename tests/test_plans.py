@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runlens.plans import quantiles, tables
 from runlens.plans.ordered import asof_backward, with_position
 from runlens.plans.quantiles import exact_quantiles, ordered_bits
-from runlens.plans.tables import attach, fits_broadcast, write_table
+from runlens.plans.tables import attach, fits_broadcast, write_measured, write_table
 
 
 def test_exact_quantiles_equal_numpy(spark, join_way):
@@ -57,17 +57,23 @@ def test_no_row_of_a_long_group_is_sorted(spark, monkeypatch):
     df = write_table(spark.range(60_000).select(F.lit("hot").alias("run_id"), F.sin("id").alias("x")))
     seen = []
     select = quantiles._select
-    monkeypatch.setattr(quantiles, "_select", lambda counts, *rest: seen.append(counts.count()) or select(counts, *rest))
+
+    def counted(rows, *rest):
+        seen.append(rows.groupBy("parent", "digit").count().count())
+        return select(rows, *rest)
+    monkeypatch.setattr(quantiles, "_select", counted)
     row = exact_quantiles(df, ["run_id"], "x").first()
     assert [row[q] for q in ("q25", "q50", "q75")] == pytest.approx(np.quantile(np.sin(np.arange(60_000)), [0.25, 0.5, 0.75]))
-    assert len(seen) > 1 and all(n <= 6 * 2 ** quantiles.DIGIT_BITS for n in seen)
+    assert len(seen) > 1 and all(n <= 6 * (2 ** quantiles.DIGIT_BITS + 1) for n in seen)
 
 
 def test_broadcast_needs_few_rows_and_few_bytes(spark, monkeypatch):
     table = write_table(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text")))
     assert fits_broadcast(table) and not fits_broadcast(table, rows_per_row=100_000)
+    assert write_measured(table)[1] and not write_measured(table, rows_per_row=100_000)[1]
     monkeypatch.setattr(tables, "BROADCAST_BYTES", 5_000)
     assert not fits_broadcast(table) and fits_broadcast(table.select("id"))
+    assert not write_measured(table)[1] and write_measured(table.select("id"))[1]
 
 
 def test_with_position_counts_through_slices(spark):
