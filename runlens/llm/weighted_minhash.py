@@ -233,12 +233,14 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                  .where((F.col("low") != F.col("high")) & (F.col("n") > 2)).select("band", "key"))
     rest = write_table(open_rows.join(unsettled, ["band", "key"]), "rest")
     fine = sketches(wanted.join(rest.select("node").distinct(), "node", "left_semi"), idf, FINE_SAMPLES)
-    rest = write_table(rest.join(known, "node").join(fine.withColumnRenamed("sketch", "fine"), "node"), "rest")
+    rest = write_table(rest.join(known.withColumn("keys", keys), "node").join(fine.withColumnRenamed("sketch", "fine"), "node"), "rest")
     x, y = rest.alias("x"), rest.alias("y")
     agree = _agreement(F.col("x.sketch"), F.col("y.sketch"))
     agree_fine = _agreement(F.col("x.fine"), F.col("y.fine"))
+    # A pair that shares several buckets is made in the first of them only.
+    first_shared = F.array_position(F.zip_with("x.keys", "y.keys", lambda p, q: p == q), True) - 1
     pairs = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & (agree >= ESTIMATE * BANDS * ROWS) & (agree_fine >= FINE_ESTIMATE * FINE_SAMPLES))
+                    & (F.col("x.component") != F.col("y.component")) & (first_shared == F.col("x.band")) & (agree >= ESTIMATE * BANDS * ROWS) & (agree_fine >= FINE_ESTIMATE * FINE_SAMPLES))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     second = verified(pairs.join(stars, ["a", "b"], "left_anti"))
     return write_table(first.unionByName(second), "links")
