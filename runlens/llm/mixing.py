@@ -116,9 +116,11 @@ def mix(docs: DataFrame, target: Target = Target(), budget: int | None = None, n
     quota.  Every copy that begins within the quota is used in full, so a quota is
     exceeded by less than one document.  A NULL source is a source; a NULL or
     empty text counts one token; repeated rows are documents each of their own,
-    in no particular order among equal ones; an empty table gives no row.
+    in no particular order among equal ones; an empty table gives no row.  Texts
+    may have any length.  Other columns may have any name; one called ``plan`` is left out.
     """
-    rows = docs.withColumn("_tokens", text_tokens(F.col("text").cast("string")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "plan"])
+    rows = docs.select(whole.alias("_doc"), "doc_id", "source", text_tokens(F.col("text").cast("string")).alias("_tokens"))
     totals = source_totals(rows.select("source", F.col("_tokens").alias("tokens")))
     weights = write_table(source_weights(totals, target, budget), "weights")
     w = weights.select(F.col("source").alias("_source"), "n_docs", "n_tokens", "quota", "weight", "passes")
@@ -143,7 +145,7 @@ def mix(docs: DataFrame, target: Target = Target(), budget: int | None = None, n
     block = F.floor(F.col("_begin") * n_blocks / F.col("quota")).cast("int")
     plan = F.struct(F.col("_pass").alias("pass_no"), block.alias("block"), F.col("_tokens").alias("tokens"),
                     F.col("_order").alias("order"), "weight", "passes")
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], plan.alias("plan"))
+    return placed.select("_doc.*", plan.alias("plan"))
 
 
 def positions(mixture: DataFrame) -> DataFrame:

@@ -275,8 +275,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, the one of smallest doc_id; repeated rows of it become one."""
+    """``docs`` with one document of each class, the one of smallest doc_id; repeated rows of it become one.
+
+    Other columns may have any name.
+    """
     keepers = duplicate_classes(docs, threshold).select(F.col("keeper.doc_id").alias("_id"), F.col("keeper.node").alias("_node")).distinct()
-    rows = docs.withColumn("_own", text_node(F.col("text")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("_doc"), "doc_id", text_node(F.col("text")).alias("_own"))
     kept = rows.join(keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_node")))
-    return kept.dropDuplicates(["doc_id", "_own"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["doc_id", "_own"]).select("_doc.*")

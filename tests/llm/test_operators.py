@@ -394,3 +394,20 @@ def test_pipeline_stages(spark, tmp_path):
     ids = {r.doc_id for r in out.select("doc_id").collect()}
     assert set(range(60)) <= ids and not ids & {100, 101, 102}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeats", "mixture", "encoding"]
+
+
+def test_columns_of_any_name(spark):
+    names = ["weight", "plan", "quota", "passes", "n_docs", "n_tokens", "_tokens", "_doc", "_own", "_id", "_node", "_spans", "_source", "spans", "keeper"]
+    passage = prose(77, 60)
+    rows = [(i, prose(i, 30) + " " + (passage if i < 2 else prose(500 + i, 60)), f"s{i % 2}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns({c: F.lit(f"own {c}") for c in names})
+    mixed = mixing.mix(docs)
+    assert mixed.count() >= 6 and mixed.columns == [c for c in docs.columns if c != "plan"] + ["plan"]
+    assert mixed.select("weight", "_tokens", "quota").distinct().collect() == [("own weight", "own _tokens", "own quota")]
+    assert mixed.select("plan.weight").first()[0] > 0
+    kept = wm.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == 6 and {r._own for r in kept.collect()} == {"own _own"}
+    passages = spark.createDataFrame([(1, 30, 90)], "doc_id bigint, start_word bigint, end_word bigint")
+    left = compact_windows.remove_repeats(docs, passages)
+    assert left.columns == docs.columns and {r._spans for r in left.collect()} == {"own _spans"}
+    assert {r.doc_id: r.text for r in left.collect()}[1].strip() == prose(1, 30)

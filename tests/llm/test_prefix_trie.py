@@ -64,10 +64,10 @@ def conversations(n, seed, words=3, longest=9):
     return rows
 
 
-@pytest.mark.parametrize("paths", [1, 7, 8_192])
+@pytest.mark.parametrize("paths", [4, 30, 8_192])
 def test_against_brute_force(spark, paths, monkeypatch):
     monkeypatch.setattr(pt, "SHARD_PATHS", paths)
-    rows = conversations(330, 3)
+    rows = conversations(230, 3)
     want = brute(rows)
     assert any(r[3] > 200 for r in want) and found(table(spark, rows)) == want
 
