@@ -150,7 +150,7 @@ def _as_spikeins(targets: DataFrame, name: Column) -> DataFrame:
         F.concat(F.lit("[Acetyl]-"), F.substring("kind", 1, 3), F.lit("[Oxidation]"),
                  F.substring("kind", 4, 100), letters, F.lit("/2")).alias("sequence"),
         "mz", F.round((F.col("mz") - 900) * 24, 1).alias("rt"),
-        F.lit("200 ppm").alias("mz_tol"), F.lit(600.0).alias("rt_tol"), "position")
+        F.lit("200 ppm").alias("mz_tol"), F.lit(600.0).alias("rt_tol"), "position", "brand")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

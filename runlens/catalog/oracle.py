@@ -326,10 +326,13 @@ def _brand_columns(values: list[tuple[str, str]]) -> str:
     return ", ".join(f"""max({value}) FILTER (name = '{brand}') AS "{brand}_{column}\"""" for brand in BRANDS for column, value in values)
 
 
-ORACLE["spikeins_wide"] = f"""WITH {PANEL_XIC}
-SELECT run_id, {_brand_columns([("maximum_intensity", r("maximum_intensity")), ("rt_at_maximum", r("rt_at_maximum / 60")),
+BRAND_XIC = XIC.replace("SELECT run_id, mz, position,", "SELECT run_id, mz, position, brand,").replace(
+    "SELECT s.run_id, s.name, s.sequence,", "SELECT s.run_id, s.brand AS name, s.sequence, s.position,")
+ORACLE["spikeins_wide"] = f"""WITH {BRAND_XIC},
+listed AS (SELECT *, row_number() OVER (PARTITION BY run_id, name ORDER BY position) - 1 AS list_no FROM observed)
+SELECT run_id, list_no, {_brand_columns([("maximum_intensity", r("maximum_intensity")), ("rt_at_maximum", r("rt_at_maximum / 60")),
     ("nr_identifications", r("nr_identifications")), ("delta_to_expected_rt", r("delta_to_expected_rt / 60"))])}
-FROM observed GROUP BY run_id"""
+FROM listed GROUP BY run_id, list_no"""
 
 # ---- files: what comes back is what was written -----------------------------
 

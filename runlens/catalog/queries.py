@@ -16,6 +16,7 @@ from runlens import bindings as b
 from runlens.functions.exprs import epoch_to_utc, only_value, plain_sequence
 from runlens.operators import crossrun, features, identifications, records, reports, spectra, targeted, telemetry
 from runlens.operators.documents import document_parts, write_documents
+from runlens.plans.ordered import with_position
 from runlens.plans.tables import fresh_path, write_table
 from runlens.schemas import BRUKER_KEY, THERMO_KEY, Metric
 from runlens.sources import readers, sinks
@@ -288,10 +289,10 @@ def _xic(spark, d, found=None):
     return targeted.extract_xic(b.spectra(spark, d), b.peaks(spark, d), windows)
 
 
-def _spikein_metrics(spark, d):
+def _spikein_metrics(spark, d, kept=()):
     found = _found(spark, d)
     return targeted.spikein_metrics(b.spikeins(spark, d), targeted.xic_apex(_xic(spark, d, found)),
-                                    targeted.ident_counts(found))
+                                    targeted.ident_counts(found), kept)
 
 
 def _panel_metrics(spark, d):
@@ -705,7 +706,12 @@ def spikein_cells(spark, d):
 
 @query
 def spikeins_wide(spark, d):
-    return crossrun.spikeins_wide(_panel_metrics(spark, d), SPIKEIN_COLUMNS, unit="min")
+    """Every part is a target under its brand's name; the parts of a brand in a run stand in lists on end."""
+    # A part without a brand or run is ranked too.
+    group = F.to_json(F.struct("run_id", "brand"))
+    targets = _spikein_metrics(spark, d, ["brand"]).withColumn("group", group)
+    listed = with_position(targets, ["group"], ["position"]).withColumnRenamed("pos", "list_no")
+    return crossrun.spikeins_wide(listed, SPIKEIN_COLUMNS, unit="min", label="brand", keys=["run_id", "list_no"])
 
 
 def _numbered_panel(panel):

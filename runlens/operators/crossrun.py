@@ -229,30 +229,32 @@ def spikein_table_cells(metric_tables: DataFrame, names: DataFrame | None = None
 
 
 def spikein_cells(
-    spikeins: DataFrame, columns: Sequence[str], unit: str = "sec", label: str = "name"
+    spikeins: DataFrame, columns: Sequence[str], unit: str = "sec", label: str = "name", keys: Sequence[str] = ("run_id",)
 ) -> DataFrame:
-    """Requested values of each spike-in as (run_id, ``<label>_<column>``, value)."""
+    """Requested values of each spike-in as (``keys``, ``<label>_<column>``, value)."""
     times = ("rt_at_maximum", "expected_rt", "delta_to_expected_rt")
     values = [(in_unit(F.col(c), unit) if c in times else F.col(c)).cast("double").alias(c) for c in columns]
-    shown = spikeins.select("run_id", F.col(label).alias("label"), *values)
-    return shown.unpivot(["run_id", "label"], list(columns), "what", "value").select(
-        "run_id", F.concat_ws("_", "label", "what").alias("column"), "value")
+    shown = spikeins.select(*keys, F.col(label).alias("label"), *values)
+    return shown.unpivot([*keys, "label"], list(columns), "what", "value").select(
+        *keys, F.concat_ws("_", "label", "what").alias("column"), "value")
 
 
 def spikeins_wide(
-    spikeins: DataFrame, columns: Sequence[str], unit: str = "sec", label: str = "name", labels: Sequence[str] | None = None
+    spikeins: DataFrame, columns: Sequence[str], unit: str = "sec", label: str = "name", labels: Sequence[str] | None = None,
+    keys: Sequence[str] = ("run_id",),
 ) -> DataFrame:
     """One row per run; the labels are those of the data unless given, a label
     repeated within a run is an error.
 
-    One column per label and value, so this is for lists the runs share.
+    One column per label and value, so this is for lists the runs share.  A run
+    with several lists has a row for each if ``keys`` tells them apart.
     """
-    cells = write_table(spikein_cells(spikeins, columns, unit, label), "spikeins")
+    cells = write_table(spikein_cells(spikeins, columns, unit, label, keys), "spikeins")
     if labels is None:
         names = [x["column"] for x in cells.select("column").distinct().orderBy("column").collect()]
     else:
         names = [f"{x}_{c}" for x in labels for c in columns]
-    return cells.groupBy("run_id").pivot("column", names).agg(only_value("value"))
+    return cells.groupBy(*keys).pivot("column", names).agg(only_value("value"))
 
 
 def summary_cells(

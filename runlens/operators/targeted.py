@@ -179,19 +179,20 @@ def xic_apex_of_arrays(xics: DataFrame) -> DataFrame:
     return last.select("run_id", "comment", "x.*")
 
 
-def spikein_metrics(spikeins: DataFrame, apexes: DataFrame, counts: DataFrame) -> DataFrame:
+def spikein_metrics(spikeins: DataFrame, apexes: DataFrame, counts: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
     """Observed and expected values of every spike-in of a run.
 
     Without an XIC the apex is 0 at -1, without an identification the count 0.
+    ``kept`` names further columns of the spike-ins.
     """
-    targets = spikeins.select("run_id", "name", "sequence", "position",
+    targets = spikeins.select("run_id", "name", "sequence", "position", *kept,
                               plain_sequence(F.col("sequence")).alias("plain"),
                               F.col("rt").alias("expected_rt"))
     found = targets.join(apexes.withColumnRenamed("comment", "name"), ["run_id", "name"], "left")
     found = found.join(counts.withColumnRenamed("sequence", "plain"), ["run_id", "plain"], "left")
     observed = F.coalesce("rt_at_maximum", F.lit(-1.0))
     return found.select(
-        "run_id", "name", "sequence", "position",
+        "run_id", "name", "sequence", "position", *kept,
         F.coalesce("maximum_intensity", F.lit(0.0)).alias("maximum_intensity"),
         observed.alias("rt_at_maximum"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("nr_identifications"),
