@@ -60,8 +60,7 @@ def unsigned_le(data: Column, width: int) -> Column:
     """Unsigned little-endian integers of ``width`` (4 or 8) bytes as an array
     of doubles; a short tail is a shorter integer.
 
-    Spark has no cast from bytes to numbers; a whole Arrow batch of values is
-    read at once.
+    Spark has no cast from bytes to numbers.
     """
     return F.arrow_udf(lambda values: unpack_le(values, width), "array<double>")(data)
 
@@ -76,10 +75,13 @@ def unpack_le(values: pa.Array, width: int) -> pa.Array:
     lengths = np.diff(ends)
     counts = -(-lengths // width)
     first = np.concatenate([[0], np.cumsum(counts)])
-    # Every value starts at a whole number; what a tail lacks is zero.
-    padded = np.zeros(first[-1] * width, np.uint8)
-    padded[np.arange(len(data)) + np.repeat(first[:-1] * width - ends[:-1], lengths)] = data
-    numbers = padded.view(f"<u{width}").astype(np.float64)
+    # One value at a time is read in place, so nothing beside the result is as long as the data.
+    numbers = np.empty(first[-1], np.float64)
+    for start, length, at in zip(ends[:-1].tolist(), lengths.tolist(), first[:-1].tolist()):
+        whole, tail = divmod(length, width)
+        numbers[at:at + whole] = data[start:start + whole * width].view(f"<u{width}")
+        if tail:
+            numbers[at + whole] = int.from_bytes(data[start + length - tail:start + length].tobytes(), "little")
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(numbers),
                                     mask=values.is_null() if values.null_count else None)
 

@@ -174,3 +174,21 @@ def test_calibrants(spark, rows):
     with pytest.raises(ValueError, match="MZ:Mobility"):
         t.parse_calibrants(["100;1"])
     assert t.parse_calibrants(t.CALIBRANTS)[1] == (922.009798, 1.1895)
+
+
+def test_unpacking_holds_little_beside_the_result():
+    import tracemalloc
+
+    import pyarrow as pa
+    from runlens.functions.exprs import unpack_le
+    data = [bytes(range(256)) * 4096 + b"\x01\x02\x03", None, b"", b"\xff" * 8]
+    values = pa.array([b"left out", *data], pa.binary()).slice(1)
+    for width in (4, 8):
+        tracemalloc.start()
+        got = unpack_le(values, width)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        whole = [[float(int.from_bytes(d[i:i + width], "little")) for i in range(0, len(d), width)] if d is not None else None for d in data]
+        assert got.to_pylist() == whole
+        # The result takes 8 / width bytes for each byte read.
+        assert peak < (8 / width + 1) * len(data[0])
