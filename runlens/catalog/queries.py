@@ -464,10 +464,12 @@ def _mztab(spark, d):
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in readers.PSM_CELLS.values()] + [
         F.when(other, "null").otherwise(F.col("fdr_score").cast("string")), F.when(other, F.col("fdr_score").cast("string")).otherwise("null")]
     rows = psms.select("run_id", F.concat_ws("\t", F.lit("PSM"), *cells).alias("line"))
-    parts = [head.select("run_id", F.col("i").alias("section"), "line"), proteins.select("run_id", F.lit(3).alias("section"), "line"),
+    first = runs.union(proteins.select("run_id")).distinct()
+    parts = [first.select("run_id", F.lit(-1).alias("section"), F.lit("COM\tfirst").alias("line")),
+             head.select("run_id", F.col("i").alias("section"), "line"), proteins.select("run_id", F.lit(3).alias("section"), "line"),
              second.select("run_id", F.lit(4).alias("section"), "line"), rows.select("run_id", F.lit(5).alias("section"), "line")]
     lines = reduce(DataFrame.unionByName, parts)
-    path = _file(spark, "mztab", lambda path: write_documents(document_parts(lines, ["section", "line"], "COM\tfirst\n"), path))
+    path = _file(spark, "mztab", lambda path: write_documents(document_parts(lines, ["section", "line"]), path))
     return readers.scan_mztab(spark, path)
 
 

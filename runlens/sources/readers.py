@@ -2,7 +2,7 @@
 
 Every reader takes one path, a list or a glob and keys its rows by ``run_id``,
 the file name up to the first dot.  Those of mzTab files also take the lines
-that :func:`scan_mztab` has read once for all.
+that :func:`scan_mztab` has found.
 """
 
 from __future__ import annotations
@@ -81,15 +81,20 @@ def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def scan_mztab(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The lines of all sections (run_id, tag, position, value), stored.
+    """The lines of all sections (run_id, tag, position, value).
 
-    The texts are read once; the readers below take the result in place of
-    paths and read the sections they need.
+    Metadata and header lines, few and read more than once, are stored by one
+    reading of the texts; rows come from the texts when their section is asked
+    for, so no copy of them is made.  The readers below take the result in place of paths.
     """
-    tags = ["MTD", *[tag for pair in SECTIONS.values() for tag in pair]]
-    tag = F.substring_index("value", "\t", 1)
-    lines = _lines(spark, paths).withColumn("tag", tag).where(F.col("tag").isin(*tags) & F.contains("value", F.lit("\t")))
-    return write_table(lines, "mztab")
+    lines = _lines(spark, paths).withColumn("tag", F.substring_index("value", "\t", 1)).where(F.contains("value", F.lit("\t")))
+    heads = ["MTD", *[head for head, _ in SECTIONS.values()]]
+    found = write_table(lines.where(F.col("tag").isin(*heads)), "mztab")
+    for _, tag in SECTIONS.values():
+        # With a fixed tag a section that is not asked for is not read.
+        rows = lines.where(F.col("tag") == tag).withColumn("tag", F.lit(tag))
+        found = found.unionByName(rows)
+    return found
 
 
 def _mztab(spark: SparkSession, source: Paths | DataFrame) -> DataFrame:

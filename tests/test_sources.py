@@ -164,3 +164,19 @@ def test_write_summary(spark, tmp_path, fmt, sep):
     assert [line for lines in files for line in lines[1:]] == [f"a{sep}1.5"]
     with pytest.raises(ValueError):
         sinks.write_summary(spark.range(1), str(tmp_path / "no"), "xlsx")
+
+
+def test_lines_are_stored_and_moved_no_more_than_needed(spark, mztab, monkeypatch):
+    from runlens.operators import documents as d
+    stored = []
+    monkeypatch.setattr(readers, "write_table", lambda df, name: stored.append(df) or df)
+    lines = readers.scan_mztab(spark, mztab)
+    (heads,) = stored
+    assert {r.tag for r in heads.collect()} <= {"MTD", "PRH", "PSH"} and {"PSM", "PRT"} <= {r.tag for r in lines.collect()}
+    monkeypatch.setattr(d, "write_table", None)
+    rows = spark.createDataFrame([("a", i % 7, f"line {i}") for i in range(100)] + [(None, 1, "x"), ("a", 1, None)],
+                                 "run_id string, no int, line string")
+    parts = d.document_parts(rows, ["no", "line"])
+    assert parts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    text = "\n".join(r.text for r in sorted(parts.collect(), key=lambda r: r.part))
+    assert text.split("\n") == [x for _, x in sorted((i % 7, f"line {i}") for i in range(100))]
