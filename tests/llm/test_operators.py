@@ -411,3 +411,14 @@ def test_columns_of_any_name(spark):
     left = compact_windows.remove_repeats(docs, passages)
     assert left.columns == docs.columns and {r._spans for r in left.collect()} == {"own _spans"}
     assert {r.doc_id: r.text for r in left.collect()}[1].strip() == prose(1, 30)
+
+
+def test_written_tables_go_when_they_are_done(spark, tmp_path, monkeypatch):
+    from runlens.plans import tables
+    monkeypatch.setattr(tables, "shared_dir", lambda spark: str(tmp_path))
+    passage = prose(90, 60)
+    docs = spark.createDataFrame([(i, prose(91 + i, 40) + " " + passage + " " + prose(94 + i, 40)) for i in range(3)], "doc_id bigint, text string")
+    assert {r.doc_id for r in compact_windows.repeated_passages(docs).collect()} == {1, 2}
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"passages", "runs"}
+    wm.near_duplicates(docs).collect()
+    assert not {"sketches", "buckets", "texts", "rest"} & {p.name.split("-")[0] for p in tmp_path.iterdir()}
