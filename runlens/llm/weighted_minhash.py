@@ -10,7 +10,7 @@ candidates together, and every link is verified by that similarity in full.
 
 Equal texts are one node.  In each bucket all nodes are held against the one
 that shares most buckets; whatever is then in different components of one bucket is
-held against each other if the samples leave a similarity open.
+held against each other if the samples and the rarest shingles of both leave a similarity open.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm.components import components
 from runlens.llm.textblocks import Block, blocks, mix, within_text
-from runlens.plans.tables import write_table
+from runlens.plans.tables import drop_table, write_table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -36,6 +36,9 @@ ROWS = 4
 ESTIMATE = 0.66
 FINE_SAMPLES = 256
 FINE_ESTIMATE = 0.725
+# Share of a text's shingles, rare ones first, that are held against those of another before the whole
+# texts are; two of similarity 0.8 differ in a ninth of their weight.
+RARE = 0.25
 # Places of the table of document frequencies.
 PLACES = 1 << 17
 # Distinct random variates of each sample.
@@ -197,6 +200,48 @@ def _agreement(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
+def element_weights(texts: DataFrame, idf) -> DataFrame:
+    """``node``, ``element`` and ``weight`` of every shingle of every text (node, text); no shuffle.
+
+    A shingle met again in a text is another element, so an element weighs the same in all texts.
+    """
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                text, hashes, counts = text_shingles(block)
+                again = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+                text, hashes = np.repeat(text, counts), np.repeat(hashes, counts)
+                nodes = batch.column("node").slice(block.first_row, block.n_texts).take(pa.array(text))
+                elements = np.where(again > 0, within_text(hashes, again), hashes).view(np.int64)
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(elements), pa.array(idf.value[place(hashes)].astype(float))],
+                                                 ["node", "element", "weight"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, element bigint, weight double")
+
+
+def rarest_elements(elements: DataFrame) -> DataFrame:
+    """``node``, the ``total`` weight of its elements, the ``rare`` ones (a share ``RARE``) that fewest nodes have, and the ``least`` weight of these.
+
+    A rare element is the number of its nodes, then bits of its hash; two with equal bits count as one, which never hides what is shared.
+    """
+    rarity = elements.groupBy("element").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.shiftleft(F.least("n", F.lit((1 << 23) - 1)), 40) + F.col("element").bitwiseAND((1 << 40) - 1)
+    ranked = elements.join(rarity, "element").select("node", rank.alias("rank"), "weight")
+    by_node = Window.partitionBy("node")
+    ranked = ranked.select("node", "rank", "weight", F.sum("weight").over(by_node).alias("total"), F.count(F.lit(1)).over(by_node).alias("size"), F.row_number().over(by_node.orderBy("rank")).alias("at"))
+    return ranked.where(F.col("at") <= F.ceil(F.col("size") * RARE)).groupBy("node").agg(
+        F.first("total").alias("total"), F.min("weight").alias("least"), F.sort_array(F.collect_list("rank")).alias("rare"))
+
+
+def shared_at_most(a: str, b: str) -> Column:
+    """Weight that ``b`` can have in common with ``a``: all but the rare elements of ``a`` that ``b`` surely lacks.
+
+    An element that stands before the last of ``b``'s rare ones in the order of all is in ``b`` only if it is one of them.
+    """
+    lacking = F.filter(F.array_except(f"{a}.rare", f"{b}.rare"), lambda e: e < F.element_at(f"{b}.rare", -1))
+    return F.col(f"{a}.total") - F.size(lacking) * F.col(f"{a}.least")
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified links (a, b, similarity) between nodes: those that join components.
 
@@ -231,19 +276,26 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "band", "key", "node", F.coalesce("component", "node").alias("component"))
     unsettled = (open_rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
                  .where((F.col("low") != F.col("high")) & (F.col("n") > 2)).select("band", "key"))
-    rest = write_table(open_rows.join(unsettled, ["band", "key"]), "rest")
-    fine = sketches(wanted.join(rest.select("node").distinct(), "node", "left_semi"), idf, FINE_SAMPLES)
-    rest = write_table(rest.join(known.withColumn("keys", keys), "node").join(fine.withColumnRenamed("sketch", "fine"), "node"), "rest")
+    open_parts = write_table(open_rows.join(unsettled, ["band", "key"]), "rest")
+    fine = sketches(wanted.join(open_parts.select("node").distinct(), "node", "left_semi"), idf, FINE_SAMPLES)
+    elements = write_table(element_weights(wanted.join(open_parts.select("node").distinct(), "node", "left_semi"), idf), "elements")
+    rest = write_table(open_parts.join(rarest_elements(elements), "node").join(known.withColumn("keys", keys), "node").join(fine.withColumnRenamed("sketch", "fine"), "node"), "rest")
     x, y = rest.alias("x"), rest.alias("y")
     agree = _agreement(F.col("x.sketch"), F.col("y.sketch"))
     agree_fine = _agreement(F.col("x.fine"), F.col("y.fine"))
+    # What two texts as similar as the threshold share at least; sums of doubles differ in their last bits.
+    least = threshold / (1 + threshold) * (F.col("x.total") + F.col("y.total")) * (1 - 1e-6)
+    may_link = (shared_at_most("x", "y") >= least) & (shared_at_most("y", "x") >= least)
     # A pair that shares several buckets is made in the first of them only.
     first_shared = F.array_position(F.zip_with("x.keys", "y.keys", lambda p, q: p == q), True) - 1
     pairs = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & (first_shared == F.col("x.band")) & (agree >= ESTIMATE * BANDS * ROWS) & (agree_fine >= FINE_ESTIMATE * FINE_SAMPLES))
+                    & (F.col("x.component") != F.col("y.component")) & (first_shared == F.col("x.band")) & (agree >= ESTIMATE * BANDS * ROWS) & (agree_fine >= FINE_ESTIMATE * FINE_SAMPLES) & may_link)
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     second = verified(pairs.join(stars, ["a", "b"], "left_anti"))
-    return write_table(first.unionByName(second), "links")
+    links = write_table(first.unionByName(second), "links")
+    for table in (known, members, wanted, first, parts, open_parts, elements, rest):
+        drop_table(table)
+    return links
 
 
 def duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -422,3 +422,22 @@ def test_written_tables_go_when_they_are_done(spark, tmp_path, monkeypatch):
     assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"passages", "runs"}
     wm.near_duplicates(docs).collect()
     assert not {"sketches", "buckets", "texts", "rest"} & {p.name.split("-")[0] for p in tmp_path.iterdir()}
+
+
+def test_rare_elements_bound_what_is_shared(spark):
+    rng = np.random.default_rng(5)
+    rows, sets = [], {}
+    for k in range(24):
+        # Copies of 200 elements, of which each has its own 10, 30 or 50.
+        own = (10, 30, 50)[k % 3]
+        base = [int(x) for x in rng.permutation(200)[: 200 - own]] + [1000 * (k + 1) + j for j in range(own)]
+        sets[bytes([k])] = {x: 1.0 + x % 7 / 10 for x in base}
+        rows += [(bytes([k]), x, w) for x, w in sets[bytes([k])].items()]
+    rare = wm.rarest_elements(spark.createDataFrame(rows, "node binary, element bigint, weight double"))
+    pairs = rare.alias("x").join(rare.alias("y"), F.col("x.node") != F.col("y.node"))
+    columns = ["x.node", "y.node", wm.shared_at_most("x", "y"), "x.total", wm.shared_at_most("y", "x"), "y.total"]
+    for a, b, most, total, most_of_b, total_b in pairs.select(*columns).collect():
+        own, other = sets[bytes(a)], sets[bytes(b)]
+        assert sum(w for x, w in own.items() if x in other) <= most + 1e-6
+        if bytes(a)[0] % 3 == bytes(b)[0] % 3 == 2:
+            assert min(most / total, most_of_b / total_b) < 0.85
