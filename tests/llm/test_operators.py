@@ -329,6 +329,36 @@ def test_exact_passages_round_a_common_core(spark):
     assert all(any(d == doc and low <= start and high >= end for d, low, high in spans) for _, doc, start, end in want)
 
 
+def test_near_passages_round_a_common_core(spark):
+    rows, want = [], set()
+    for group in range(8):
+        core, outer = prose(9000 + group, 49), prose(9100 + group, 11).split()
+        for k in range(60):
+            inside = " ".join(outer[:6] + [core] + outer[6:]) if k in (31, 47) else f"u{group}x{k} {core} v{group}x{k}"
+            if k == 47:
+                words = inside.split()
+                inside = " ".join(words[:30] + ["changed"] + words[31:])
+            rows.append((100 * group + k, prose(10_000 + 100 * group + k, 20) + " " + inside + " " + prose(20_000 + 100 * group + k, 20)))
+        want.add((100 * group + 31, 100 * group + 47))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.first_doc_id, r.doc_id) for r in compact_windows.repeated_passages(docs).collect()}
+    assert found == want
+
+
+def test_bitmaps_bound_what_is_shared():
+    rng = np.random.default_rng(3)
+    for k in range(40):
+        a = rng.integers(0, 1 << 62, 120).astype(np.uint64)
+        b = np.where(rng.random(120) < 0.03 * (k % 5), rng.integers(0, 1 << 62, 120).astype(np.uint64), a)
+        b[k:k + 20] = b[60] if k % 2 else b[k:k + 20]
+        (x, y), different, fewest, content = compact_windows._bitmaps(np.concatenate([a, b]), np.array([10, 130]), np.array([100, 220]), 46)
+        sets = [set(c[10:101].tolist()) for c in (a, b)]
+        hidden = different - np.bitwise_count(np.stack([x, y])).sum(axis=1, dtype=np.int64)
+        assert different.tolist() == [len(c) for c in sets] and (content[0] == content[1]) == (a[10:101] == b[10:101]).all()
+        assert len(sets[0] & sets[1]) <= np.bitwise_count(x & y).sum(dtype=np.int64) + hidden.min()
+        assert fewest.tolist() == [min(len(set(c[i:i + 46].tolist())) for i in range(10, 56)) for c in (a, b)]
+
+
 def shingles_of(text):
     (block,) = blocks(pa.array([text]))
     return block.shingles(compact_windows.SHINGLE)[0]
