@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -117,3 +118,14 @@ def test_shared_folder_is_read_from_the_session(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "shared_dir", lambda s: str(tmp_path))
     assert write_table(spark.range(3), "t").agg(F.sum("id")).first()[0] == 3
     assert any(p.name.startswith("t-") for p in tmp_path.iterdir())
+
+
+def test_written_table_leaves_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    table = tables.write_table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    deadline = time.time() + 20
+    while files.getAllFiles().size() > before and time.time() < deadline:
+        time.sleep(0.1)
+    assert files.getAllFiles().size() <= before and table.count() == 7
+    assert spark.conf.get(tables.SHUFFLES_GO) == "false"
