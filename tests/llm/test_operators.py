@@ -364,6 +364,45 @@ def shingles_of(text):
     return block.shingles(compact_windows.SHINGLE)[0]
 
 
+def test_near_windows_are_tied_by_few_rows(spark):
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+
+    core = words(70)
+    # The first document holds 40 words of what all others nearly share, so it settles none of them.
+    rows = [(0, " ".join(words(30) + core[15:55] + words(30)))]
+    for i in range(1, 41):
+        own = list(core)
+        own[2 + i % 10], own[58 + i % 10] = words(2)
+        rows.append((i, " ".join(words(30) + own + words(30))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.first_doc_id, r.doc_id) for r in compact_windows.repeated_passages(docs).collect()}
+    assert {b for _, b in found} == set(range(2, 41)) and len(found) < 200
+
+
+def test_runs_of_a_cell_by_brute_force():
+    rng = np.random.default_rng(12)
+    base = rng.integers(1, 1 << 62, 91).astype(np.uint64)
+    lists = []
+    for _ in range(40):
+        own, n = base.copy(), rng.integers(1, 6)
+        for p in rng.integers(0, 87, n):
+            own[p:p + 5] = rng.integers(1, 1 << 62, 5)
+        lists.append(own)
+    end = np.cumsum([len(x) for x in lists])
+    runs = compact_windows._Runs(np.concatenate(lists), end - 91, end, np.full(40, 91), 46, 0.8)
+    score, mine, theirs = runs.best(np.arange(39), 39)
+    assert (score >= 0).any() and (score < 0).any()
+    for e in range(39):
+        same = lists[e] == lists[39]
+        best = max((same[i:j].sum() - 2 * (j - i) * 0.8 / 1.8 for i in range(46) for j in range(i + 46, 92) if same[i] and same[j - 1]), default=-9)
+        assert (score[e] >= -1e-3) == (best >= -1e-9)
+        if score[e] >= 0:
+            assert runs.passage(e, 39, mine[e], theirs[e]) == (*mine[e].tolist(), *theirs[e].tolist())
+
+
 def test_passages_with_repeated_phrases():
     for n in (50, 60, 80, 90, 120, 150):
         for size in range(5, 11):
